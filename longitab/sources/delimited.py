@@ -70,8 +70,8 @@ def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None
 
 def write_csv(df: DataFrame, path: str, null: str = "NA", mode: str = "errorifexists") -> None:
     """CSV with a header and ISO dates; ``null`` is written for missing values."""
-    df.write.mode(mode).csv(
+    stamp = "yyyy-MM-dd HH:mm:ss"
+    df.write.mode(mode).option("timestampNTZFormat", stamp).csv(
         path, header=True, nullValue=null, emptyValue="", quote='"', escape='"',
-        dateFormat="yyyy-MM-dd", timestampNTZFormat="yyyy-MM-dd HH:mm:ss",
-        timestampFormat="yyyy-MM-dd HH:mm:ss",
+        dateFormat="yyyy-MM-dd", timestampFormat=stamp,
     )

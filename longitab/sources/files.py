@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from ..functions.recode import _c
 from ..functions.text import split_item
 
+MAX_LINES = (1 << 31) - 1
+
 
 def list_files(spark: SparkSession, path: str, name_pattern: str = r".txt",
                exclude_dirs: str | None = None) -> DataFrame:
@@ -54,28 +56,30 @@ def extremes(df: DataFrame, text: str = "text", field: str = "N.M", skip: int =
 
     The text has ``skip`` lines, then a white-space separated header, then
     rows.  A file without that header field, or with something else than
-    numbers in it, is dropped; a missing number makes both results null.
+    numbers in it, is dropped; a missing number makes both results null.  The
+    columns other than ``text`` identify the file.
 
-    Everything happens inside the file's own row, so nothing is shuffled.
+    A file's lines stay in its task until they are combined, so the shuffle
+    carries one row per file.
     """
-    body = F.filter(F.slice(lines(text), skip + 1, F.size(lines(text)) + 1), lambda s: F.trim(s) != "")
-    header = F.transform(_fields(F.get(body, F.lit(0))), lambda h: F.regexp_replace(h, r"[^\w.]", "."))
-    at = F.array_position(header, field).cast("int")
     rest = [c for c in df.columns if c != text]
-    cut = df.select(*rest, body.alias("__body"), at.alias("__at")).filter(F.col("__at") > 0)
-    raw = F.transform(
-        F.slice("__body", 2, F.size("__body")),
-        lambda s: F.nullif(F.get(_fields(s), F.col("__at") - 1), F.lit("NA")),
+    table = F.filter(F.slice(lines(text), skip + 1, MAX_LINES), lambda s: F.trim(s) != "")
+    header = F.transform(_fields(F.get(table, F.lit(0))), lambda h: F.regexp_replace(h, r"[^\w.]", "."))
+    rows = df.select(
+        *rest, F.array_position(header, field).cast("int").alias("__at"),
+        F.explode_outer(F.slice(table, 2, MAX_LINES)).alias("__line"),
+    ).filter(F.col("__at") > 0)
+    raw = F.nullif(F.get(_fields(F.col("__line")), F.col("__at") - 1), F.lit("NA"))
+    values = rows.select(*rest, "__line", raw.alias("__raw"), raw.try_cast("double").alias("__num"))
+
+    n = F.count("__line")
+    complete = F.count("__raw") == n
+    found = values.groupBy(*rest).agg(
+        F.when(n == 0, F.lit(float("-inf"))).when(complete, F.max("__num")).alias(high),
+        F.when(n == 0, F.lit(float("inf"))).when(complete, F.abs(F.min("__num"))).alias(low),
+        (F.count("__raw") == F.count("__num")).alias("__numbers"),
     )
-    cut = cut.select(*rest, raw.alias("__raw"))
-    number = F.transform("__raw", lambda v: v.try_cast("double"))
-    cut = cut.select(*rest, "__raw", number.alias("__num"))
-    readable = ~F.exists(F.arrays_zip("__raw", "__num"), lambda p: p["__raw"].isNotNull() & p["__num"].isNull())
-    has_gap = F.exists("__num", lambda v: v.isNull())
-    empty = F.size("__num") == 0
-    top = F.when(empty, F.lit(float("-inf"))).when(~has_gap, F.array_max("__num"))
-    bottom = F.when(empty, F.lit(float("inf"))).when(~has_gap, F.abs(F.array_min("__num")))
-    return cut.filter(readable).select(*rest, top.alias(high), bottom.alias(low))
+    return found.filter("__numbers").drop("__numbers")
 
 
 def _fields(line: Column) -> Column:
