@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -57,7 +59,7 @@ def tokens(col: Column | str, sep: str = ";") -> Column:
 
 
 def strip_digits(col: Column | str) -> Column:
-    return replace_all(col, r"\d")
+    return replace_all(col, r"\p{Nd}")
 
 
 def strip_notes(col: Column | str) -> Column:
@@ -74,7 +76,7 @@ def normalise_list(col: Column | str, notes: bool = True, closing: bool = True)
     text = strip_digits(col)
     if notes:
         text = strip_notes(text)
-    text = F.translate(text, ",", ";")
+    text = F.replace(text, F.lit(","), F.lit(";"))
     return replace_all(text, ";$") if closing else text
 
 
@@ -96,4 +98,5 @@ def plain_text(col: Column | str, dtype: str) -> Column:
 
 
 def _literal(sep: str) -> str:
-    return r"\Q" + sep + r"\E"
+    """Pattern for a separator; a plain character stays one, which splits fastest."""
+    return re.escape(sep)

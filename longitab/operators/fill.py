@@ -40,7 +40,7 @@ def fill(df: DataFrame, cols: Sequence[str] | Mapping[str, str], by: Sequence[st
     if rows_per_block is None:
         return _fill_within(df, df.columns, ways, [*by], order)
 
-    rows = df.withColumn("__block", F.floor(F.col(order) / F.lit(rows_per_block)))
+    rows = df.withColumn("__block", F.expr(f"`{order}` div {int(rows_per_block)}L"))
     fronts = _inherited(rows, ways, by, order)
     both = rows.withColumn("__front", F.lit(False)).unionByName(fronts, allowMissingColumns=True)
     return _fill_within(both, df.columns, ways, [*by, "__block"], order)

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
@@ -13,7 +15,7 @@ from ..functions.recode import rank_of
 
 def drop_all_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Drop the rows where every one of ``cols`` is null."""
-    return df.filter(F.coalesce(*[F.col(c).cast("string") for c in cols]).isNotNull())
+    return df.filter(reduce(or_, [F.col(c).isNotNull() for c in cols]))
 
 
 def groups_of_size(df: DataFrame, by: Sequence[str], size: int, order: str) -> DataFrame:

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..functions.recode import _c
 from ..functions.text import split_item
 
-MAX_LINES = (1 << 31) - 1
+MAX_LINES = 1 << 30
 
 
 def list_files(spark: SparkSession, path: str, name_pattern: str = r".txt",
@@ -63,24 +63,29 @@ def extremes(df: DataFrame, text: str = "text", field: str = "N.M", skip: int =
     carries one row per file.
     """
     rest = [c for c in df.columns if c != text]
-    table = F.filter(F.slice(lines(text), skip + 1, MAX_LINES), lambda s: F.trim(s) != "")
-    header = F.transform(_fields(F.get(table, F.lit(0))), lambda h: F.regexp_replace(h, r"[^\w.]", "."))
-    rows = df.select(
+    # One column used twice below: Spark keeps such a projection, so the text
+    # is split once.  A filter on the header here would be pushed below it and
+    # split the text again; it waits for the aggregate.
+    tables = df.select(*rest, F.filter(
+        F.slice(lines(text), skip + 1, MAX_LINES), lambda s: F.trim(s) != "").alias("__table"))
+    header = F.transform(_fields(F.get("__table", F.lit(0))), lambda h: F.regexp_replace(h, r"[^\w.]", "."))
+    rows = tables.select(
         *rest, F.array_position(header, field).cast("int").alias("__at"),
-        F.explode_outer(F.slice(table, 2, MAX_LINES)).alias("__line"),
-    ).filter(F.col("__at") > 0)
+        F.explode_outer(F.slice("__table", 2, MAX_LINES)).alias("__line"),
+    )
     raw = F.nullif(F.get(_fields(F.col("__line")), F.col("__at") - 1), F.lit("NA"))
-    values = rows.select(*rest, "__line", raw.alias("__raw"), raw.try_cast("double").alias("__num"))
+    values = rows.select(*rest, "__at", "__line", raw.alias("__raw")).withColumn(
+        "__num", F.col("__raw").try_cast("double"))
 
     n = F.count("__line")
     complete = F.count("__raw") == n
     found = values.groupBy(*rest).agg(
         F.when(n == 0, F.lit(float("-inf"))).when(complete, F.max("__num")).alias(high),
         F.when(n == 0, F.lit(float("inf"))).when(complete, F.abs(F.min("__num"))).alias(low),
-        (F.count("__raw") == F.count("__num")).alias("__numbers"),
+        ((F.max("__at") > 0) & (F.count("__raw") == F.count("__num"))).alias("__readable"),
     )
-    return found.filter("__numbers").drop("__numbers")
+    return found.filter("__readable").drop("__readable")
 
 
 def _fields(line: Column) -> Column:
-    return F.split(F.trim(F.translate(line, "\t", " ")), r" +")
+    return F.split(F.trim(F.replace(line, F.lit("\t"), F.lit(" "))), " +")

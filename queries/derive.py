@@ -95,7 +95,7 @@ def lists(load) -> DataFrame:
     """Documents as free-text lists: sentences and lines become entries."""
     return load("documents").select(
         F.col("doc_id").alias("id"), "lang", "source",
-        F.translate("text", ".\n", ";;").alias("list"),
+        F.replace(F.replace("text", F.lit("."), F.lit(";")), F.lit("\n"), F.lit(";")).alias("list"),
     )
 
 
