@@ -73,7 +73,7 @@ def test_body_regions(histories, rows):
 
 def test_surgery_profile(spark, rows):
     df = spark.createDataFrame(
-        [(1, "index aclr (2019); contra aclr, index aclr;"), (2, "arthroscope 2"), (3, "nothing"), (4, None)], "id int, s string")
+        [(1, "index aclr (in 2019); contra aclr, index aclr;"), (2, "arthroscope 2"), (3, "nothing"), (4, None)], "id int, s string")
     tokens = H.history_tokens(df, "s", notes=True, closing=True)
     out = H.surgery_profile(df, tokens)
     assert out.columns == ["id", "n_surgery", "n_indexsurgery", "n_contrasurgery", "contra aclr", "index aclr"]
