@@ -162,7 +162,7 @@ def test_points_equal_brute_force(spark, areas):
 
 
 def test_area_indexes(spark, areas, rows):
-    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 0.5)], "id int, lat double, lon double").withColumnsRenamed({"lat": "lon", "lon": "lat"})
+    points = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 0.5)], "id int, lon double, lat double")
     codes = AR.area_codes(points, areas, "P_", ["SA1", "SA2"])
     assert codes.columns == ["id", "sa1", "sa2"]
     national = spark.createDataFrame([(20, 5)], "sa1 bigint, score int")
