@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 from functools import reduce
-from operator import or_
+from operator import and_, or_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
@@ -24,13 +24,14 @@ def fill(df: DataFrame, cols: Sequence[str] | Mapping[str, str], by: Sequence[st
     fills them all in one pass.  ``order`` is an integer column, unique within
     a group.
 
-    A window puts a whole group into one task.  To bound that, a group is cut
-    into blocks of consecutive ``order`` values: since ``order`` is unique, no
-    block has more than ``rows_per_block`` rows, whatever the skew.  Per block
-    only the first and the last value of each column are kept (combined before
-    the shuffle); a window over those finds what each block inherits, and the
-    inherited values travel to their block as one extra row in front of it.
-    Groups within one block get no extra row.
+    A window puts a whole group into one task.  Groups of more than
+    ``rows_per_block`` rows are therefore cut into blocks of consecutive
+    ``order`` values; since ``order`` is unique, no block has more rows than
+    that, whatever the skew.  Of each block the first and the last value of
+    each column are kept (combined before the shuffle), a window over those
+    finds what each block inherits, and the inherited values travel to their
+    block as one extra row in front of it.  The other groups pass through as
+    they are: their cost is the count of rows per group.
 
     Pass ``rows_per_block=None`` where groups are small by construction.
     """
@@ -40,8 +41,21 @@ def fill(df: DataFrame, cols: Sequence[str] | Mapping[str, str], by: Sequence[st
     if rows_per_block is None:
         return _fill_within(df, df.columns, ways, [*by], order)
 
-    rows = df.withColumn("__block", F.expr(f"`{order}` div {int(rows_per_block)}L"))
-    fronts = _inherited(rows, ways, by, order)
+    width = int(rows_per_block)
+    large = (
+        df.groupBy(*[F.col(k).alias(f"__large_{k}") for k in by]).agg(F.count("*").alias("__n"))
+        .filter(F.col("__n") > width).drop("__n")
+    )
+    is_large = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__large_{k}")) for k in by])
+    # Safe to broadcast at any scale: a table of N rows has at most
+    # N / rows_per_block groups that large, a million for 10^12 rows.
+    large = F.broadcast(large.withColumn("__large", F.lit(True)))
+    block = F.expr(f"`{order}` div {width}L")
+
+    rows = df.join(large, is_large, "left").select(
+        *df.columns, F.when(F.col("__large"), block).otherwise(F.lit(0).cast("bigint")).alias("__block"))
+    cut = df.join(large, is_large, "inner").select(*df.columns, block.alias("__block"))
+    fronts = _inherited(cut, ways, by, order)
     both = rows.withColumn("__front", F.lit(False)).unionByName(fronts, allowMissingColumns=True)
     return _fill_within(both, df.columns, ways, [*by, "__block"], order)
 

@@ -82,11 +82,12 @@ def test_other_columns_and_types_stay(spark):
 
 
 def test_no_group_is_one_task(spark):
-    """The window is on (id, block), never on the id alone."""
+    """The data are shuffled by (id, block), never by the id alone, and once."""
     df = spark.createDataFrame([(1, 1, "a")], "id int, seq bigint, v string")
     text = plan(fill(df, ["v"], ["id"], "seq", "down"))
-    outer = next(line for line in text.splitlines() if "Exchange hashpartitioning" in line)
-    assert "__block" in outer
+    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+    assert "__block" in exchanges[0]
+    assert text.count("partial_max_by") == 1
 
 
 def test_direction_is_checked(spark):
