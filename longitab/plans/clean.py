@@ -18,6 +18,7 @@ from .monitoring import monitoring
 from .surgery import surgical_details
 from .timepoints import study_timepoints
 
+EVENT = "redcap_event_name"
 TABLES = ["database", "fortnightly", "surgical", "adverse_events", "mri"]
 
 
@@ -27,8 +28,8 @@ def clean_study(export: DataFrame, dictionary: DataFrame, history: DataFrame, su
                 skip_null: bool = False, rows_per_block: int | None = ROWS_PER_BLOCK) -> dict[str, DataFrame]:
     """Clean an export into the tables of ``TABLES``.
 
-    The standardised export is staged once: five branches read it, each a few
-    of its columns.
+    The standardised export is staged once, as several branches each read a
+    few of its columns; so are the columns that are filled row by row.
     """
     df = st.rename_columns(keep_consented(export), dictionary)
     df = st.drop_admin(st.recode_demographics(df), dictionary)
@@ -38,16 +39,15 @@ def clean_study(export: DataFrame, dictionary: DataFrame, history: DataFrame, su
         df = st.graft_candidates(df)
         ways |= st.GRAFT_FILLS
     df = stage(df)
-    df = fill(df, ways, ["id"], "seq", rows_per_block=rows_per_block)
-    if graft:
-        df = st.finish_graft(df)
-    df = stage(df)
+
+    filled = fill(df.select("id", EVENT, "seq", *ways), ways, ["id"], "seq", rows_per_block=rows_per_block)
+    filled = stage(st.finish_graft(filled) if graft else filled)
 
     postcode = postcodes(df, addresses) if "address_res" in df.columns else None
     monitored = monitoring(df)
     surgical = surgical_details(df, flagged_ids=flagged_ids)
 
-    trunk = df.drop("address_res", *S.starting(df, "fn_", "mth_", "sx_"), *V.HISTORY_INPUTS)
-    rows = study_timepoints(trunk, [history, surgery_counts], keep_unmatched=keep_unmatched)
+    trunk = df.drop("address_res", *ways, *S.starting(df, "fn_", "mth_", "sx_"), *V.GRAFT_INPUTS, *V.HISTORY_INPUTS)
+    rows = study_timepoints(trunk, [history, surgery_counts], filled=filled, keep_unmatched=keep_unmatched)
     database = final_table(longitudinal(rows, skip_null=skip_null), postcode, surgical, blinded=blinded)
     return dict(zip(TABLES, [database, monitored, surgical, adverse_events, mri]))

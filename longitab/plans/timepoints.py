@@ -15,6 +15,8 @@ from ..operators import schema as S
 from ..operators.collapse import coalesce_by_column
 
 EXTRA = "_extra"
+# What the baseline row gets of the pre-baseline row besides the block.
+PREBASELINE_COPIES = {"completed_base": "completed_proms_mpre", "dob": "dob_pre"}
 
 
 def tag_slots(df: DataFrame, event: str, events: Mapping[str, Sequence[str]],
@@ -28,15 +30,20 @@ def tag_slots(df: DataFrame, event: str, events: Mapping[str, Sequence[str]],
     return df.filter(F.col(event).isin(*table)).withColumn("slot", recode(event, table))
 
 
-def shared_columns(tagged: DataFrame, skip: Sequence[str], without: Sequence[str] = ()) -> dict[str, list[str]]:
-    """Per supplement slot, the columns that hold a value somewhere.
+def shared_columns(df: DataFrame, event: str, supplements: Mapping[str, Sequence[str]],
+                   skip: Sequence[str]) -> dict[str, list[str]]:
+    """Per supplemented timepoint, the columns its supplement holds a value of.
 
-    One aggregate over the supplement rows alone; a few rows come back.
+    One aggregate over the supplement rows alone (the event filter reaches the
+    scan); one row per supplement comes back.
     """
-    names = [c for c in tagged.columns if c not in (*skip, *without)]
-    extra = tagged.filter(F.col("slot").endswith(EXTRA))
-    counts = extra.groupBy("slot").agg(*[F.count(F.col(S._q(c))).alias(c) for c in names]).collect()
-    return {r["slot"].removesuffix(EXTRA): [c for c in names if r[c] > 0] for r in counts}
+    slots = {e: slot for slot, names in supplements.items() for e in names}
+    names = [c for c in df.columns if c not in skip]
+    counts = (
+        df.filter(F.col(event).isin(*slots)).groupBy(recode(event, slots).alias("__slot"))
+        .agg(*[F.count(F.col(S._q(c))).alias(c) for c in names]).collect()
+    )
+    return {r["__slot"]: [c for c in names if r[c] > 0] for r in counts}
 
 
 def merge_supplements(collapsed: DataFrame, by: str, shared: Mapping[str, Sequence[str]],
@@ -85,10 +92,9 @@ def assemble(df: DataFrame, by: str = "id", event: str = "redcap_event_name", or
     ``shared`` names the columns each supplement competes for; by default
     those are found in the data (one small job).
     """
-    tagged = tag_slots(df, event, events, supplements)
     if shared is None:
-        shared = shared_columns(tagged, (by, order, "slot")) if supplements else {}
-    collapsed = coalesce_by_column(tagged, [by, "slot"], order)
+        shared = shared_columns(df, event, supplements, (by, order)) if supplements else {}
+    collapsed = coalesce_by_column(tag_slots(df, event, events, supplements), [by, "slot"], order)
     return merge_supplements(collapsed, by, shared, earliest, keep_unmatched)
 
 
@@ -131,11 +137,10 @@ def route_prebaseline(tagged: DataFrame, by: str, order: str, block: Sequence[st
     for new, old in swap.items():
         if new not in tagged.columns:
             out.append(F.when(F.col("__was_pre") & ~moved, F.col(old)).alias(new))
-    return split.select(
-        *out,
-        F.when(moved, F.col("completed_base")).alias("completed_proms_mpre"),
-        F.when(moved, F.col("dob")).alias("dob_pre"),
-    )
+    for old, new in PREBASELINE_COPIES.items():
+        if old in tagged.columns:
+            out.append(F.when(moved, F.col(old)).alias(new))
+    return split.select(*out)
 
 
 def finish_baseline(df: DataFrame, by: str, side_tables: Sequence[DataFrame] = (), base: str = "m0",
@@ -163,14 +168,27 @@ def finish_baseline(df: DataFrame, by: str, side_tables: Sequence[DataFrame] = (
 
 def study_timepoints(df: DataFrame, side_tables: Sequence[DataFrame] = (), by: str = "id",
                      event: str = "redcap_event_name", order: str = "seq",
-                     block: Sequence[str] | None = None, keep_unmatched: bool = False) -> DataFrame:
-    """The study's one row per (id, timepoint), baseline and supplements included."""
-    tagged = tag_slots(df, event, V.EVENTS, V.SUPPLEMENTS)
+                     block: Sequence[str] | None = None, filled: DataFrame | None = None,
+                     keep_unmatched: bool = False) -> DataFrame:
+    """The study's one row per (id, timepoint), baseline and supplements included.
+
+    ``filled`` holds the few columns that were filled row by row, under the
+    same id, event and order.  They are collapsed on their own and joined to
+    the rest by (id, slot), which both sides are already partitioned by; so
+    the wide export itself is shuffled only after it has been collapsed.
+    """
     if block is None:
         block = S.between(df, *V.PREBASELINE_BLOCK)
-    shared = shared_columns(tagged, (by, order, "slot"), S.starting(df, "koos"))
-    routed = route_prebaseline(tagged, by, order, block)
-    collapsed = coalesce_by_column(routed, [by, "slot"], order)
+    shared: dict[str, list[str]] = {t: [] for t in V.SUPPLEMENTS}
+    collapsed = None
+    for frame in [df] if filled is None else [df, filled.drop(*(set(df.columns) - {by, event, order}))]:
+        found = shared_columns(frame, event, V.SUPPLEMENTS, (by, order, *S.starting(frame, "koos")))
+        for t, cols in found.items():
+            shared[t] += [c for c in cols if c not in shared[t]]
+        tagged = tag_slots(frame, event, V.EVENTS, V.SUPPLEMENTS)
+        routed = route_prebaseline(tagged, by, order, block)
+        part = coalesce_by_column(routed, [by, "slot"], order)
+        collapsed = part if collapsed is None else collapsed.join(part.drop(event), [by, "slot"])
     # From here on an id has a handful of rows; with the id as partitioning
     # the joins and windows below need no further shuffle of this side.
     collapsed = finish_baseline(collapsed.repartition(by), by, side_tables)
