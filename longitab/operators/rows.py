@@ -11,6 +11,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.recode import rank_of
+from .joins import semi_join
 
 
 def drop_all_missing(df: DataFrame, cols: Sequence[str]) -> DataFrame:
@@ -24,8 +25,14 @@ def groups_of_size(df: DataFrame, by: Sequence[str], size: int, order: str) -> D
     A group is cut to ``size + 1`` rows first, which is all it takes to know
     that it is too big.  Spark applies that limit before the shuffle as well,
     so a group that holds a third of the table costs ``size + 1`` rows per
-    map task.
+    map task.  It does so up to a size set by
+    ``spark.sql.optimizer.windowGroupLimitThreshold``; beyond that, the groups
+    are counted (combined before the shuffle) and the rows looked up.
     """
+    limit = int(df.sparkSession.conf.get("spark.sql.optimizer.windowGroupLimitThreshold", "1000"))
+    if size >= limit:
+        sizes = df.groupBy(*by).agg(F.count("*").alias("__n")).filter(F.col("__n") == size)
+        return semi_join(df, sizes, by, null_safe=True)
     group = W.partitionBy(*by)
     few = (
         df.withColumn("__rn", F.row_number().over(group.orderBy(order)))

@@ -43,6 +43,6 @@ def stage(df: DataFrame) -> DataFrame:
     of executors, and each branch still gets column pruning and pushed filters.
     """
     spark = df.sparkSession
-    path = f"{staging_dir(spark)}/stage-{uuid.uuid4().hex}"
+    path = f"{staging_dir(spark)}/longitab-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)

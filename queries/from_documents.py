@@ -173,15 +173,15 @@ def anti_join_missing(load):
     return J.anti_join(load("documents").select("doc_id", "lang"), load("labels"), "doc_id", null_safe=True)
 
 
-@query("""WITH expected AS (SELECT DISTINCT l_partkey AS id, l_linestatus AS timepoint FROM lineitem),
-found AS (SELECT l_partkey AS id, l_linestatus AS timepoint, CASE WHEN l_returnflag = 'A' THEN 'left' WHEN l_returnflag = 'R' THEN 'right' END AS side
-  FROM lineitem WHERE l_quantity > 45),
+@query("""WITH expected AS (SELECT DISTINCT l_orderkey AS id, l_linestatus AS timepoint FROM lineitem),
+found AS (SELECT l_orderkey AS id, l_linestatus AS timepoint, CASE l_returnflag WHEN 'A' THEN 'left' ELSE 'right' END AS side
+  FROM lineitem WHERE l_returnflag <> 'N'),
 lone AS (SELECT id, timepoint, max(side) AS side FROM found GROUP BY id, timepoint HAVING count(*) = 1)
 SELECT id, timepoint, 'both' AS side FROM expected ANTI JOIN found USING (id, timepoint)
 UNION ALL SELECT id, timepoint, CASE side WHEN 'left' THEN 'right' WHEN 'right' THEN 'left' END FROM lone""")
 def missing_pairs(load):
-    lines = load("lineitem").select(F.col("l_partkey").alias("id"), F.col("l_linestatus").alias("timepoint"),
-                                    "l_returnflag", "l_quantity")
-    side = F.when(F.col("l_returnflag") == "A", "left").when(F.col("l_returnflag") == "R", "right")
-    found = lines.filter("l_quantity > 45").select("id", "timepoint", side.alias("side"))
+    """Orders as participants: a line that was returned is a file of one side."""
+    lines = load("lineitem").select(F.col("l_orderkey").alias("id"), F.col("l_linestatus").alias("timepoint"), "l_returnflag")
+    side = F.when(F.col("l_returnflag") == "A", "left").otherwise("right")
+    found = lines.filter("l_returnflag <> 'N'").select("id", "timepoint", side.alias("side"))
     return missing_files(lines.select("id", "timepoint").distinct(), found)

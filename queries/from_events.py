@@ -133,28 +133,28 @@ def baseline_merge(load):
 
 # -- joins -----------------------------------------------------------------
 
-@query(f"""WITH {SPARSE},
-x AS (SELECT id, {first("click_v")} AS click_v, {first("note")} AS note FROM sparse
-  WHERE event = 'click' AND value > 150 GROUP BY id),
-y AS (SELECT id, {first("purchase_v")} AS purchase_v FROM sparse WHERE event = 'purchase' AND value > 150 GROUP BY id)
-SELECT id, click_v, note, purchase_v FROM x FULL JOIN y USING (id)""")
+@query(f"""WITH {SPARSE}, d AS (SELECT *, CAST(ts AS DATE) AS day FROM sparse),
+x AS (SELECT id, day, {first("click_v")} AS click_v, {first("note")} AS note FROM d WHERE event = 'click' GROUP BY id, day),
+y AS (SELECT id, day, {first("purchase_v")} AS purchase_v FROM d WHERE event = 'purchase' GROUP BY id, day)
+SELECT id, day, click_v, note, purchase_v FROM x FULL JOIN y USING (id, day)""")
 def full_join(load):
-    df = sparse_events(load).filter(F.col("value") > 150)
-    x = coalesce_by_column(df.filter("event = 'click'"), ["id"], "seq", ["click_v", "note"])
-    y = coalesce_by_column(df.filter("event = 'purchase'"), ["id"], "seq", ["purchase_v"])
-    return J.full_join(x, y, "id")
+    """Clicks and purchases of each person and day, one row each."""
+    df = sparse_events(load).withColumn("day", F.to_date("ts"))
+    x = coalesce_by_column(df.filter("event = 'click'"), ["id", "day"], "seq", ["click_v", "note"])
+    y = coalesce_by_column(df.filter("event = 'purchase'"), ["id", "day"], "seq", ["purchase_v"])
+    return J.full_join(x, y, ["id", "day"])
 
 
-@query(f"""WITH {SPARSE},
-x AS (SELECT id, seq, click_v FROM sparse WHERE event = 'click' AND value > 150),
-y AS (SELECT id, {first("purchase_v")} AS purchase_v FROM sparse WHERE event = 'purchase' AND value > 150 GROUP BY id)
-SELECT id, seq, click_v, purchase_v FROM x FULL JOIN y USING (id)""")
+@query(f"""WITH {SPARSE}, d AS (SELECT *, CAST(ts AS DATE) AS day FROM sparse),
+x AS (SELECT id, day, seq, click_v FROM d WHERE event = 'click'),
+y AS (SELECT id, day, {first("purchase_v")} AS purchase_v FROM d WHERE event = 'purchase' GROUP BY id, day)
+SELECT id, day, seq, click_v, purchase_v FROM x FULL JOIN y USING (id, day)""")
 def full_join_split(load):
     """The form for a left side with hot keys."""
-    df = sparse_events(load).filter(F.col("value") > 150)
-    x = df.filter("event = 'click'").select("id", "seq", "click_v")
-    y = coalesce_by_column(df.filter("event = 'purchase'"), ["id"], "seq", ["purchase_v"])
-    return J.full_join_split(x, y, "id")
+    df = sparse_events(load).withColumn("day", F.to_date("ts"))
+    x = df.filter("event = 'click'").select("id", "day", "seq", "click_v")
+    y = coalesce_by_column(df.filter("event = 'purchase'"), ["id", "day"], "seq", ["purchase_v"])
+    return J.full_join_split(x, y, ["id", "day"])
 
 
 @query(f"""WITH {SPARSE}, {ASSEMBLY}
@@ -313,13 +313,13 @@ def category_freq_by_group(load):
     return A.frequency(sparse_events(load), "note", by=["event", "id"])
 
 
-@query("SELECT user_id AS id, " + ", ".join(
-    f"max(CASE WHEN event_type = '{t}' THEN n END) AS {t}" for t in TYPES) + """
-FROM (SELECT user_id, event_type, count(*) AS n FROM events WHERE value > 150 GROUP BY 1, 2) GROUP BY 1""")
+@query("SELECT user_id AS id, CAST(ts AS DATE) AS day, " + ", ".join(
+    f"nullif(count(*) FILTER (WHERE event_type = '{t}'), 0) AS {t}" for t in TYPES) + " FROM events GROUP BY 1, 2")
 def pivot_single(load):
-    n = load("events").filter(F.col("value") > 150).groupBy(
-        F.col("user_id").alias("id"), "event_type").agg(F.count("*").alias("n"))
-    return R.wider(n, ["id"], "event_type", "n")
+    """A person's events per day, null where there are none of a type."""
+    n = load("events").groupBy(F.col("user_id").alias("id"), F.to_date("ts").alias("day"), "event_type").agg(
+        F.count("*").alias("n"))
+    return R.wider(n, ["id", "day"], "event_type", "n", values=TYPES)
 
 
 # -- composed tables -------------------------------------------------------

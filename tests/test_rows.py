@@ -49,6 +49,13 @@ def test_groups_of_size_with_hot_group(spark):
     for size in (1, 2, 3, 500):
         got = sorted(r.seq for r in groups_of_size(df, ["k"], size, "seq").collect())
         assert got == sorted(s for k, s in data if sizes[k] == size)
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", "3")
+    try:
+        for size in (3, 500):
+            got = sorted(r.seq for r in groups_of_size(df, ["k"], size, "seq").collect())
+            assert got == sorted(s for k, s in data if sizes[k] == size)
+    finally:
+        spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     text = plan(groups_of_size(df, ["k"], 1, "seq"))
     # Cut to size + 1 rows on both sides of the shuffle.
     assert text.count("WindowGroupLimit") == 2

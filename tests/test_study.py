@@ -5,6 +5,7 @@ import datetime as dt
 
 import pytest
 import study
+from conftest import plan
 from pyspark.sql import functions as F
 
 from longitab import vocab as V
@@ -204,6 +205,21 @@ def test_collapse_does_not_depend_on_partitions(inputs, rows):
     assert one.groupBy("id", "timepoint").count().filter("count > 1").count() == 0
 
 
+def test_shuffles_of_the_main_table(spark, inputs):
+    """The export is shuffled once collapsed; then the id's partitioning serves all."""
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        text = plan(clean_study(**inputs)["database"])
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    exchanges = [line for line in text.splitlines() if "Exchange " in line]
+    assert sum("slot#" in e for e in exchanges) == 2 and sum("REPARTITION_BY_COL" in e for e in exchanges) == 1
+    # Besides: two side tables, addresses, postcodes, surgery, and the final sort.
+    assert len(exchanges) == 3 + 2 + 3 + 1 + 1 and sum("rangepartitioning" in e for e in exchanges) == 1
+    assert "partial_min_by" in text and "CartesianProduct" not in text and "NestedLoop" not in text
+
+
 def test_export_bundle(spark, tables, tmp_path):
     folder = str(tmp_path / "out")
     assert write_bundle(tables, folder) == ["database", "fortnightly", "surgical", "adverse_events", "mri"]
