@@ -86,13 +86,10 @@ def plain_text(col: Column | str, dtype: str) -> Column:
     if dtype not in ("double", "float"):
         return c.cast("string")
     size = F.abs(c)
-    short = F.regexp_replace(c.cast("string"), r"\.0$", "")
-    exact = F.regexp_replace(c.cast("decimal(38,9)").cast("string"), r"\.?0+$", "")
-    whole = c.cast("decimal(38,0)").cast("string")
+    exact = F.regexp_replace(c.cast("decimal(38,9)").cast("string"), r"0+$", "")
     return (
-        F.when(c == 0, F.lit("0"))
-        .when((size >= 1e-3) & (size < 1e7), short)
-        .when((size >= 1e7) & (size < 1e28), F.when(c == F.floor(c), whole).otherwise(exact))
+        F.when((c == F.floor(c)) & (size < 9e18), c.cast("bigint").cast("string"))
+        .when((size >= 1e7) & (size < 9e18), exact)
         .otherwise(c.cast("string"))
     )
 
