@@ -17,6 +17,8 @@ from ..operators.collapse import coalesce_by_column
 EXTRA = "_extra"
 # What the baseline row gets of the pre-baseline row besides the block.
 PREBASELINE_COPIES = {"completed_base": "completed_proms_mpre", "dob": "dob_pre"}
+# Types a hash aggregate can hold.
+FIXED_WIDTH = {"tinyint", "smallint", "int", "bigint", "float", "double", "boolean", "date", "timestamp", "timestamp_ntz"}
 
 
 def tag_slots(df: DataFrame, event: str, events: Mapping[str, Sequence[str]],
@@ -173,27 +175,42 @@ def study_timepoints(df: DataFrame, side_tables: Sequence[DataFrame] = (), by: s
     """The study's one row per (id, timepoint), baseline and supplements included.
 
     ``filled`` holds the few columns that were filled row by row, under the
-    same id, event and order.  They are collapsed on their own and joined to
-    the rest by (id, slot), which both sides are already partitioned by; so
-    the wide export itself is shuffled only after it has been collapsed.
+    same id, event and order.
+
+    Numbers, texts and filled columns are collapsed apart and joined by (id,
+    slot), by which all of them are partitioned already.  So numbers get by
+    with a hash aggregate, where texts need a sort; each part reads its own
+    columns; and nothing wide is shuffled before it has been collapsed.
     """
     if block is None:
         block = S.between(df, *V.PREBASELINE_BLOCK)
+    keys = [by, event, order]
+    parts = [df.select(*keys, *[F.col(S._q(c)) for c in names]) for names in _by_kind(df, keys) if names]
+    if filled is not None:
+        parts.append(filled.drop(*(set(df.columns) - set(keys))))
     shared: dict[str, list[str]] = {t: [] for t in V.SUPPLEMENTS}
     collapsed = None
-    for frame in [df] if filled is None else [df, filled.drop(*(set(df.columns) - {by, event, order}))]:
-        found = shared_columns(frame, event, V.SUPPLEMENTS, (by, order, *S.starting(frame, "koos")))
-        for t, cols in found.items():
+    for part in parts:
+        for t, cols in shared_columns(part, event, V.SUPPLEMENTS, (by, order, *S.starting(part, "koos"))).items():
             shared[t] += [c for c in cols if c not in shared[t]]
-        tagged = tag_slots(frame, event, V.EVENTS, V.SUPPLEMENTS)
-        routed = route_prebaseline(tagged, by, order, block)
-        part = coalesce_by_column(routed, [by, "slot"], order)
-        collapsed = part if collapsed is None else collapsed.join(part.drop(event), [by, "slot"])
+        routed = route_prebaseline(tag_slots(part, event, V.EVENTS, V.SUPPLEMENTS), by, order, block)
+        rows = coalesce_by_column(routed, [by, "slot"], order)
+        collapsed = rows if collapsed is None else collapsed.join(rows.drop(event), [by, "slot"])
     # From here on an id has a handful of rows; with the id as partitioning
     # the joins and windows below need no further shuffle of this side.
     collapsed = finish_baseline(collapsed.repartition(by), by, side_tables)
     return merge_supplements(collapsed, by, shared, "completed_proms", keep_unmatched)
 
 
+def _by_kind(df: DataFrame, keys: Sequence[str]) -> tuple[list[str], list[str]]:
+    """Columns of variable and of fixed width; the swapped scores stay together."""
+    wide, fixed = [], []
+    for name, kind in df.dtypes:
+        if name not in keys:
+            together = name.lower().startswith(("koos", "pfoos"))
+            (fixed if together or kind in FIXED_WIDTH else wide).append(name)
+    return wide, fixed
+
+
 def timepoint_rank(col: str = "timepoint"):
     return rank_of(col, V.TIMEPOINTS)
