@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame
 from .. import vocab as V
 from ..operators import schema as S
 from ..operators.fill import ROWS_PER_BLOCK, fill
+from ..operators.joins import semi_join
 from ..session import stage
 from . import standardise as st
-from .cohort import keep_consented
+from .cohort import consented
 from .final import final_table, postcodes
 from .longitudinal import longitudinal
 from .monitoring import monitoring
@@ -29,9 +30,11 @@ def clean_study(export: DataFrame, dictionary: DataFrame, history: DataFrame, su
     """Clean an export into the tables of ``TABLES``.
 
     The standardised export is staged once, as several branches each read a
-    few of its columns; so are the columns that are filled row by row.
+    few of its columns; so are the cohort's ids and the columns that are
+    filled row by row.  The cohort is selected where rows are narrow or
+    already collapsed, never by joining the wide export.
     """
-    df = st.rename_columns(keep_consented(export), dictionary)
+    df = st.rename_columns(export, dictionary)
     df = st.drop_admin(st.recode_demographics(df), dictionary)
     ways = {c: w for c, w in st.DEMOGRAPHIC_FILLS.items() if c in df.columns}
     graft = {"sx_graft", "sx_graft_other", "sx_graftside", "bl_grafttype"} <= set(df.columns)
@@ -39,15 +42,18 @@ def clean_study(export: DataFrame, dictionary: DataFrame, history: DataFrame, su
         df = st.graft_candidates(df)
         ways |= st.GRAFT_FILLS
     df = stage(df)
+    cohort = stage(consented(df, "id"))
 
-    filled = fill(df.select("id", EVENT, "seq", *ways), ways, ["id"], "seq", rows_per_block=rows_per_block)
+    narrow = semi_join(df.select("id", EVENT, "seq", *ways), cohort, "id")
+    filled = fill(narrow, ways, ["id"], "seq", rows_per_block=rows_per_block)
     filled = stage(st.finish_graft(filled) if graft else filled)
 
     postcode = postcodes(df, addresses) if "address_res" in df.columns else None
-    monitored = monitoring(df)
+    monitored = semi_join(monitoring(df), cohort, "id")
     surgical = surgical_details(df, flagged_ids=flagged_ids)
 
     trunk = df.drop("address_res", *ways, *S.starting(df, "fn_", "mth_", "sx_"), *V.GRAFT_INPUTS, *V.HISTORY_INPUTS)
-    rows = study_timepoints(trunk, [history, surgery_counts], filled=filled, keep_unmatched=keep_unmatched)
+    rows = study_timepoints(trunk, [history, surgery_counts], filled=filled, cohort=cohort,
+                            keep_unmatched=keep_unmatched)
     database = final_table(longitudinal(rows, skip_null=skip_null), postcode, surgical, blinded=blinded)
-    return dict(zip(TABLES, [database, monitored, surgical, adverse_events, mri]))
+    return dict(zip(TABLES, [database, monitored, semi_join(surgical, cohort, "id"), adverse_events, mri]))

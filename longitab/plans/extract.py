@@ -28,9 +28,10 @@ def extract(df: DataFrame, catalogue: DataFrame, timepoints: Sequence[str], grou
 def widen(df: DataFrame, timepoints: Sequence[str], ids: Sequence[str], by: str = "timepoint") -> DataFrame:
     """One row per participant, columns ``<timepoint>_<variable>`` as text.
 
-    Each timepoint's variables travel as one struct, so the aggregate has as
-    many expressions as timepoints, however many variables there are; no
-    lengthening, one shuffle.
+    The table has one row per participant and timepoint.  Each timepoint's
+    variables travel as one struct, so the aggregate has as many expressions
+    as timepoints, however many variables there are; no lengthening, one
+    shuffle.
     """
     kinds = dict(df.dtypes)
     rest = [c for c in df.columns if c not in (*ids, by)]

@@ -13,6 +13,7 @@ from ..functions.dates import parse_date, years_completed
 from ..functions.recode import rank_of, recode
 from ..operators import schema as S
 from ..operators.collapse import coalesce_by_column
+from ..operators.joins import semi_join
 
 EXTRA = "_extra"
 # What the baseline row gets of the pre-baseline row besides the block.
@@ -33,16 +34,20 @@ def tag_slots(df: DataFrame, event: str, events: Mapping[str, Sequence[str]],
 
 
 def shared_columns(df: DataFrame, event: str, supplements: Mapping[str, Sequence[str]],
-                   skip: Sequence[str]) -> dict[str, list[str]]:
+                   skip: Sequence[str], cohort: DataFrame | None = None,
+                   by: str = "id") -> dict[str, list[str]]:
     """Per supplemented timepoint, the columns its supplement holds a value of.
 
     One aggregate over the supplement rows alone (the event filter reaches the
-    scan); one row per supplement comes back.
+    scan), of the cohort if there is one; one row per supplement comes back.
     """
     slots = {e: slot for slot, names in supplements.items() for e in names}
     names = [c for c in df.columns if c not in skip]
+    extra = df.filter(F.col(event).isin(*slots))
+    if cohort is not None:
+        extra = semi_join(extra, cohort, by)
     counts = (
-        df.filter(F.col(event).isin(*slots)).groupBy(recode(event, slots).alias("__slot"))
+        extra.groupBy(recode(event, slots).alias("__slot"))
         .agg(*[F.count(F.col(S._q(c))).alias(c) for c in names]).collect()
     )
     return {r["__slot"]: [c for c in names if r[c] > 0] for r in counts}
@@ -171,11 +176,13 @@ def finish_baseline(df: DataFrame, by: str, side_tables: Sequence[DataFrame] = (
 def study_timepoints(df: DataFrame, side_tables: Sequence[DataFrame] = (), by: str = "id",
                      event: str = "redcap_event_name", order: str = "seq",
                      block: Sequence[str] | None = None, filled: DataFrame | None = None,
-                     keep_unmatched: bool = False) -> DataFrame:
+                     cohort: DataFrame | None = None, keep_unmatched: bool = False) -> DataFrame:
     """The study's one row per (id, timepoint), baseline and supplements included.
 
     ``filled`` holds the few columns that were filled row by row, under the
-    same id, event and order.
+    same id, event and order.  If it holds the rows of a ``cohort`` only, the
+    result does too; pass the cohort's ids as well, so that supplements of
+    others do not count.
 
     Numbers, texts and filled columns are collapsed apart and joined by (id,
     slot), by which all of them are partitioned already.  So numbers get by
@@ -191,7 +198,8 @@ def study_timepoints(df: DataFrame, side_tables: Sequence[DataFrame] = (), by: s
     shared: dict[str, list[str]] = {t: [] for t in V.SUPPLEMENTS}
     collapsed = None
     for part in parts:
-        for t, cols in shared_columns(part, event, V.SUPPLEMENTS, (by, order, *S.starting(part, "koos"))).items():
+        skip = (by, order, *S.starting(part, "koos"))
+        for t, cols in shared_columns(part, event, V.SUPPLEMENTS, skip, cohort, by).items():
             shared[t] += [c for c in cols if c not in shared[t]]
         routed = route_prebaseline(tag_slots(part, event, V.EVENTS, V.SUPPLEMENTS), by, order, block)
         rows = coalesce_by_column(routed, [by, "slot"], order)

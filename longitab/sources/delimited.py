@@ -19,14 +19,16 @@ def _schema(spark: SparkSession, path: str, schema: str | T.StructType | None, m
 
 
 def read_csv(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-             nulls: Sequence[str] = ("",), multiline: bool = False) -> DataFrame:
+             nulls: Sequence[str] = ("",), multiline: bool = True) -> DataFrame:
     """CSV with a header; a field equal to one of ``nulls`` is null, quoted or not.
 
     All fields are read as text, matched with ``nulls``, then cast, so that a
     null token in a number column is a null and not a bad row.  A field that
     does not parse as its type becomes null.
 
-    With ``multiline`` quoted line breaks are kept, but a file is one task.
+    Quoted fields may hold line breaks, so a file is one task and a large
+    export should come in several files.  ``multiline=False`` cuts files into
+    splits; it is right only where no field holds a line break.
     """
     wanted = _schema(spark, path, schema, multiline)
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
@@ -46,7 +48,7 @@ def _typed(field: T.StructField, nulls: Sequence[str]) -> Column:
 
 
 def read_export(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-                order: Column | None = None, multiline: bool = False) -> DataFrame:
+                order: Column | None = None, multiline: bool = True) -> DataFrame:
     """The sparse long export: only blank is null, and ``seq`` holds the row order.
 
     Spark keeps no order between files, so an export in several files needs
@@ -63,7 +65,7 @@ def read_export(spark: SparkSession, path: str, schema: str | T.StructType | Non
 
 
 def read_table(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-               multiline: bool = False) -> DataFrame:
+               multiline: bool = True) -> DataFrame:
     """CSV where blank and ``NA`` both are null."""
     return read_csv(spark, path, schema, ("", "NA"), multiline)
 

@@ -26,7 +26,7 @@ def connect(sf_dir: str) -> duckdb.DuckDBPyConnection:
 
 def _plain(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(v + 0.0)
+        return "nan" if math.isnan(v) else repr(v)
     if isinstance(v, (dt.datetime, dt.date)):
         return v.isoformat()
     return v if v is None else str(v)

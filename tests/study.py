@@ -71,6 +71,8 @@ ROWS = [
     # 13: no consent.
     row(13, PRE, consent_tick=0, demographic_questionnaire_timestamp="2023-01-10 09:00:00"),
     row(13, BASE, pfoos_timestamp="2023-02-28 10:00:00", **ITEMS),
+    # 13 also has the only supplement with a value for eq5d_vas: it must not count.
+    row(13, M4X, pfoos_timestamp="2023-07-01 08:00:00", eq5d_vas=5),
     # 14: consented but baseline not completed; one month-8 row; a supplement without a main row.
     row(14, PRE, consent_tick=1, gender=1),
     row(14, BASE, pfoos_timestamp="[not completed]"),
