@@ -59,3 +59,16 @@ def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
         if done:
             unstage(both)
             return labels.select("node", "component")
+
+
+#: Ids that a join may send to every executor: 16 MB. Above, it is shuffled.
+BROADCAST_IDS = 1_000_000
+
+
+def with_ids(rows: DataFrame, column: str, ids: DataFrame, how: str = "left_semi") -> DataFrame:
+    """Rows whose ``column`` is (``left_anti``: is not) among the one column of
+    distinct ``ids``, without shuffling the rows where the ids are few."""
+    ids = ids.toDF("_id")
+    if ids.count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return rows.join(ids, rows[column] == F.col("_id"), how)

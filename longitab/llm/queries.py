@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import linkgraph, mixing, records, sql
+from . import jaccard, linkgraph, mixing, records, sql
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = sql.SQL
@@ -45,3 +45,9 @@ def op6_token_records(documents: DataFrame) -> DataFrame:
 def op8_link_graph(pages: DataFrame) -> DataFrame:
     """Verdicts on page urls by rules and the hosts' link graph."""
     return linkgraph.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+
+
+@query("documents")
+def op10_jaccard(documents: DataFrame) -> DataFrame:
+    """Groups of documents linked at Jaccard 0.85 on 4-word shingles."""
+    return jaccard.jaccard_groups(documents, words=4, threshold="0.85")
