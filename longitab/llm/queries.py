@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import jaccard, linkgraph, mixing, records, sql
+from . import chat, jaccard, linkgraph, mixing, records, spans, sql, vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = sql.SQL
@@ -51,3 +51,21 @@ def op8_link_graph(pages: DataFrame) -> DataFrame:
 def op10_jaccard(documents: DataFrame) -> DataFrame:
     """Groups of documents linked at Jaccard 0.85 on 4-word shingles."""
     return jaccard.jaccard_groups(documents, words=4, threshold="0.85")
+
+
+@query("documents")
+def op9_sentence_spans(documents: DataFrame) -> DataFrame:
+    """Documents without sentences that a repeated run covers, but for its first place."""
+    return spans.dedup_spans(documents)
+
+
+@query("conversations")
+def op7_chat(conversations: DataFrame) -> DataFrame:
+    """Conversations formatted, encoded and masked, read back from the output."""
+    return chat.formatted_digests(chat.with_probe(conversations), vocabulary("byte_bpe_50k.json"))
+
+
+@query("embeddings")
+def op4_vantage_points(embeddings: DataFrame) -> DataFrame:
+    """The 20 largest inner products of every twentieth vector."""
+    return vptree.nearest(embeddings, embeddings.where("vec_id % 20 = 0"))
