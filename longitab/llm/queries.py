@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard, linkgraph, mixing, records, spans, sql, vptree
+from . import chat, jaccard, language, linkgraph, mixing, records, spans, sql, templates, vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = sql.SQL
@@ -18,11 +18,11 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
-def query(table: str):
-    """Register ``(table) -> DataFrame`` under the function's name."""
+def query(*tables: str):
+    """Register a function of these tables under its name."""
     def add(fn):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(spark.read.parquet(f"{sf_dir}/{table}.parquet"))
+            return fn(*[spark.read.parquet(f"{sf_dir}/{t}.parquet") for t in tables])
         run.__name__, run.__doc__ = fn.__name__, fn.__doc__
         QUERIES[fn.__name__] = run
         return fn
@@ -69,3 +69,15 @@ def op7_chat(conversations: DataFrame) -> DataFrame:
 def op4_vantage_points(embeddings: DataFrame) -> DataFrame:
     """The 20 largest inner products of every twentieth vector."""
     return vptree.nearest(embeddings, embeddings.where("vec_id % 20 = 0"))
+
+
+@query("documents")
+def op5_language(documents: DataFrame) -> DataFrame:
+    """Language of each document by fused evidence, and whether it is accepted."""
+    return language.identify(documents).select("row.doc_id", "language", "confidence", "known", "accepted")
+
+
+@query("documents", "benchmark")
+def op2_templates(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """Documents that hold benchmark items, also with other names, numbers and units."""
+    return templates.leaks(documents, benchmark)
