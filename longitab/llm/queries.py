@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, jaccard, language, linkgraph, mixing, records, spans, sql, templates, vptree
+from . import chat, crf, jaccard, language, linkgraph, mixing, records, spans, sql, templates, vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = sql.SQL
@@ -81,3 +81,9 @@ def op5_language(documents: DataFrame) -> DataFrame:
 def op2_templates(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Documents that hold benchmark items, also with other names, numbers and units."""
     return templates.leaks(documents, benchmark)
+
+
+@query("pages")
+def op1_main_text(pages: DataFrame) -> DataFrame:
+    """Main text of every page by a conditional random field."""
+    return crf.extract(pages)
