@@ -4,8 +4,9 @@ One file holds records one after another::
 
     8 bytes   length of the payload, little-endian
     4 bytes   masked checksum of these 8 bytes
-    payload   8 bytes document id (signed, little-endian), then the token ids,
-              4 bytes each, unsigned, little-endian
+    payload   8 bytes document id (signed, little-endian), 1 byte width, then
+              the token ids, width bytes each (2 if all are below 65536, else
+              4), unsigned, little-endian
     4 bytes   masked checksum of the payload
     1 byte    10
 
@@ -41,9 +42,9 @@ END = b"\n"
 #: The vocabulary's special strings, which are matched before anything else.
 SPECIAL = "<|"
 #: Words kept per Python worker; a full table is emptied and filled anew.
-CACHED_WORDS = 500_000
-#: Bytes of text that are split into words at a time.
-BLOCK = 8 << 20
+CACHED_WORDS = 300_000
+#: Bytes of text that are encoded at a time.
+BLOCK = 4 << 20
 #: Words given to the tokenizer at a time.
 LINE = 2000
 #: Fixed value: ASCII marks, a run of which after a word is a word of its own.
@@ -59,7 +60,8 @@ def masked(data: bytes) -> int:
 
 def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
     """One record; a null document id is written as the least 64-bit integer."""
-    payload = struct.pack("<q", -(1 << 63) if doc_id is None else doc_id) + ids.astype("<u4").tobytes()
+    width = 4 if len(ids) and ids.max() > 0xFFFF else 2
+    payload = struct.pack("<qB", -(1 << 63) if doc_id is None else doc_id, width) + ids.astype(f"<u{width}").tobytes()
     length = struct.pack("<Q", len(payload))
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload)), END))
 
@@ -75,9 +77,9 @@ def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
         payload = data[start:start + length]
         if masked(payload) != struct.unpack_from("<I", data, start + length)[0]:
             raise ValueError(f"payload checksum differs at byte {at}")
-        doc_id = struct.unpack_from("<q", payload)[0]
+        doc_id, width = struct.unpack_from("<qB", payload)
         size = HEADER.size + length + 4 + len(END)
-        yield at, size, None if doc_id == -(1 << 63) else doc_id, np.frombuffer(payload, "<u4", offset=8)
+        yield at, size, None if doc_id == -(1 << 63) else doc_id, np.frombuffer(payload, f"<u{width}", offset=9).astype("<u4")
         at += size
 
 
@@ -161,16 +163,20 @@ class Encoder:
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
         """The ids of each text; the texts hold no null."""
-        out: list[np.ndarray] = []
-        ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
-        for block in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends // BLOCK)) + 1):
-            if len(block):
-                out += self._encode(texts.slice(block[0], len(block)))
+        out = self._encode(texts)
         for k in np.flatnonzero(pc.match_substring(texts, SPECIAL).to_numpy(zero_copy_only=False)):
             out[k] = np.asarray(self.whole.encode(texts[int(k)].as_py(), add_special_tokens=False).ids, np.uint32)
         return out
 
 
+def blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """``(start, length)`` of runs of rows that hold about ``BLOCK`` bytes of text, a longer text alone."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+    for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends // BLOCK)) + 1):
+        if len(rows):
+            yield int(rows[0]), len(rows)
+
+
 @lru_cache(maxsize=4)
 def encoder(path: str) -> Encoder:
     """One per Python worker and vocabulary."""
@@ -193,9 +199,10 @@ def write_records(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2,
     def encode(batches):
         of = encoder(vocabulary)
         for batch in batches:
-            ids = batch.column(0).to_pylist()
-            data = [frame(i, np.append(x, np.uint32(end_id)))[:-1] for i, x in zip(ids, of.encode(batch.column(1)))]
-            yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["value"])
+            for start, n in blocks(batch.column(1)):
+                ids, texts = (batch.column(k).slice(start, n) for k in (0, 1))
+                data = [frame(i, np.append(x, np.uint32(end_id)))[:-1] for i, x in zip(ids.to_pylist(), of.encode(texts))]
+                yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["value"])
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
