@@ -15,6 +15,7 @@ save most of the rest:
 
 from __future__ import annotations
 
+import zlib
 from fractions import Fraction
 
 import numpy as np
@@ -28,7 +29,7 @@ from longitab.session import stage, unstage
 from .common import components, window_hashes, with_ids, word_hashes
 
 #: Counters of the frequency sketch, whatever the input's size.
-CELLS = 1 << 20
+CELLS = 1 << 22
 CHUNK = 1 << 16
 #: Partial sketches that one task adds up.
 FAN_IN = 64
@@ -68,7 +69,7 @@ def sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*[pa.array(c, pa.int64()) for c in cols], pa.array(none, pa.int32()), pa.array(none, pa.int32()), pa.array(none, pa.binary())],
                 ["id", "size", "f1", "f2", "part", "chunk", "counts"])
-        chunks = [c.tobytes() for c in np.split(counts, CELLS // CHUNK)]
+        chunks = [zlib.compress(c.tobytes(), 1) for c in np.split(counts, CELLS // CHUNK)]
         none, part = [None] * len(chunks), TaskContext.get().partitionId()
         yield pa.RecordBatch.from_arrays(
             [*[pa.array(none, pa.int64())] * 4, pa.array([part] * len(chunks), pa.int32()), pa.array(range(len(chunks)), pa.int32()),
@@ -80,10 +81,10 @@ def sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
 def merged_sketch(parts: DataFrame) -> np.ndarray:
     """The sum of all partial sketches, added ``FAN_IN`` at a time; its size is fixed."""
     def add(table: pa.Table) -> pa.Table:
-        total = sum(np.frombuffer(c.as_py(), np.uint32).astype(np.uint64) for c in table["counts"])
+        total = sum(np.frombuffer(zlib.decompress(c.as_py()), np.uint32).astype(np.uint64) for c in table["counts"])
         total = np.minimum(total, np.uint64(2**32 - 1)).astype(np.uint32)
         return pa.table({"part": pa.array([table["part"][0].as_py() // FAN_IN], pa.int32()), "chunk": table["chunk"].slice(0, 1).combine_chunks(),
-                         "counts": pa.array([total.tobytes()], pa.binary())})
+                         "counts": pa.array([zlib.compress(total.tobytes(), 1)], pa.binary())})
 
     left = (parts.agg(F.max("part")).first()[0] or 0) + 1
     while left > 1:
@@ -91,7 +92,7 @@ def merged_sketch(parts: DataFrame) -> np.ndarray:
         left = -(-left // FAN_IN)
     sketch = np.zeros(CELLS, np.uint32)
     for row in parts.select("chunk", "counts").toLocalIterator():
-        sketch[row.chunk * CHUNK:(row.chunk + 1) * CHUNK] = np.frombuffer(row.counts, np.uint32)
+        sketch[row.chunk * CHUNK:(row.chunk + 1) * CHUNK] = np.frombuffer(zlib.decompress(row.counts), np.uint32)
     return sketch
 
 
@@ -134,31 +135,52 @@ def postings(docs: DataFrame, words: int, num: int, den: int, sketch) -> DataFra
     return docs.mapInArrow(run, "token long, id long, size int, pos int, ahead boolean")
 
 
-def overlaps(docs: DataFrame, pairs: DataFrame, words: int) -> DataFrame:
-    """``(a, b)`` to ``(a, b, size_a, size_b, overlap)``, counted on the sets themselves."""
+def overlaps(docs: DataFrame, pairs: DataFrame, words: int, num: int, den: int) -> DataFrame:
+    """``(a, b)`` to ``(a, b, size_a, size_b, overlap)``, counted on the sets themselves.
+
+    Pairs that can't link by their sets' counts in 256 hash ranges, of which
+    the smaller ones bound the overlap, are left out before any set is moved.
+    """
     wanted = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
 
     def sets(batches):
         for batch in batches:
-            ids = batch.column(0)
-            data = [shingles(t, words).tobytes() for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([ids, pa.array(data, pa.binary())], ["id", "set"])
+            found = [shingles(t, words) for t in batch.column(1).to_pylist()]
+            ranges = [np.bincount((u >> np.uint64(56)).astype(np.int64), minlength=256).astype(np.uint32).tobytes() for u in found]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), pa.array([len(u) for u in found], pa.int64()), pa.array(ranges, pa.binary()),
+                 pa.array([u.tobytes() for u in found], pa.binary())], ["id", "size", "ranges", "set"])
 
-    held = stage(with_ids(docs, "id", wanted).mapInArrow(sets, "id long, set binary"))
+    held = stage(with_ids(docs, "id", wanted).mapInArrow(sets, "id long, size long, ranges binary, set binary"))
+
+    def bound(batches):
+        for batch in batches:
+            if batch.num_rows:
+                x, y = (batch.column(k).to_numpy() for k in (2, 3))
+                p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, 256) for k in (4, 5))
+                most = np.minimum(p, q).sum(axis=1, dtype=np.int64)
+                yield batch.select(["a", "b"]).filter(pa.array(most * (num + den) >= (x + y) * num))
 
     def count(batches):
         for batch in batches:
-            a, b = (batch.column(k) for k in (0, 1))
             x, y = ([np.frombuffer(s.as_py(), np.uint64) for s in batch.column(k)] for k in (2, 3))
             shared = [len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y)]
             yield pa.RecordBatch.from_arrays(
-                [a, b, *[pa.array(c, pa.int64()) for c in ([len(p) for p in x], [len(q) for q in y], shared)]],
+                [batch.column(0), batch.column(1),
+                 *[pa.array(c, pa.int64()) for c in ([len(p) for p in x], [len(q) for q in y], shared)]],
                 ["a", "b", "size_a", "size_b", "overlap"])
 
-    left, right = held.toDF("a", "set_a"), held.toDF("b", "set_b")
-    out = stage(pairs.select("a", "b").join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b").mapInArrow(
+    def beside(some: DataFrame, rows: DataFrame, *columns: str) -> DataFrame:
+        """Each pair with these columns of both its sets."""
+        of = lambda end: rows.select(F.col("id").alias(end), *[F.col(c).alias(f"{c}_{end}") for c in columns])
+        return some.join(of("b"), "b").join(of("a"), "a")
+
+    open_ = stage(beside(pairs.select("a", "b"), held, "size", "ranges").select("a", "b", "size_a", "size_b", "ranges_a", "ranges_b").mapInArrow(
+        bound, "a long, b long"))
+    still = stage(open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct())
+    out = stage(beside(open_, with_ids(held, "id", still), "set").select("a", "b", "set_a", "set_b").mapInArrow(
         count, "a long, b long, size_a long, size_b long, overlap long"))
-    unstage(wanted, held)
+    unstage(wanted, held, open_, still)
     return out
 
 
@@ -240,7 +262,7 @@ def jaccard_groups(
         (F.col("id") != F.col("hub.id")) & (F.least("size", "hub.size") * den >= F.greatest("size", "hub.size") * num)
         & (F.col("size") - F.col("pos") >= need) & (F.col("hub.size") - F.col("hub.pos") >= need)
     )
-    to_hub = overlaps(distinct, shared.where(near).select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct(), words)
+    to_hub = overlaps(distinct, shared.where(near).select(F.col("id").alias("a"), F.col("hub.id").alias("b")).distinct(), words, num, den)
     links_if = lambda df: df.where(F.col("overlap") * (den + num) >= (F.col("size_a") + F.col("size_b")) * num).select("a", "b")
     links = copies.select(F.col("id").alias("a"), F.col("rep").alias("b")).union(links_if(to_hub))
     known = components(links)
@@ -251,7 +273,7 @@ def jaccard_groups(
     open_ = with_component.join(mixed, "token", "left_semi").withColumn("hub_id", F.col("hub.id")).join(asked, ["id", "hub_id"], "left")
     answered = open_.withColumn("shared", F.when(F.col("id") == F.col("hub_id"), F.col("size")).otherwise(F.col("overlap")))
     left = stage(candidate_pairs(answered.withColumn("hub_size", F.col("hub.size")), num, den))
-    more = left.where("linked").select("a", "b").union(links_if(overlaps(distinct, left.where("not linked"), words)))
+    more = left.where("linked").select("a", "b").union(links_if(overlaps(distinct, left.where("not linked"), words, num, den)))
     groups = known if more.isEmpty() else components(links.union(more))
     unstage(shared, left, away)
     return sizes.join(groups, F.col("id") == F.col("node"), "left").select(
