@@ -17,10 +17,14 @@ def recode(col: Column | str, mapping: Mapping, keep_unmatched: bool = False) ->
     """Look ``col`` up in a literal map.
 
     An unlisted value becomes null, or stays as it is with ``keep_unmatched``
-    (only sensible when keys and labels have one type).
+    (only sensible when keys and labels have one type).  With number keys a
+    text that is no number is an unlisted value.
     """
+    value = _c(col)
+    if all(isinstance(k, (int, float)) and not isinstance(k, bool) for k in mapping):
+        mapping, value = {float(k): v for k, v in mapping.items()}, value.try_cast("double")
     table = F.create_map(*[F.lit(x) for x in chain.from_iterable(mapping.items())])
-    hit = table[_c(col)]
+    hit = table[value]
     return F.coalesce(hit, _c(col)) if keep_unmatched else hit
 
 

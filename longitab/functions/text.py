@@ -81,7 +81,7 @@ def normalise_list(col: Column | str, notes: bool = True, closing: bool = True)
 
 
 def plain_text(col: Column | str, dtype: str) -> Column:
-    """Value as text: whole doubles without ``.0``, no exponent, ISO dates."""
+    """Value as text: whole doubles without ``.0``, ISO dates; no exponent from 1e-20 to 1e38."""
     c = _c(col)
     if dtype not in ("double", "float"):
         return c.cast("string")
@@ -89,7 +89,9 @@ def plain_text(col: Column | str, dtype: str) -> Column:
     exact = F.regexp_replace(c.cast("decimal(38,9)").cast("string"), r"0+$", "")
     return (
         F.when((c == F.floor(c)) & (size < 9e18), c.cast("bigint").cast("string"))
+        .when((size >= 9e18) & (size < 1e38), c.cast("decimal(38,0)").cast("string"))
         .when((size >= 1e7) & (size < 9e18), exact)
+        .when((size < 1e-3) & (size >= 1e-20), F.regexp_replace(c.cast("decimal(38,36)").cast("string"), r"0+$", ""))
         .otherwise(c.cast("string"))
     )
 

@@ -38,12 +38,12 @@ def wider(df: DataFrame, ids: Sequence[str], key: str, value: str, values: Seque
 
     Give the list of key values; without it they are read from the data, up
     to a limit that keeps the result schema-sized.  ``order`` decides which
-    row counts should a cell occur twice.
+    row counts should a cell occur twice; without it the least value does.
     """
     if values is None:
         values = key_values(df, key)
     pick = (lambda v: F.min_by(value, F.when(F.col(key) == v, F.col(order)))) if order else (
-        lambda v: F.first(F.when(F.col(key) == v, F.col(value)), ignorenulls=True))
+        lambda v: F.min(F.when(F.col(key) == v, F.col(value))))
     wide = df.groupBy(*ids).agg(*[pick(F.lit(v)).alias(str(v)) for v in values])
     return wide.na.fill(fill, [str(v) for v in values]) if fill is not None else wide
 
@@ -86,9 +86,9 @@ def split_columns(df: DataFrame, col: str, into: Sequence[str], sep: str = ";")
     return df.withColumns({n: F.get(parts, F.lit(i)) for i, n in enumerate(into)}).drop(col)
 
 
-def explode_first(df: DataFrame, col: str, n: int, sep: str = ";", pos: str | None = None) -> DataFrame:
-    """The first ``n`` tokens as rows; a null text gives no row."""
-    parts = F.slice(tokens(col, sep), 1, n)
+def explode_first(df: DataFrame, col: str, n: int | None, sep: str = ";", pos: str | None = None) -> DataFrame:
+    """The first ``n`` tokens as rows, or all of them; a null text gives no row."""
+    parts = tokens(col, sep) if n is None else F.slice(tokens(col, sep), 1, n)
     rest = [c for c in df.columns if c != col]
     exploded = df.select(*rest, F.posexplode(parts).alias(pos or "__pos", col))
     return exploded if pos else exploded.drop("__pos")
@@ -97,7 +97,9 @@ def explode_first(df: DataFrame, col: str, n: int, sep: str = ";", pos: str | No
 def union_by_name(*frames: DataFrame) -> DataFrame:
     """Stack by name; absent columns are null, types are aligned first.
 
-    A column that is text in one frame becomes text in all of them.
+    A column that is text in one frame becomes text in all of them, numbers
+    without an exponent.  A date beside a timestamp becomes a timestamp at
+    midnight; decimals keep their digits beside whole numbers and each other.
     """
     kinds: dict[str, T.DataType] = {}
     for df in frames:
@@ -105,11 +107,24 @@ def union_by_name(*frames: DataFrame) -> DataFrame:
             kinds[f.name] = _wider(kinds.get(f.name), f.dataType)
     out = None
     for df in frames:
-        cast = df.select(*[F.col(_q(f.name)).cast(kinds[f.name]).alias(f.name) for f in df.schema])
+        cast = df.select(*[_as(f, kinds[f.name]).alias(f.name) for f in df.schema])
         out = cast if out is None else out.unionByName(cast, allowMissingColumns=True)
     return out
 
 
+def _as(field: T.StructField, kind: T.DataType) -> Column:
+    col = F.col(_q(field.name))
+    if isinstance(kind, T.StringType) and not isinstance(field.dataType, T.StringType):
+        return plain_text(col, field.dataType.simpleString())
+    return col.cast(kind)
+
+
+def _decimal(kind: T.DataType) -> T.DecimalType | None:
+    """A decimal type that holds all values of a decimal or whole type."""
+    digits = {T.ByteType: 3, T.ShortType: 5, T.IntegerType: 10, T.LongType: 19}
+    return kind if isinstance(kind, T.DecimalType) else T.DecimalType(digits[type(kind)], 0) if type(kind) in digits else None
+
+
 def _wider(a: T.DataType | None, b: T.DataType) -> T.DataType:
     if a is None or a == b or isinstance(a, T.NullType):
         return b
@@ -119,5 +134,14 @@ def _wider(a: T.DataType | None, b: T.DataType) -> T.DataType:
         whole = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
         if isinstance(a, whole) and isinstance(b, whole):
             return T.LongType()
+        x, y = _decimal(a), _decimal(b)
+        if x and y:
+            scale = max(x.scale, y.scale)
+            whole_digits = max(x.precision - x.scale, y.precision - y.scale)
+            if whole_digits + scale <= 38:
+                return T.DecimalType(whole_digits + scale, scale)
         return T.DoubleType()
+    for stamp in (T.TimestampType, T.TimestampNTZType):
+        if {type(a), type(b)} == {T.DateType, stamp}:
+            return stamp()
     return T.StringType()

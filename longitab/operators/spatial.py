@@ -68,6 +68,7 @@ def assign_areas(points: DataFrame, areas: DataFrame, key: str, x: str, y: str,
     levels = [r[0] for r in sized.select("__level").distinct().collect()]
     located = (
         points.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+        .withColumn("__row", F.monotonically_increasing_id())  # keys may repeat
         .withColumn("__level", F.explode(F.array(*[F.lit(v) for v in sorted(levels)]).cast("array<int>")))
         .withColumn("__cx", F.floor(F.col(x) / step))
         .withColumn("__cy", F.floor(F.col(y) / step))
@@ -76,5 +77,5 @@ def assign_areas(points: DataFrame, areas: DataFrame, key: str, x: str, y: str,
     px, py = F.col(x).cast("double"), F.col(y).cast("double")
     in_box = px.between(F.col("__x0"), F.col("__x1")) & py.between(F.col("__y0"), F.col("__y1"))
     hits = near.filter(in_box & inside(px, py, F.col("__ring")))
-    return first_per_group(hits, [key], [code]).select(*points.columns, code, *keep)
+    return first_per_group(hits, [key, "__row"], [code]).select(*points.columns, code, *keep)
 

@@ -42,7 +42,9 @@ def clean_study(export: DataFrame, dictionary: DataFrame, history: DataFrame, su
         df = st.graft_candidates(df)
         ways |= st.GRAFT_FILLS
     df = stage(df)
-    cohort = stage(consented(df, "id"))
+    # From the export as it came: the dictionary may rename or drop the tick.
+    key = "record_id" if "record_id" in export.columns else "id"
+    cohort = stage(consented(export, key).toDF("id"))
 
     narrow = semi_join(df.select("id", EVENT, "seq", *ways), cohort, "id")
     filled = fill(narrow, ways, ["id"], "seq", rows_per_block=rows_per_block)

@@ -28,7 +28,8 @@ def extract(df: DataFrame, catalogue: DataFrame, timepoints: Sequence[str], grou
 def widen(df: DataFrame, timepoints: Sequence[str], ids: Sequence[str], by: str = "timepoint") -> DataFrame:
     """One row per participant, columns ``<timepoint>_<variable>`` as text.
 
-    The table has one row per participant and timepoint.  Each timepoint's
+    The table has one row per participant and timepoint (of several, the least
+    counts).  Each timepoint's
     variables travel as one struct, so the aggregate has as many expressions
     as timepoints, however many variables there are; no lengthening, one
     shuffle.
@@ -37,7 +38,7 @@ def widen(df: DataFrame, timepoints: Sequence[str], ids: Sequence[str], by: str
     rest = [c for c in df.columns if c not in (*ids, by)]
     packed = df.select(*ids, by, F.struct(*[plain_text(S._q(c), kinds[c]).alias(c) for c in rest]).alias("__v"))
     wide = packed.groupBy(*ids).agg(*[
-        F.first(F.when(F.col(by) == t, F.col("__v")), ignorenulls=True).alias(f"__{t}") for t in timepoints
+        F.min(F.when(F.col(by) == t, F.col("__v"))).alias(f"__{t}") for t in timepoints
     ])
     return wide.select(*ids, *[F.col(f"__{t}")[c].alias(f"{t}_{c}") for t in timepoints for c in rest])
 

@@ -15,15 +15,15 @@ from ..operators.reshape import explode_first, key_values
 from ..operators.rows import distinct_first
 
 
-def history_tokens(df: DataFrame, col: str, keep: Sequence[str] = ("id",), n: int = V.HISTORY_TOKENS,
+def history_tokens(df: DataFrame, col: str, keep: Sequence[str] = ("id",), n: int | None = None,
                    notes: bool = False, closing: bool = False) -> DataFrame:
-    """(keep..., pos, token): the first ``n`` entries of a free-text list, trimmed.
+    """(keep..., pos, token): the entries of a free-text list, trimmed; with ``n`` only the first ones.
 
     ``notes`` and ``closing`` also clean bracketed notes and a last separator.
     """
     text = df.select(*keep, normalise_list(col, notes, closing).alias("token"))
-    first = explode_first(text, "token", n, pos="pos")
-    return first.withColumn("token", trim_all("token"))
+    entries = explode_first(text, "token", n, pos="pos")
+    return entries.withColumn("token", trim_all("token"))
 
 
 def token_frequency(tokens: DataFrame, name: str = "f") -> DataFrame:

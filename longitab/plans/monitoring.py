@@ -33,11 +33,14 @@ def monitoring_label(event: str, week_16: str = WEEK_16) -> Column:
 
 
 def merge_checkbox_arms(df: DataFrame, prefix: str, arms=V.ARMS, names=tuple(V.PROFESSIONS)) -> DataFrame:
-    """Add the arms' checkbox families up, one column per box; null if either is."""
+    """Add the arms' checkbox families up, one column per box; null if either is.
+
+    Where the export holds one arm's box only, that one counts.
+    """
     merged = {}
     for k, name in enumerate(names, start=1):
-        boxes = [f"{prefix}_whichotherprof_{arm}___{k}" for arm in arms]
-        if all(b in df.columns for b in boxes):
+        boxes = [b for arm in arms if (b := f"{prefix}_whichotherprof_{arm}___{k}") in df.columns]
+        if boxes:
             merged[f"{prefix}_otherprof_{name}"] = row_sum(boxes)
     return df.withColumns(merged)
 
@@ -57,8 +60,8 @@ def monitoring(df: DataFrame, by: str = "id", event: str = "redcap_event_name",
         other = f"{prefix}_whichotherprof_other"
         if other in fm.columns:
             fm = fm.withColumn(f"{prefix}_otherprof_otherdetail", F.col(other))
-        counts = [f"{prefix}_otherprofsessions_{arm}" for arm in V.ARMS]
-        if all(c in fm.columns for c in counts):
-            fm = fm.withColumn(f"{prefix}_otherprof_sessions", either_or(*counts))
+        counts = [c for arm in V.ARMS if (c := f"{prefix}_otherprofsessions_{arm}") in fm.columns]
+        if counts:
+            fm = fm.withColumn(f"{prefix}_otherprof_sessions", either_or(*counts) if len(counts) > 1 else F.col(counts[0]))
     fm = S.drop_matching(fm, "whichotherprof|otherprofsessions")
     return S.pick(fm, [by, "timepoint", "completed", *S.starting(fm, "fn_"), *S.starting(fm, "mth_")])

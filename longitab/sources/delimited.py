@@ -75,5 +75,5 @@ def write_csv(df: DataFrame, path: str, null: str = "NA", mode: str = "errorifex
     stamp = "yyyy-MM-dd HH:mm:ss"
     df.write.mode(mode).option("timestampNTZFormat", stamp).csv(
         path, header=True, nullValue=null, emptyValue="", quote='"', escape='"',
-        dateFormat="yyyy-MM-dd", timestampFormat=stamp,
+        dateFormat="yyyy-MM-dd", timestampFormat=stamp, ignoreLeadingWhiteSpace=False, ignoreTrailingWhiteSpace=False,
     )

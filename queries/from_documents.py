@@ -35,7 +35,7 @@ def explode_delimited(load):
     return R.explode_list(df, "list")
 
 
-@query(f"WITH {LISTS}, p AS (SELECT id, string_split(list, ';') AS parts FROM lists) SELECT id, "
+@query(f"WITH {LISTS}, p AS (SELECT id, string_split(list, ';')[1:8] AS parts FROM lists) SELECT id, "
        + ", ".join(f"parts[{i}] AS med{i}" for i in range(1, 9)) + " FROM p")
 def split_to_columns(load):
     return R.split_columns(lists(load).select("id", "list"), "list", [f"med{i}" for i in range(1, 9)])
@@ -86,10 +86,10 @@ def conditional_counts(load):
 
 # -- histories -------------------------------------------------------------
 
-HISTORY = rf"""parts AS (SELECT id, string_split(translate(regexp_replace(list, '[0-9]', '', 'g'), ',', ';'), ';')[1:8] AS parts FROM lists),
+HISTORY = rf"""parts AS (SELECT id, string_split(translate(regexp_replace(list, '[0-9]', '', 'g'), ',', ';'), ';') AS parts FROM lists),
 tok AS (SELECT id, CAST(i - 1 AS INTEGER) AS pos, {_trim("parts[i]")} AS token
   FROM (SELECT id, parts, unnest(generate_series(1, len(parts))) AS i FROM parts))"""
-SURGERIES = f"""parts AS (SELECT id, string_split(regexp_replace({NORMAL}, ';$', ''), ';')[1:8] AS parts FROM lists),
+SURGERIES = f"""parts AS (SELECT id, string_split(regexp_replace({NORMAL}, ';$', ''), ';') AS parts FROM lists),
 tok AS (SELECT id, CAST(i - 1 AS INTEGER) AS pos, {_trim("parts[i]")} AS token
   FROM (SELECT id, parts, unnest(generate_series(1, len(parts))) AS i FROM parts))"""
 

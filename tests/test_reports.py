@@ -60,7 +60,8 @@ def histories(spark):
 
 
 def test_first_eight_tokens(histories):
-    tokens = H.history_tokens(histories, "text")
+    assert H.history_tokens(histories, "text").filter("id = 4").count() == 10  # all entries unless told otherwise
+    tokens = H.history_tokens(histories, "text", n=8)
     assert tokens.filter("id = 4").count() == 8 and tokens.filter("id = 3").count() == 0
     freq = [tuple(r) for r in H.token_frequency(tokens).limit(2).collect()]
     assert freq == [("knee", 2), ("Knee", 1)]
