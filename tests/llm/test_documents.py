@@ -163,7 +163,7 @@ def test_language_held_out(spark):
 def test_language_evidence_decides_where_text_does_not(spark):
     es, it = "el perro corre por la calle y los ninos juegan", "il cane corre nella strada e gli amici giocano"
     rows = [(i, es if i < 30 else it, "es" if i < 30 else "it", "x.es" if i < 30 else "y.it") for i in range(60)]
-    rows += [(97, "zz", None, "y.it"), (98, "zz", "it", None), (99, "zz", None, "x.es")]
+    rows += [(97, "zz", None, "y.it"), (98, "qq", "it", None), (99, "zz", None, "x.es")]
     df = spark.createDataFrame(rows, "page_id long, text string, declared string, host string")
     got = {r.row.page_id: r.language for r in language.identify(df, "page_id", "text", "declared", "host").collect()}
     assert (got[0], got[30], got[97], got[98], got[99]) == ("es", "it", "it", "it", "es")
