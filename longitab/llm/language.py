@@ -9,7 +9,8 @@ that to the whole table's, the more the fewer rows it has.
 
 from __future__ import annotations
 
-import zlib
+import sys
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -25,35 +26,44 @@ from .common import with_ids
 TRAIN_ROWS, LEAST_ROWS = 2000, 5
 #: Hash buckets of trigrams; with the languages they bound the model's size.
 BUCKETS = 1 << 15
-#: Distinct words kept per Python worker, and bytes of text that are split at a time.
-CACHED_WORDS, BLOCK = 300_000, 4 << 20
+#: Bytes of text that are scored at a time.
+BLOCK = 1 << 20
+#: Odd constants of the trigram hash, and the shift that leaves a bucket.
+A, B, C, SHIFT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D), np.uint32(32 - 15)
 #: Rows' worth of belief in the parent's prior, and in a value being as common in each language.
 PRIOR_ROWS, EVIDENCE_ROWS = 20.0, 20.0
 #: A document is accepted if so much of its text is known and the best language is so likely.
 KNOWN, CONFIDENCE = 0.5, 0.5
 
 
-def grams(word: str) -> list[int]:
-    """The buckets of a word's trigrams, its ends marked; what is not a letter is left out."""
-    letters = "".join(filter(str.isalpha, word))
-    if not letters:
-        return []
-    padded = f" {letters} ".encode("utf-32-le")
-    return [zlib.crc32(padded[i:i + 12]) & (BUCKETS - 1) for i in range(0, len(padded) - 8, 4)]
+@lru_cache(maxsize=1)
+def _letters() -> np.ndarray:
+    """Which code points are letters."""
+    return np.fromiter((chr(c).isalpha() for c in range(sys.maxunicode + 1)), bool)
 
 
-def _coded(texts: pa.Array) -> tuple[list[str], np.ndarray, np.ndarray]:
-    """Distinct words in small letters, each word's code, and the words per text."""
-    split = pc.ascii_split_whitespace(pc.utf8_lower(pc.fill_null(texts, "")))
-    coded = split.flatten().dictionary_encode()
-    return coded.dictionary.to_pylist(), coded.indices.to_numpy(), pc.list_value_length(split).to_numpy()
+def trigrams(texts: list[str | None]) -> tuple[np.ndarray, np.ndarray]:
+    """The trigram buckets of all texts one after another, and how many each text has.
+
+    Letters are small and what is not a letter separates; each letter gives the
+    trigram that it is the middle of.
+    """
+    small = [(t or "").lower() for t in texts]
+    codes = np.frombuffer(f" {' '.join(small)} ".encode("utf-32-le", "surrogatepass"), np.uint32)
+    letter = _letters()[codes]
+    plain = np.where(letter, codes, np.uint32(32))
+    middle = np.flatnonzero(letter)
+    mixed = plain[middle - 1] * A ^ plain[middle] * B ^ plain[middle + 1] * C
+    ends = np.cumsum([len(t) + 1 for t in small])
+    return ((mixed * A) >> SHIFT).astype(np.int64), np.diff(np.searchsorted(middle, ends, "right"), prepend=0)
 
 
 def _blocks(texts: pa.Array):
+    """Runs of rows that hold about ``BLOCK`` bytes of text, a longer text alone."""
     ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy().astype(np.int64))
     for some in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends // BLOCK)) + 1):
         if len(some):
-            yield texts.slice(some[0], len(some))
+            yield texts.slice(some[0], len(some)).to_pylist()
 
 
 class Model:
@@ -61,30 +71,19 @@ class Model:
 
     def __init__(self, languages: list[str], counts: np.ndarray):
         self.languages = languages
-        self.table = np.log((counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * BUCKETS)).T
-        self.seen = counts.sum(axis=0) > 0
-        self.words: dict[str, np.ndarray] = {}
-
-    def _vector(self, word: str) -> np.ndarray:
-        at = grams(word)
-        return np.array([*self.table[at].sum(axis=0), len(at), self.seen[at].sum()]) if at else np.zeros(len(self.languages) + 2)
+        logs = np.log((counts + 0.1) / (counts.sum(axis=1, keepdims=True) + 0.1 * BUCKETS))
+        self.table = np.concatenate([logs, [np.ones(BUCKETS)], [counts.sum(axis=0) > 0]]).T.astype(np.float32)
 
     def score(self, texts: pa.Array) -> pa.Array:
         """Per text the log-likelihood under each language, its trigrams, and how many of them are known."""
         out = []
         for block in _blocks(texts):
-            if len(self.words) > CACHED_WORDS:
-                self.words = {}
-            words, codes, sizes = _coded(block)
-            self.words.update((w, self._vector(w)) for w in words if w not in self.words)
-            vectors = np.array([self.words[w] for w in words]).reshape(len(words), len(self.languages) + 2)
+            at, sizes = trigrams(block)
             ends = np.append(0, np.cumsum(sizes))
-            out += [vectors[codes[i:j]].sum(axis=0) for i, j in zip(ends, ends[1:])]
+            values = self.table[at]
+            out += [values[i:j].sum(axis=0, dtype=np.float64) for i, j in zip(ends, ends[1:])]
         return pa.array(out, pa.list_(pa.float64()))
 
-    def __getstate__(self):
-        return {**self.__dict__, "words": {}}
-
 
 def fit(rows: DataFrame, text: Column, label: Column, key: Column, train_rows: int = TRAIN_ROWS) -> Model:
     """Fit on the ``train_rows`` labelled rows of least key hash; texts are read whole."""
@@ -98,12 +97,10 @@ def fit(rows: DataFrame, text: Column, label: Column, key: Column, train_rows: i
         for batch in batches:
             labels = np.array(batch.column(0).to_pylist(), object)
             for name in set(labels):
-                words, codes, _ = _coded(batch.column(1).filter(pa.array(labels == name)))
                 at = total.setdefault(name, np.zeros(BUCKETS, np.int64))
                 n[name] = n.get(name, 0) + int((labels == name).sum())
-                for w, times in zip(words, np.bincount(codes, minlength=len(words)).tolist()):
-                    for g in grams(w):
-                        at[g] += times
+                for block in _blocks(batch.column(1).filter(pa.array(labels == name))):
+                    at += np.bincount(trigrams(block)[0], minlength=BUCKETS)
         for name, at in total.items():
             g = np.append(np.flatnonzero(at), -1)
             yield pa.RecordBatch.from_arrays(
