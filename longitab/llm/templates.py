@@ -36,7 +36,7 @@ NUMBERS = r"[0-9]+(?:[.,][0-9]+)*"
 
 def _marked(text: Column) -> Column:
     """Small letters, names marked: a capital and then a small letter, after a word or comma of the same sentence."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[\p{L}\p{N},;:] )(?=\p{Lu}\p{Ll})", NAME)
+    named = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{L}\p{N},;:] (?=\p{Lu}\p{Ll})", "$0" + NAME)
     return F.lower(named)
 
 
@@ -46,21 +46,21 @@ def tokens(text: Column) -> Column:
 
 
 def template(text: Column) -> Column:
-    """The same tokens with placeholders in place of slots, position by position."""
+    """The same tokens with placeholders in place of slots, position by position; one empty token where there are none."""
     t = F.regexp_replace(_marked(text), NUMBERS, f" {NUMBER} ")
     t = F.regexp_replace(t, f"{NAME}{WORDS}", NAME)
     t = F.regexp_replace(t, rf"(?<={NUMBER} )\s?(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{M}}])", UNIT)
-    t = F.trim(F.regexp_replace(t, rf"[^\p{{L}}\p{{M}}{NAME}-{UNIT}]+", " "))
-    return F.when(t == "", F.array().cast("array<string>")).otherwise(F.split(t, " "))
+    return F.split(F.trim(F.regexp_replace(t, rf"[^\p{{L}}\p{{M}}{NAME}-{UNIT}]+", " ")), " ")
 
 
 def windows(rows: DataFrame, template_col: str) -> DataFrame:
     """One row per window: the other columns, ``pos`` and ``hash``.
 
     The hash of 2, 4, 8 tokens comes from two of half the length, so a window
-    costs three steps and no string is built.
+    costs three steps and no string is built.  Short rows are not filtered out
+    but give no windows: a filter moves below the template and makes it twice.
     """
-    rows = rows.withColumn("_n", F.size(template_col)).where(F.col("_n") >= WINDOW)
+    rows = rows.withColumn("_n", F.size(template_col))
     rows = rows.withColumn("_h", F.transform(template_col, lambda w: F.xxhash64(w))).drop(template_col)
     width = 1
     while width < WINDOW:
@@ -68,7 +68,7 @@ def windows(rows: DataFrame, template_col: str) -> DataFrame:
         rows = rows.withColumn("_h", F.zip_with("_h", ahead, lambda a, b: F.xxhash64(a, b)))
         width *= 2
     others = [c for c in rows.columns if c not in ("_n", "_h")]
-    return rows.select(*others, F.posexplode(F.slice("_h", F.lit(1), F.col("_n") - (WINDOW - 1))).alias("pos", "hash"))
+    return rows.select(*others, F.posexplode(F.slice("_h", F.lit(1), F.greatest(F.col("_n") - (WINDOW - 1), F.lit(0)))).alias("pos", "hash"))
 
 
 def _is_slot(token: Column) -> Column:
