@@ -74,6 +74,12 @@ def clip(ends: np.ndarray, spans: list[tuple[int, int]]) -> tuple[np.ndarray, np
     return left, right
 
 
+def stretches(left: np.ndarray, right: np.ndarray) -> list[tuple[int, int]]:
+    """Stretches that touch, in order, as one."""
+    cuts = np.flatnonzero(left[1:] != right[:-1]) + 1
+    return list(zip(left[np.append(0, cuts)].tolist(), right[np.append(cuts, len(left)) - 1].tolist())) if len(left) else []
+
+
 @lru_cache(maxsize=4)
 def tokenizer(path: str):
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -151,10 +157,11 @@ def digests(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
     def read(batches):
         for batch in batches:
             out = []
-            for text, lo, hi, mask in zip(*(batch.column(k).to_pylist() for k in range(1, 5))):
+            for text, lo, hi, mask in zip(batch.column(1).to_pylist(), *(batch.column(k) for k in range(2, 5))):
+                lo, hi, mask = (c.values.to_numpy(zero_copy_only=False) for c in (lo, hi, mask))
                 turns = turns_of(text)
                 whole = hashlib.sha256("".join(f"{role}\n{body}\n" for role, body in turns).encode()).hexdigest()
-                loss = unescape("".join(text[i:j] for i, j, m in zip(lo, hi, mask) if m))
+                loss = unescape("".join(text[i:j] for i, j in stretches(lo[mask], hi[mask])))
                 out.append((len(turns), whole, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
             n, whole, chars, loss, size = zip(*out) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
