@@ -11,6 +11,9 @@ from ..functions.text import tokens, trim_all
 from .aggregate import with_total_row
 from .reshape import cell, cells
 
+#: Column for what happened outside the grid.
+REST = "elsewhere"
+
 
 def participants_with(df: DataFrame, by: Sequence[str], id_col: str, col: str | None = None) -> DataFrame:
     """Distinct participants per group, among the rows where ``col`` has a value."""
@@ -20,21 +23,31 @@ def participants_with(df: DataFrame, by: Sequence[str], id_col: str, col: str |
 
 def incidence(df: DataFrame, cols: Sequence[str], id_col: str = "id", timepoint: str = "timepoint",
               arm: str = "group", timepoints: Sequence = (), arms: Sequence = (),
-              trim: bool = True, drop_empty: bool = True) -> DataFrame:
+              trim: bool = True, drop_empty: bool = True, rest: str | None = REST) -> DataFrame:
     """One table per list column, stacked under ``section``.
 
     Rows: each token with its count per timepoint and arm, a ``Total`` row of
     column sums, and a ``Total n`` row of distinct participants with at least
     one token.  Columns: ``f``, one ``<timepoint>_<arm>`` per cell of the full
-    grid (0 where nothing happened), ``row_order`` 0, 1, 2.
+    grid (0 where nothing happened), ``rest`` for events at other timepoints or
+    in other arms, a null one included, and ``row_order`` 0, 1, 2.  With
+    ``rest=None`` events outside the grid are left out.  A column without any
+    event keeps its two total rows.
 
     All sections go through one aggregation, and the totals are rolled up from
     its result.
     """
     grid = cells(timepoints, arms)
-    lists = df.filter(F.col(timepoint).isin(*timepoints) & F.col(arm).isin(*arms)).select(
+    inside = F.coalesce(F.col(timepoint).isin(*timepoints) & F.col(arm).isin(*arms), F.lit(False))
+    at = cell([F.col(timepoint), F.col(arm).cast("string")])
+    if rest is None:
+        df = df.filter(inside)
+    else:
+        grid = [*grid, rest]
+        at = F.when(inside, at).otherwise(F.lit(rest))
+    lists = df.select(
         F.col(id_col).alias("id"),
-        cell([F.col(timepoint), F.col(arm).cast("string")]).alias("cell"),
+        at.alias("cell"),
         F.explode(F.array(*[
             F.struct(F.lit(c).alias("section"), _list(c, trim, drop_empty).alias("parts")) for c in cols
         ])).alias("s"),
@@ -54,7 +67,17 @@ def incidence(df: DataFrame, cols: Sequence[str], id_col: str = "id", timepoint:
         .groupBy("section").agg(*by_cell("n"))
         .select("section", F.lit("Total n").alias("f"), *grid, F.lit(2).alias("row_order"))
     )
-    return body.unionByName(people)
+    both = body.unionByName(people).unionByName(_zero_totals(df, cols, grid))
+    return both.groupBy("section", "f", "row_order").agg(*[F.sum(g).alias(g) for g in grid]).select(
+        "section", "f", *grid, "row_order")
+
+
+def _zero_totals(df, cols, grid):
+    """The total rows of each section, so that one without events has them too."""
+    rows = [F.struct(F.lit(c).alias("section"), F.lit(f).alias("f"), F.lit(k).alias("row_order"))
+            for c in cols for f, k in (("Total", 1), ("Total n", 2))]
+    return df.sparkSession.range(1).select(F.explode(F.array(*rows)).alias("t")).select(
+        "t.*", *[F.lit(0).cast("long").alias(g) for g in grid])
 
 
 def _list(col, trim, drop_empty):

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from .. import vocab as V
 from ..operators.joins import left_join
-from ..operators.report import incidence
+from ..operators.report import REST, incidence
 
 
 def participants(main: DataFrame, below: int = 3000) -> DataFrame:
@@ -20,10 +20,10 @@ def participants(main: DataFrame, below: int = 3000) -> DataFrame:
 def incidence_report(people: DataFrame, events: DataFrame, cols: Sequence[str] = tuple(V.EVENT_COLUMNS),
                      timepoints: Sequence[str] = tuple(V.EVENT_TIMEPOINTS),
                      arms: Sequence = tuple(V.EVENT_ARMS), trim: bool = True,
-                     drop_empty: bool = True) -> DataFrame:
-    """All incidence tables at once, under ``section``."""
+                     drop_empty: bool = True, rest: str | None = REST) -> DataFrame:
+    """All incidence tables at once, under ``section``; see ``incidence``."""
     joined = left_join(people, events, "id")
-    return incidence(joined, cols, timepoints=timepoints, arms=arms, trim=trim, drop_empty=drop_empty)
+    return incidence(joined, cols, timepoints=timepoints, arms=arms, trim=trim, drop_empty=drop_empty, rest=rest)
 
 
 def incidence_table(report: DataFrame, section: str) -> DataFrame:

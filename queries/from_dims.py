@@ -130,21 +130,22 @@ def max_absmin(load):
         A.strict_max("b").alias("strict_top"), A.strict_abs_min("b").alias("strict_low"))
 
 
-@query("SELECT c_custkey, c_nationkey, n_name, nullif(regexp_extract(n_name, '[0-9]+'), '') AS code, n_regionkey "
-       "FROM customer LEFT JOIN (SELECT * FROM nation WHERE n_nationkey > 3) ON c_nationkey = n_nationkey")
+@query("SELECT c_custkey, k, n_name, nullif(regexp_extract(n_name, '[0-9]+'), '') AS code, n_regionkey "
+       "FROM (SELECT c_custkey, c_nationkey - 4 AS k FROM customer) LEFT JOIN nation ON k = n_nationkey")
 def enrich_by_key(load):
-    df = J.enrich(load("customer").select("c_custkey", "c_nationkey"), load("nation").filter("n_nationkey > 3"),
-                  "c_nationkey", "n_nationkey")
+    """Keys below 0 have no entry."""
+    df = J.enrich(load("customer").select("c_custkey", (F.col("c_nationkey") - 4).alias("k")), load("nation"), "k", "n_nationkey")
     return df.withColumn("code", extract_first("n_name", r"(?<=_)\d+"))
 
 
 @query('SELECT c_custkey, k, x.n_name AS "n_name.x", x.n_regionkey AS "n_regionkey.x", y.n_name AS "n_name.y", '
        'y.n_regionkey AS "n_regionkey.y" FROM (SELECT c_custkey, c_nationkey AS k FROM customer) '
-       "LEFT JOIN nation x ON k = x.n_nationkey LEFT JOIN (SELECT * FROM nation WHERE n_regionkey < 3) y ON k = y.n_nationkey")
+       "LEFT JOIN nation x ON k = x.n_nationkey LEFT JOIN nation y ON k = y.n_nationkey + 4")
 def join_suffix(load):
+    """Keys below 4 have no match in the second table."""
     nation = load("nation").withColumnRenamed("n_nationkey", "k")
     people = load("customer").select("c_custkey", F.col("c_nationkey").alias("k"))
-    return J.join_suffixed(J.left_join(people, nation, "k"), nation.filter("n_regionkey < 3"), "k")
+    return J.join_suffixed(J.left_join(people, nation, "k"), nation.withColumn("k", F.col("k") + 4), "k")
 
 
 @query("SELECT p_partkey, coalesce(b, 'NA') || '_' || p_size AS as_text, b || '_' || p_size AS strict, 'P' || p_partkey AS tagged "

@@ -79,14 +79,14 @@ def timepoint_assembly(load):
 @query(f"""WITH {SPARSE} SELECT id, seq, 'mpre' AS timepoint, signup_v, NULL AS view_v, NULL AS mixed
 FROM sparse WHERE event = 'signup'
 UNION ALL SELECT id, seq, 'm0', NULL, view_v, CAST(k AS VARCHAR) FROM sparse WHERE event = 'view'
-UNION ALL SELECT id, seq, 'm2', NULL, NULL, note FROM sparse WHERE event = 'click'""")
+UNION ALL SELECT id, seq, 'm2', NULL, NULL, note FROM sparse WHERE event NOT IN ('signup', 'view')""")
 def timepoint_union(load):
     df = sparse_events(load)
     tp = lambda t: F.lit(t).alias("timepoint")
     return R.union_by_name(
         df.filter("event = 'signup'").select("id", "seq", tp("mpre"), "signup_v"),
         df.filter("event = 'view'").select("id", "seq", tp("m0"), "view_v", F.col("k").alias("mixed")),
-        df.filter("event = 'click'").select("id", "seq", tp("m2"), F.col("note").alias("mixed")),
+        df.filter("event NOT IN ('signup', 'view')").select("id", "seq", tp("m2"), F.col("note").alias("mixed")),
     )
 
 
@@ -134,25 +134,25 @@ def baseline_merge(load):
 # -- joins -----------------------------------------------------------------
 
 @query(f"""WITH {SPARSE}, d AS (SELECT *, CAST(ts AS DATE) AS day FROM sparse),
-x AS (SELECT id, day, {first("click_v")} AS click_v, {first("note")} AS note FROM d WHERE event = 'click' GROUP BY id, day),
+x AS (SELECT id, day, {first("click_v")} AS click_v, {first("note")} AS note FROM d WHERE event <> 'purchase' GROUP BY id, day),
 y AS (SELECT id, day, {first("purchase_v")} AS purchase_v FROM d WHERE event = 'purchase' GROUP BY id, day)
 SELECT id, day, click_v, note, purchase_v FROM x FULL JOIN y USING (id, day)""")
 def full_join(load):
-    """Clicks and purchases of each person and day, one row each."""
+    """Purchases and all else of each person and day, one row each."""
     df = sparse_events(load).withColumn("day", F.to_date("ts"))
-    x = coalesce_by_column(df.filter("event = 'click'"), ["id", "day"], "seq", ["click_v", "note"])
+    x = coalesce_by_column(df.filter("event <> 'purchase'"), ["id", "day"], "seq", ["click_v", "note"])
     y = coalesce_by_column(df.filter("event = 'purchase'"), ["id", "day"], "seq", ["purchase_v"])
     return J.full_join(x, y, ["id", "day"])
 
 
 @query(f"""WITH {SPARSE}, d AS (SELECT *, CAST(ts AS DATE) AS day FROM sparse),
-x AS (SELECT id, day, seq, click_v FROM d WHERE event = 'click'),
+x AS (SELECT id, day, seq, click_v FROM d WHERE event <> 'purchase'),
 y AS (SELECT id, day, {first("purchase_v")} AS purchase_v FROM d WHERE event = 'purchase' GROUP BY id, day)
 SELECT id, day, seq, click_v, purchase_v FROM x FULL JOIN y USING (id, day)""")
 def full_join_split(load):
     """The form for a left side with hot keys."""
     df = sparse_events(load).withColumn("day", F.to_date("ts"))
-    x = df.filter("event = 'click'").select("id", "day", "seq", "click_v")
+    x = df.filter("event <> 'purchase'").select("id", "day", "seq", "click_v")
     y = coalesce_by_column(df.filter("event = 'purchase'"), ["id", "day"], "seq", ["purchase_v"])
     return J.full_join_split(x, y, ["id", "day"])
 

@@ -12,7 +12,7 @@ from longitab.operators import aggregate as A
 from longitab.operators import reshape as R
 from longitab.operators import rows as RW
 from longitab.operators import schema as S
-from longitab.operators.report import participants_with
+from longitab.operators.report import REST, participants_with
 from longitab.plans import events as EV
 from longitab.plans import extract as EX
 from longitab.plans.timepoints import merge_supplements
@@ -157,7 +157,7 @@ def filter_range(load):
     return load("orders").filter(F.col("o_custkey") < 1000).select("o_orderkey", "o_custkey", "o_totalprice")
 
 
-@query(f"WITH {ARMS} SELECT id, level, seq, price FROM arms ORDER BY id, {RANK}, seq")
+@query(f"WITH {ARMS}, ranked AS (SELECT *, {RANK} AS rank FROM arms) SELECT id, level, seq, price FROM ranked ORDER BY id, rank, seq")
 def sort_by_level(load):
     return RW.sort_by_level(arms(load).select("id", "level", "seq", "price"), ["id"], "level", LEVELS, "seq")
 
@@ -169,7 +169,7 @@ def earliest_per_group(load):
 
 
 @query(f"""WITH {ARMS}, main AS (SELECT id, min(done) AS done, max(price) AS price, min(level) AS level
-    FROM arms WHERE arm = 'F' GROUP BY id),
+    FROM arms WHERE arm <> 'P' GROUP BY id),
 extra AS (SELECT id, min(done) AS done, max(price) AS price FROM arms WHERE arm = 'P' GROUP BY id)
 SELECT coalesce(main.id, extra.id) AS id, 'visit' AS timepoint, level,
   CASE WHEN main.id IS NULL OR extra.done IS NOT NULL AND (main.done IS NULL OR extra.done < main.done)
@@ -179,10 +179,10 @@ SELECT coalesce(main.id, extra.id) AS id, 'visit' AS timepoint, level,
 FROM main FULL JOIN extra ON main.id = extra.id""")
 def supplement_merge(load):
     """Supplement against main visit, earliest wins, supplement-only ids kept."""
-    slot = RC.recode("arm", {"F": "visit", "P": "visit_extra"})
-    rows = arms(load).withColumn("slot", slot).filter(F.col("slot").isNotNull()).groupBy("id", "slot").agg(
+    slot = RC.recode("arm", {"F": "visit", "O": "visit", "P": "visit_extra"})
+    rows = arms(load).withColumn("slot", slot).groupBy("id", "slot").agg(
         F.min("done").alias("done"), F.max("price").alias("price"),
-        F.min(F.when(F.col("arm") == "F", F.col("level"))).alias("level"))
+        F.min(F.when(F.col("arm") != "P", F.col("level"))).alias("level"))
     return merge_supplements(rows, "id", {"visit": ["done", "price"]}, "done", keep_unmatched=True)
 
 
@@ -221,7 +221,7 @@ def total_participants_row(load):
 # timepoint, and a list is put together from its other columns.
 LIST_SPARK = "CASE WHEN price > 100000 THEN concat(' ', level, ';', {b}, '; ;') END"
 BAND = "CASE WHEN price > 300000 THEN 'high' WHEN price > 200000 THEN 'middle' ELSE level END"
-CELLS = R.cells(["F", "P"], [4, 7])
+CELLS = [*R.cells(["F", "P"], [4, 7]), REST]
 
 
 def _cell_sums(counter):
@@ -229,8 +229,8 @@ def _cell_sums(counter):
 
 
 @query(f"""WITH {ARMS}, people AS (SELECT c_custkey AS id, CASE WHEN c_acctbal > 4500 THEN 7 ELSE 4 END AS grp FROM customer),
-x AS (SELECT id, arm || '_' || grp AS cell, level, {BAND} AS band, price
-  FROM arms JOIN people USING (id) WHERE arm IN ('F', 'P')),
+x AS (SELECT id, CASE WHEN arm IN ('F', 'P') THEN arm || '_' || grp ELSE '{REST}' END AS cell, level, {BAND} AS band, price
+  FROM arms JOIN people USING (id)),
 tok AS (SELECT 'listed' AS section, id, cell, level AS f FROM x WHERE price > 100000
   UNION ALL SELECT 'listed', id, cell, band FROM x WHERE price > 100000
   UNION ALL SELECT 'single', id, cell, band FROM x WHERE price < 300000),
@@ -240,7 +240,7 @@ UNION ALL SELECT section, 'Total', {_cell_sums("n")}, 1 FROM n GROUP BY section
 UNION ALL SELECT section, 'Total n', {_cell_sums("n")}, 2 FROM (
   SELECT section, cell, count(DISTINCT id) AS n FROM tok GROUP BY ALL) GROUP BY section""")
 def incidence_table(load):
-    """Stacked incidence tables with totals and participant counts."""
+    """Stacked incidence tables with totals and participant counts; open orders are outside the grid."""
     people = load("customer").select(
         F.col("c_custkey").alias("id"), F.when(F.col("c_acctbal") > 4500, 7).otherwise(4).alias("group"))
     events = arms(load).select(

@@ -24,7 +24,3 @@ def rows():
         got = [tuple(r) for r in (df.select(*[f"`{c}`" for c in cols]) if cols else df).collect()]
         return sorted(got, key=lambda r: tuple((v is None, str(v)) for v in r))
     return get
-
-
-def plan(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

@@ -6,7 +6,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
-from conftest import plan
+from plans import plan
 from longitab.operators.fill import DIRECTIONS, fill
 
 

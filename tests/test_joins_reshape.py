@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan
+from plans import plan
 from longitab.functions.text import trim_all
 from longitab.operators import aggregate as A
 from longitab.operators import joins as J

@@ -2,12 +2,15 @@
 
 import datetime as dt
 
+import duckdb
+import oracle
 from pyspark.sql import functions as F
 
 from longitab.functions.recode import recode
 from longitab.functions.text import plain_text
 from longitab.operators.reshape import union_by_name, wider
 from longitab.operators.spatial import assign_areas
+from longitab.plans.events import incidence_report
 from longitab.plans.history import history_tokens
 from longitab.plans.monitoring import merge_checkbox_arms
 from longitab.session import clear_staged, stage, unstage
@@ -63,6 +66,24 @@ def test_points_with_one_key_are_all_placed(spark):
     assert assign_areas(points, areas, key="id", x="lon", y="lat", code="code", ring="ring").count() == 2
 
 
+def test_events_outside_the_grid_are_counted(spark):
+    people = spark.createDataFrame([(1, 4), (2, None)], "id int, group int")
+    events = spark.createDataFrame([(1, "m8", "pain", None), (1, None, "pain", None), (2, "m4", "pain", None), (1, "m4", "flu", None)],
+                                   "id int, timepoint string, x string, y string")
+    report = lambda **how: [tuple(r) for r in incidence_report(people, events, ["x", "y"], timepoints=["m4"], arms=[4], **how)
+                            .orderBy("section", "row_order", "f").collect()]
+    assert report() == [("x", "flu", 1, 0, 0), ("x", "pain", 0, 3, 0), ("x", "Total", 1, 3, 1), ("x", "Total n", 1, 2, 2),
+                        ("y", "Total", 0, 0, 1), ("y", "Total n", 0, 0, 2)]
+    assert report(rest=None)[:3] == [("x", "flu", 1, 0), ("x", "Total", 1, 1), ("x", "Total n", 1, 2)]
+
+
+def test_oracle_sees_row_order(spark):
+    con, sql = duckdb.connect(), "SELECT * FROM (VALUES (1), (2)) t(k) ORDER BY k"
+    rows = lambda *ks: spark.createDataFrame([(k,) for k in ks], "k int").coalesce(1)
+    assert oracle.compare(rows(1, 2), con, sql) is None and oracle.compare(rows(2, 1), con, sql)
+    assert oracle.compare(rows(2, 1), con, sql.replace(" ORDER BY k", "")) is None
+
+
 def test_staged_files_can_be_removed(spark):
     kept, gone = stage(spark.range(3)), stage(spark.range(4))
     unstage(gone)

@@ -28,10 +28,10 @@ def report(spark):
 
 def test_incidence_tables(report):
     table = [tuple(r) for r in EV.incidence_table(report, "adverse_index").collect()]
-    assert EV.incidence_table(report, "adverse_index").columns == ["f", "m4_4", "m4_7", "m12_4", "m12_7"]
-    assert table == [("pain", 1, 2, 1, 0), ("swelling", 1, 0, 0, 0), ("Total", 2, 2, 1, 0), ("Total n", 1, 1, 1, 0)]
+    assert EV.incidence_table(report, "adverse_index").columns == ["f", "m4_4", "m4_7", "m12_4", "m12_7", "elsewhere"]
+    assert table == [("pain", 1, 2, 1, 0, 1), ("swelling", 1, 0, 0, 0, 0), ("Total", 2, 2, 1, 0, 1), ("Total n", 1, 1, 1, 0, 1)]
     other = [tuple(r) for r in EV.incidence_table(report, "adverse_other").collect()]
-    assert other == [("cold", 1, 0, 0, 0), ("flu", 1, 0, 1, 0), ("Total", 2, 0, 1, 0), ("Total n", 1, 0, 1, 0)]
+    assert other == [("cold", 1, 0, 0, 0, 0), ("flu", 1, 0, 1, 0, 0), ("Total", 2, 0, 1, 0, 0), ("Total n", 1, 0, 1, 0, 0)]
 
 
 def test_totals_are_sums_and_people_fit(report):

@@ -4,7 +4,7 @@ import random
 
 from pyspark.sql import functions as F
 
-from conftest import plan
+from plans import plan
 from longitab.operators.collapse import coalesce_by_column
 from longitab.operators.rows import distinct_first, drop_all_missing, first_per_group, groups_of_size, sort_by_level
 

@@ -5,7 +5,7 @@ import datetime as dt
 
 import pytest
 import study
-from conftest import plan
+from plans import plan
 from pyspark.sql import functions as F
 
 from longitab import vocab as V
