@@ -155,9 +155,9 @@ def marked_up(page: str) -> tuple[list[Block], list[int]] | None:
 def train(pages: DataFrame, id_col: str = "page_id", html_col: str = "html", train_pages: int = TRAIN_PAGES) -> Crf:
     """Fit on laid-out pages whose labels are known, and on at most
     ``train_pages`` pages of the table that mark their main text themselves."""
-    sample = (
-        pages.where(F.length(html_col) <= TRAIN_CHARS).select(F.xxhash64(id_col).alias("at"), F.col(html_col).alias("html"))
-        .orderBy("at", "html").limit(train_pages).select("html").collect())
+    short = pages.where(F.length(html_col) <= TRAIN_CHARS).select(F.xxhash64(id_col, html_col).alias("at"), F.col(html_col).alias("html"))
+    least = [r.at for r in short.select("at").distinct().orderBy("at").limit(train_pages).collect()]
+    sample = short.where(F.col("at").isin(least)).distinct().orderBy("at", "html").limit(train_pages).collect()
     known = [*labelled_pages(LAID_OUT), *[r.html for r in sample]]
     marked = [p if isinstance(p, tuple) else marked_up(p) for p in known]
     return Crf().fit([(sequence(m[0]), m[1]) for m in marked if m])
