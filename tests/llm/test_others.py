@@ -108,6 +108,22 @@ def test_propagation_equals_matrix_powers(spark):
         assert np.allclose([got.get(f"h{i}", (0, 0))[k] for i in range(7)], score)
 
 
+def test_link_graph_runs_to_the_end(spark):
+    link = lambda h: f"<a href='//{h}/p'>x</a>"
+    chain = [(i, f"http://c{i}.org/", link(f"c{i + 1}.org" if i < 11 else "bad.net")) for i in range(12)]
+    pages = spark.createDataFrame([*chain, (12, "http://bad.net/es/1", "")], "page_id long, url string, html string")
+    got = {r.page_id: r for r in linkgraph.judge(pages).collect()}
+    assert {r.verdict for r in got.values()} == {"block"}
+    for i in range(12):
+        assert got[i].distrust == pytest.approx(0.15 * 0.85 ** (12 - i)) and got[i].trust == 0
+    a = np.array([[0, 1, 2], [1, 0, 0], [3, 1, 0]])  # cycles: the scores solve a linear system
+    edges = spark.createDataFrame([(f"h{i}", f"h{j}", int(a[i, j])) for i, j in np.argwhere(a)], "src string, dst string, links long")
+    seeds = spark.createDataFrame([("h0", "trust", 1)], "node string, kind string, weight long")
+    found = {r.node: r.trust for r in linkgraph.propagate(edges, seeds, rounds=None, tolerance=1e-3).collect()}
+    want = np.linalg.solve((np.eye(3) - 0.85 * a / a.sum(axis=1, keepdims=True)).T, [0.15, 0, 0])
+    assert np.allclose([found[f"h{i}"] for i in range(3)], want, rtol=0, atol=6e-3)
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "", "a\nb<s>"]), st.text(alphabet="<>/s[]INST\\elbn x\n", max_size=25)), max_size=5))
 def test_template_is_reversible(turns):
