@@ -1,10 +1,15 @@
 """Benchmark decontamination by template windows; DataFrame functions only.
 
-A text becomes a row of tokens in which numbers, units after a number, and
+A text becomes rows of tokens in which numbers, units after a number, and
 capitalised words within a sentence are typed placeholders.  Documents are
 joined with the benchmark on hashes of eight tokens in a row.  What matches on
 one diagonal is then checked slot by slot: a re-parameterised question puts the
 same new value wherever the item has the same old one, and the other way round.
+
+There are up to three rows of tokens, alike but for names: as they are marked
+within sentences; with sentence openers as names too where the same word is
+marked elsewhere; and with names as plain small words, for copies in other
+letter case.
 """
 
 from __future__ import annotations
@@ -22,7 +27,7 @@ WINDOW, LITERALS = 8, 4
 TOKENS, COVERAGE = 13, 0.5
 #: Windows of the benchmark that may be sent to every executor: about 40 MB.  Above, documents are shuffled.
 BROADCAST_WINDOWS = 1_000_000
-NAME, NUMBER, UNIT = "\u0001", "\u0002", "\u0003"
+NAME, NUMBER, UNIT, OPENER = "\u0001", "\u0002", "\u0003", "\u0004"
 #: Units of measure, as they stand after a number.
 UNITS = (
     "mm cm m km in inch inches ft feet foot yd yards mi mile miles mg g kg t lb lbs pounds oz ml cl l liter liters litre litres "
@@ -30,56 +35,91 @@ UNITS = (
     "percent degrees c f k hz khz mhz ghz w kw mw v kv a j kj cal kcal usd eur gbp dollar dollars euro euros cent cents "
     "kb mb gb tb mph kmh"
 ).split()
+#: The rows of tokens of a text.
+FAMILIES = ("named", "opened", "folded")
 WORDS = r"[\p{L}\p{M}]+"
 NUMBERS = r"[0-9]+(?:[.,][0-9]+)*"
 
 
 def _marked(text: Column) -> Column:
-    """Small letters, names marked: a capital and then a small letter, after a word or comma of the same sentence."""
-    named = F.regexp_replace(F.coalesce(text, F.lit("")), r"[\p{L}\p{N},;:] (?=\p{Lu}\p{Ll})", "$0" + NAME)
-    return F.lower(named)
+    """Small letters, with marks before names (a capital and then a small letter, after a word or comma of the
+    same sentence and white space) and before what else is written like one."""
+    plain = F.translate(F.coalesce(text, F.lit("")), NAME + NUMBER + UNIT + OPENER, " " * 4)
+    named = F.regexp_replace(plain, r"[\p{L}\p{N},;:][\s\p{Z}]+(?=\p{Lu}\p{Ll})", "$0" + NAME)
+    return F.lower(F.regexp_replace(named, rf"(?<![\p{{L}}\p{{M}}\p{{N}}{NAME}])\p{{Lu}}(?=\p{{Ll}})", OPENER + "$0"))
+
+
+def _opened(marked: Column) -> Column:
+    """The same with openers marked as names where the same word is a name elsewhere in the text; null where there are none."""
+    words = lambda mark: F.regexp_extract_all(marked, F.lit(f"{mark}({WORDS})"), F.lit(1))
+    both = F.array_join(F.array_intersect(words(NAME), words(OPENER)), "|")
+    pattern = F.concat(F.lit(f"{OPENER}(?=(?:"), both, F.lit(r")(?![\p{L}\p{M}]))"))
+    return F.when(marked.contains(NAME) & (both != ""), F.regexp_replace(marked, pattern, F.lit(NAME)))
 
 
 def tokens(text: Column) -> Column:
-    """The words and numbers as they stand, names with their mark."""
-    return F.regexp_extract_all(_marked(text), F.lit(f"{NAME}?{WORDS}|{NUMBERS}"), F.lit(0))
+    """The words and numbers as they stand, in small letters."""
+    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"{WORDS}|{NUMBERS}"), F.lit(0))
+
 
+def _template(marked: Column, names: bool = True) -> Column:
+    """The tokens with placeholders in place of slots, position by position; one empty token where there are none."""
+    t = F.regexp_replace(marked, NUMBERS, f" {NUMBER} ")
+    t = F.regexp_replace(t, f"{NAME}{WORDS}", NAME) if names else F.translate(t, NAME, "")
+    t = F.regexp_replace(t, rf"(?<={NUMBER} )[\s\p{{Z}}]*{OPENER}?(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{M}}])", UNIT)
+    return F.split(F.trim(F.regexp_replace(F.translate(t, OPENER, ""), rf"[^\p{{L}}\p{{M}}{NAME}-{UNIT}]+", " ")), " ")
 
-def template(text: Column) -> Column:
-    """The same tokens with placeholders in place of slots, position by position; one empty token where there are none."""
-    t = F.regexp_replace(_marked(text), NUMBERS, f" {NUMBER} ")
-    t = F.regexp_replace(t, f"{NAME}{WORDS}", NAME)
-    t = F.regexp_replace(t, rf"(?<={NUMBER} )\s?(?:{'|'.join(UNITS)})(?![\p{{L}}\p{{M}}])", UNIT)
-    return F.split(F.trim(F.regexp_replace(t, rf"[^\p{{L}}\p{{M}}{NAME}-{UNIT}]+", " ")), " ")
 
+def templates(rows: DataFrame, text_col: str = "text") -> DataFrame:
+    """The other columns and ``FAMILIES``: names marked, openers too, names as plain words; the last two null if like the first."""
+    others = [c for c in rows.columns if c != text_col]
+    rows = rows.select(*others, _marked(F.col(text_col)).alias("_m"))
+    rows = rows.select(*others, "_m", _opened(F.col("_m")).alias("_o"))
+    made = (_template(F.col("_m")), F.when(F.col("_o").isNotNull(), _template(F.col("_o"))),
+            F.when(F.col("_m").contains(NAME), _template(F.col("_m"), False)))
+    return rows.select(*others, *[t.alias(c) for t, c in zip(made, FAMILIES)])
 
-def windows(rows: DataFrame, template_col: str) -> DataFrame:
-    """One row per window: the other columns, ``pos`` and ``hash``.
+
+def windows(rows: DataFrame, columns: tuple[str, ...], width: int = WINDOW) -> DataFrame:
+    """One row per window of ``width`` tokens: the other columns, ``pos`` and ``hash``.
 
     The hash of 2, 4, 8 tokens comes from two of half the length, so a window
     costs three steps and no string is built.  Short rows are not filtered out
     but give no windows: a filter moves below the template and makes it twice.
+    Of ``columns`` after the first, only windows that differ from it have a hash.
     """
-    rows = rows.withColumn("_n", F.size(template_col))
-    rows = rows.withColumn("_h", F.transform(template_col, lambda w: F.xxhash64(w))).drop(template_col)
-    width = 1
-    while width < WINDOW:
-        ahead = F.slice("_h", F.lit(1 + width), F.col("_n"))
-        rows = rows.withColumn("_h", F.zip_with("_h", ahead, lambda a, b: F.xxhash64(a, b)))
-        width *= 2
-    others = [c for c in rows.columns if c not in ("_n", "_h")]
-    return rows.select(*others, F.posexplode(F.slice("_h", F.lit(1), F.greatest(F.col("_n") - (WINDOW - 1), F.lit(0)))).alias("pos", "hash"))
+    others = [c for c in rows.columns if c not in columns]
+    rows = rows.withColumn("_n", F.size(columns[0]))
+    rows = rows.select(*others, "_n", *[F.transform(c, lambda w: F.xxhash64(w)).alias(c) for c in columns])
+    done = 1
+    while done < width:
+        ahead = {c: F.slice(c, F.lit(1 + done), F.col("_n")) for c in columns}
+        rows = rows.withColumns({c: F.zip_with(c, ahead[c], lambda a, b: F.xxhash64(a, b)) for c in columns})
+        done *= 2
+    rows = rows.withColumn("_n", F.greatest(F.col("_n") - (width - 1), F.lit(0)))
+    rows = rows.withColumns({c: F.slice(c, F.lit(1), F.col("_n")) for c in columns})
+    first = F.col(columns[0])
+    differ = [F.coalesce(F.zip_with(first, c, lambda a, b: F.when(a != b, b)), F.array().cast("array<bigint>")) for c in columns[1:]]
+    made = rows.select(*others, "_n", F.posexplode(F.concat(first, *differ)).alias("pos", "hash"))
+    return made.select(*others, (F.col("pos") % F.col("_n")).alias("pos"), "hash")
 
 
 def _is_slot(token: Column) -> Column:
     return token.isin(NAME, NUMBER, UNIT)
 
 
-def benchmark_windows(benchmark: DataFrame) -> DataFrame:
-    """``(item, pos, hash)`` of the windows of ``(item, template)`` that hold enough words."""
-    words = F.transform("template", lambda w: F.when(_is_slot(w), 0).otherwise(1))
-    rich = F.aggregate(F.slice("literal", F.col("pos") + 1, WINDOW), F.lit(0), lambda s, x: s + x) >= LITERALS
-    return windows(benchmark.select("item", words.alias("literal"), "template"), "template").where(rich).drop("literal")
+def benchmark_windows(items: DataFrame) -> DataFrame:
+    """``(item, version, at, hash, typed)`` of the windows of each of ``FAMILIES`` that hold enough words;
+    ``typed`` where they do so without names."""
+    found = []
+    for family in FAMILIES:
+        words = F.transform(family, lambda w: F.when(_is_slot(w), 0).otherwise(1))
+        rich = F.aggregate(F.slice("literal", F.col("pos") + 1, WINDOW), F.lit(0), lambda s, x: s + x) >= LITERALS
+        rows = items.where(F.col(family).isNotNull()).select("item", "version", words.alias("literal"), family)
+        found.append(windows(rows, (family,)).where(rich).select("item", "version", F.col("pos").alias("at"), "hash", F.lit(family != "folded").alias("typed")))
+    keys = found[0].unionByName(found[1]).unionByName(found[2])
+    typed = keys.groupBy("item", "version", "at").agg(F.max("typed").alias("typed"))
+    return keys.drop("typed").distinct().join(typed, ["item", "version", "at"])
 
 
 def leaks(
@@ -95,46 +135,59 @@ def leaks(
     Returns ``(<id>, <item>, position, windows, item_windows, slots)``, one row
     per document and item, of their best diagonal: the token of the document at
     which the item starts (negative if its start is missing), how many of the
-    item's windows match, and how many slots were compared.  A pair counts if
-    it matches in ``TOKENS`` tokens or in ``COVERAGE`` of the item's windows,
-    and if its slots are consistent: equal values of the item meet equal values
-    of the document, different ones different ones.
-
-    Letter case, punctuation and white space do not count.  Items of fewer than
-    eight tokens, or without a window of four words, can't be told from chance
-    and match nothing.  Null texts hold no tokens; rows without an id are not
-    reported; rows of one id are one document.  Other columns are ignored; an
-    empty table on either side gives no rows.
+    item's windows match, and how many slots these hold.  A pair counts if it
+    matches in ``TOKENS`` tokens or in ``COVERAGE`` of the item's windows, and
+    if its slots are consistent: equal values of the item meet equal values of
+    the document, different ones different ones.
+
+    Letter case, punctuation and white space do not count in a copy; a form
+    with other names needs them capitalised.  Items of
+    fewer than eight tokens, or without a window of four words, match nothing.
+    Rows of one item that differ are forms of it, each on its own.
+    Null texts hold no tokens; rows without an id are not reported; rows of one
+    id are one document.  Other columns are ignored; an empty table on either
+    side gives no rows.
     """
     rows = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).where("doc is not null")
-    items = stage(benchmark.select(benchmark[item_col].alias("item"), benchmark[item_text_col].alias("t")).where("item is not null").select(
-        "item", template(F.col("t")).alias("template"), tokens(F.col("t")).alias("values")))
+    forms = benchmark.select(benchmark[item_col].alias("item"), benchmark[item_text_col].alias("text")).where("item is not null").distinct()
+    made = templates(forms.withColumn("values", tokens(F.col("text"))))
+    items = stage(made.withColumn("version", F.xxhash64("values", *FAMILIES)).dropDuplicates(["item", "version"]))
     keys = stage(benchmark_windows(items))
-    totals = keys.groupBy("item").agg(F.count("*").alias("item_windows"))
-    wanted = keys.withColumnRenamed("pos", "at")
-    if keys.count() <= BROADCAST_WINDOWS:
-        wanted = F.broadcast(wanted)
-    found = windows(rows.select("doc", template(F.col("text")).alias("template")), "template").join(wanted, "hash")
+    totals = keys.groupBy("item", "version").agg(
+        F.countDistinct("at").alias("item_windows"), F.countDistinct(F.when(F.col("typed"), F.col("at"))).alias("typed_windows"))
+
+    def meet(found: DataFrame, wanted: DataFrame) -> DataFrame:
+        wanted = wanted.select("item", "version", "hash", "at", "typed")
+        return found.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_WINDOWS else wanted, "hash")
+
+    found = meet(windows(templates(rows), FAMILIES), keys)
+    typed = F.size(F.filter("ats", lambda a: a["typed"]))
+    counts = ((F.size("ats") >= TOKENS - WINDOW + 1) | (F.size("ats") >= COVERAGE * F.col("item_windows"))
+              | ((typed > 0) & (typed >= COVERAGE * F.col("typed_windows"))))
     diagonals = stage(
-        found.groupBy("doc", "item", (F.col("pos") - F.col("at")).alias("position"))
-        .agg(F.countDistinct("at").alias("windows"), F.min("at").alias("lo"), F.max("at").alias("hi"))
-        .join(totals, "item")
-        .where((F.col("windows") >= TOKENS - WINDOW + 1) | (F.col("windows") >= COVERAGE * F.col("item_windows"))))
+        found.groupBy("doc", "item", "version", (F.col("pos") - F.col("at")).alias("position"))
+        .agg(F.collect_set(F.struct("at", "typed")).alias("ats")).join(totals, ["item", "version"]).where(counts))
 
+    row = F.coalesce("opened", "named")
     slots = F.filter(
-        F.transform("template", lambda w, i: F.struct(i.alias("at"), _is_slot(w).alias("slot"), F.get("values", i).alias("value"))),
+        F.transform(row, lambda w, i: F.struct(i.alias("at"), _is_slot(w).alias("slot"), F.get("values", i).alias("value"))),
         lambda s: s["slot"])
     hit = stage(diagonals.select("doc").distinct())
     said = with_ids(rows, "doc", hit).select("doc", tokens(F.col("text")).alias("said"))
+    within = lambda s, a: (s >= a["at"]) & (s < a["at"] + WINDOW)
+    covered = lambda: F.filter("slots", lambda s: F.exists("ats", lambda a: within(s["at"], a)))
     lined = (
-        diagonals.join(items.select("item", slots.alias("slots")), "item").join(said, "doc")
-        .withColumn("slots", F.filter("slots", lambda s: (s["at"] >= F.col("lo")) & (s["at"] < F.col("hi") + WINDOW)))
-        .withColumn("met", F.transform("slots", lambda s: F.struct(s["value"].alias("old"), F.get("said", s["at"] + F.col("position")).alias("new"))))
+        diagonals.join(items.select("item", "version", slots.alias("slots")), ["item", "version"]).join(said, "doc")
+        .withColumn("slots", covered())
+        .withColumn("met", F.transform("slots", lambda s: F.struct(s["at"].alias("at"), s["value"].alias("old"), F.get("said", s["at"] + F.col("position")).alias("new"))))
+        .drop("said")
     )
-    kinds = F.size(F.array_distinct("met"))
-    fit = (kinds == F.size(F.array_distinct("met.old"))) & (kinds == F.size(F.array_distinct("met.new")))
-    best = F.max_by(F.struct("position", "windows", "item_windows", F.size("slots").alias("slots")), F.struct("windows", -F.col("position")))
-    return lined.where(fit).groupBy("doc", "item").agg(best.alias("b")).select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.*")
+    both = F.size(F.array_distinct(F.transform("met", lambda m: F.struct(m["old"], m["new"]))))
+    alike = (both == F.size(F.array_distinct("met.old"))) & (both == F.size(F.array_distinct("met.new")))
+    fit = lined.where(alike).withColumn("slots", F.size("slots")).withColumn("windows", F.size("ats"))
+    best = F.max_by(F.struct("position", F.col("windows").cast("long").alias("windows"), "item_windows", "slots"),
+                    F.struct("windows", -F.col("position"), "version"))
+    return fit.groupBy("doc", "item").agg(best.alias("b")).select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.*")
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",

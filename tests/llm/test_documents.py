@@ -218,6 +218,20 @@ def test_leaks_with_other_values(spark, odd, none):
     assert templates.leaks(docs, items.limit(0)).count() == 0
 
 
+def test_leaks_in_other_case_and_lines(spark):
+    items = spark.createDataFrame([
+        (1, "On Monday the farmer Tom sold 12 sheep to Anna for 30 euros and then Tom bought 12 cows at the market."),
+        (2, "Tom has 3 apples and 4 pears in his big bag. Tom buys 5 more pears while Ann and Tom count them all.")], "item_id long, text string")
+    text = items.collect()[0].text
+    docs = spark.createDataFrame([
+        (1, text.replace(" ", "\n")), (2, text.replace(" ", "  ")), (3, text.lower()), (4, text.upper()),
+        (5, "Bob has 7 apples and 9 pears in his big bag. Bob buys 6 more pears while Eve and Bob count them all."), (6, "Other words.")],
+        "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r for r in templates.leaks(docs, items).collect()}
+    assert set(got) == {(1, 1), (2, 1), (3, 1), (4, 1), (5, 2)}
+    assert all(r.windows == r.item_windows for r in got.values())
+
+
 def plain_spans(docs):
     seen, cuts = {}, collections.defaultdict(set)
     for i, t in sorted(docs):
