@@ -135,10 +135,11 @@ def leaks(
     Returns ``(<id>, <item>, position, windows, item_windows, slots)``, one row
     per document and item, of their best diagonal: the token of the document at
     which the item starts (negative if its start is missing), how many of the
-    item's windows match, and how many slots these hold.  A pair counts if it
-    matches in ``TOKENS`` tokens or in ``COVERAGE`` of the item's windows, and
-    if its slots are consistent: equal values of the item meet equal values of
-    the document, different ones different ones.
+    item's windows count, and how many slots these hold.  A window counts if
+    its tokens match and its slots agree with the rest of the diagonal: the
+    value is the item's own, or most slots of the diagonal that have its old
+    value, and most that have its new one, have both.  A pair counts if such
+    windows hold ``TOKENS`` tokens or are ``COVERAGE`` of the item's.
 
     Letter case, punctuation and white space do not count in a copy; a form
     with other names needs them capitalised.  Items of
@@ -182,9 +183,19 @@ def leaks(
         .withColumn("met", F.transform("slots", lambda s: F.struct(s["at"].alias("at"), s["value"].alias("old"), F.get("said", s["at"] + F.col("position")).alias("new"))))
         .drop("said")
     )
+    of = lambda test: F.size(F.filter("met", test))
+    most = lambda m: 2 * of(lambda x: (x["old"] == m["old"]) & (x["new"] == m["new"])) > F.greatest(
+        of(lambda x: x["old"] == m["old"]), of(lambda x: x["new"] == m["new"]))
     both = F.size(F.array_distinct(F.transform("met", lambda m: F.struct(m["old"], m["new"]))))
     alike = (both == F.size(F.array_distinct("met.old"))) & (both == F.size(F.array_distinct("met.new")))
-    fit = lined.where(alike).withColumn("slots", F.size("slots")).withColumn("windows", F.size("ats"))
+    # only what is neither the item's own value nor on a wholly consistent diagonal is counted through
+    odd = F.when(alike, F.array().cast("array<int>")).otherwise(
+        F.transform(F.filter("met", lambda m: (m["old"] != m["new"]) & ~most(m)), lambda m: m["at"]))
+    fit = (
+        lined.withColumn("odd", odd)
+        .withColumn("ats", F.filter("ats", lambda a: ~F.exists("odd", lambda s: within(s, a)))).where(counts)
+        .withColumn("slots", F.size(covered())).withColumn("windows", F.size("ats"))
+    )
     best = F.max_by(F.struct("position", F.col("windows").cast("long").alias("windows"), "item_windows", "slots"),
                     F.struct("windows", -F.col("position"), "version"))
     return fit.groupBy("doc", "item").agg(best.alias("b")).select(F.col("doc").alias(id_col), F.col("item").alias(item_col), "b.*")

@@ -232,6 +232,16 @@ def test_leaks_in_other_case_and_lines(spark):
     assert all(r.windows == r.item_windows for r in got.values())
 
 
+def test_leaks_with_a_few_edited_slots(spark):
+    text = ("In the village of old stones 12 men carried 12 heavy bags over the long bridge to the mill, where a miller and 30 helpers "
+            "ground all of the wheat to flour before 7 carts brought it back to the people who had been waiting there since the early morning.")
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, text.replace("12 heavy", "13 heavy")), (2, text.replace("30", "12")), (3, text)], "doc_id long, text string")
+    got = {r.doc_id: r.windows for r in templates.leaks(docs, items).collect()}
+    assert set(got) == {1, 2, 3} and got[1] < got[3] and got[2] < got[3]
+
+
 def plain_spans(docs):
     seen, cuts = {}, collections.defaultdict(set)
     for i, t in sorted(docs):
