@@ -9,11 +9,13 @@ same new value wherever the item has the same old one, and the other way round.
 There are up to three rows of tokens, alike but for names: as they are marked
 within sentences; with sentence openers as names too where the same word is
 marked elsewhere; and with names as plain small words, for copies in other
-letter case.
+letter case.  Items too short or too bare for windows are matched word by word.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,8 @@ from .common import with_ids
 
 #: Tokens of a window (the doublings below need a power of two), and how many of them must be words.
 WINDOW, LITERALS = 8, 4
+#: Tokens of the pieces of items that are matched as they stand.
+WIDTHS = (1, 2, 4, 8)
 #: A match counts from this many tokens in a row, or from this share of the item's windows.
 TOKENS, COVERAGE = 13, 0.5
 #: Windows of the benchmark that may be sent to every executor: about 40 MB.  Above, documents are shuffled.
@@ -122,6 +126,18 @@ def benchmark_windows(items: DataFrame) -> DataFrame:
     return keys.drop("typed").distinct().join(typed, ["item", "version", "at"])
 
 
+def exact_pieces(items: DataFrame) -> DataFrame:
+    """``(item, version, at, hash, width)``: pieces of 1, 2, 4 or 8 tokens as they stand that together are the whole item."""
+    n = F.size("values")
+    rows = items.where(n > 0).select("item", "version", "values", n.alias("n"))
+    found = []
+    for width in WIDTHS:
+        some = rows.where((F.col("n") >= width) & ((F.col("n") < 2 * width) | F.lit(width == WINDOW)))
+        needed = (F.col("pos") % width == 0) | (F.col("pos") == F.col("n") - width)
+        found.append(windows(some, ("values",), width).where(needed).select("item", "version", F.col("pos").alias("at"), "hash", F.lit(width).alias("width")))
+    return reduce(DataFrame.unionByName, found)
+
+
 def leaks(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -142,9 +158,10 @@ def leaks(
     windows hold ``TOKENS`` tokens or are ``COVERAGE`` of the item's.
 
     Letter case, punctuation and white space do not count in a copy; a form
-    with other names needs them capitalised.  Items of
-    fewer than eight tokens, or without a window of four words, match nothing.
-    Rows of one item that differ are forms of it, each on its own.
+    with other names needs them capitalised.  An item of fewer than eight
+    tokens, or without a window of four words, has to stand in the document
+    word by word, however short it is; its windows are then the pieces it is
+    matched by.  Rows of one item that differ are forms of it, each on its own.
     Null texts hold no tokens; rows without an id are not reported; rows of one
     id are one document.  Other columns are ignored; an empty table on either
     side gives no rows.
@@ -154,17 +171,25 @@ def leaks(
     made = templates(forms.withColumn("values", tokens(F.col("text"))))
     items = stage(made.withColumn("version", F.xxhash64("values", *FAMILIES)).dropDuplicates(["item", "version"]))
     keys = stage(benchmark_windows(items))
-    totals = keys.groupBy("item", "version").agg(
-        F.countDistinct("at").alias("item_windows"), F.countDistinct(F.when(F.col("typed"), F.col("at"))).alias("typed_windows"))
+    bare = items.join(keys.select("item", "version").distinct(), ["item", "version"], "left_anti")
+    pieces = stage(exact_pieces(bare))
+    totals = stage(
+        keys.groupBy("item", "version").agg(F.countDistinct("at").alias("item_windows"),
+                                            F.countDistinct(F.when(F.col("typed"), F.col("at"))).alias("typed_windows"), F.lit(False).alias("exact"))
+        .unionByName(pieces.groupBy("item", "version").agg(F.count("*").alias("item_windows"), F.lit(0).cast("long").alias("typed_windows"), F.lit(True).alias("exact"))))
 
     def meet(found: DataFrame, wanted: DataFrame) -> DataFrame:
         wanted = wanted.select("item", "version", "hash", "at", "typed")
         return found.join(F.broadcast(wanted) if wanted.count() <= BROADCAST_WINDOWS else wanted, "hash")
 
     found = meet(windows(templates(rows), FAMILIES), keys)
+    for (width,) in pieces.select("width").distinct().collect():  # one of WIDTHS
+        as_said = windows(rows.select("doc", tokens(F.col("text")).alias("said")), ("said",), width)
+        found = found.unionByName(meet(as_said, pieces.where(F.col("width") == width).withColumn("typed", F.lit(False))))
     typed = F.size(F.filter("ats", lambda a: a["typed"]))
-    counts = ((F.size("ats") >= TOKENS - WINDOW + 1) | (F.size("ats") >= COVERAGE * F.col("item_windows"))
-              | ((typed > 0) & (typed >= COVERAGE * F.col("typed_windows"))))
+    counts = F.when(F.col("exact"), F.size("ats") == F.col("item_windows")).otherwise(
+        (F.size("ats") >= TOKENS - WINDOW + 1) | (F.size("ats") >= COVERAGE * F.col("item_windows"))
+        | ((typed > 0) & (typed >= COVERAGE * F.col("typed_windows"))))
     diagonals = stage(
         found.groupBy("doc", "item", "version", (F.col("pos") - F.col("at")).alias("position"))
         .agg(F.collect_set(F.struct("at", "typed")).alias("ats")).join(totals, ["item", "version"]).where(counts))

@@ -242,6 +242,18 @@ def test_leaks_with_a_few_edited_slots(spark):
     assert set(got) == {1, 2, 3} and got[1] < got[3] and got[2] < got[3]
 
 
+def test_leaks_of_short_and_bare_items(spark):
+    sums = "12 + 5 = 17, 8 + 4 = 12, 9 + 9 = 18, 6 + 7 = 13"
+    items = spark.createDataFrame([
+        (1, "What is the capital of France?"), (2, sums), *[(3, "The small red fox runs over the wide green hill.")] * 3, (4, "?!"), (5, "")],
+        "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "Quiz: what is the\ncapital of FRANCE? Paris."), (2, f"Sums: {sums}."), (3, "Then the small red fox runs over the wide green hill."),
+        (4, "What is the capital of Spain?"), (5, sums.replace("13", "14"))], "doc_id long, text string")
+    assert sorted((r.doc_id, r.item_id) for r in templates.leaks(docs, items).collect()) == [(1, 1), (2, 2), (3, 3)]
+    assert sorted(r.doc_id for r in templates.decontaminated(docs, items).collect()) == [4, 5]
+
+
 def plain_spans(docs):
     seen, cuts = {}, collections.defaultdict(set)
     for i, t in sorted(docs):
