@@ -1,7 +1,7 @@
 """Language of documents from their text, what they declare, and where they come from.
 
 The text's likelihood is that of its letter trigrams under a model per
-language, fitted on a bounded sample of labelled rows.  The declared language
+language, fitted on a bounded sample of each language's labelled rows.  The declared language
 and the address suffix add likelihoods, the host a prior; all three are
 estimated by grouped counts over all rows, the host's drawn to its domain's and
 that to the whole table's, the more the fewer rows it has.
@@ -15,15 +15,17 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from longitab.session import stage, unstage
 
 from .common import with_ids
 
-#: Labelled rows that the trigram model is fitted on, and rows a language must have among them.
-TRAIN_ROWS, LEAST_ROWS = 2000, 5
+#: Labelled rows of each language that the trigram model is fitted on at most.
+TRAIN_ROWS = 2000
+#: Rows of a language that are ranked together; Spark limits ranks per map task before the shuffle up to 1000.
+RANKED = 500
 #: Hash buckets of trigrams; with the languages they bound the model's size.
 BUCKETS = 1 << 15
 #: Bytes of text that are scored at a time.
@@ -86,33 +88,34 @@ class Model:
 
 
 def fit(rows: DataFrame, text: Column, label: Column, key: Column, train_rows: int = TRAIN_ROWS) -> Model:
-    """Fit on the ``train_rows`` labelled rows of least key hash; texts are read whole."""
-    labelled = rows.select(F.xxhash64(key).alias("at"), label.cast("string").alias("label"), text.alias("text")).where(
-        "label is not null and text is not null")
-    sample = stage(labelled.select("at").orderBy("at").limit(train_rows).distinct())
+    """Fit on up to ``train_rows`` labelled rows with letters of each label, those of least key hash; texts are read whole.
+
+    A label with fewer rows gives all of them, so each label of such a row has a model.
+    """
+    label = label.cast("string")
+    labelled = rows.select(F.xxhash64(key, label).alias("at"), label.alias("label"), text.alias("text")).where(
+        F.col("label").isNotNull() & F.col("text").rlike(r"\p{L}"))
+    parts = -(-train_rows // RANKED)
+    rank = F.row_number().over(Window.partitionBy("label", F.pmod("at", F.lit(parts))).orderBy("at"))
+    sample = stage(labelled.select("at", rank.alias("rank")).where(F.col("rank") <= train_rows // parts).select("at").distinct())
 
     def count(batches):
         total: dict[str, np.ndarray] = {}
-        n: dict[str, int] = {}
         for batch in batches:
             labels = np.array(batch.column(0).to_pylist(), object)
             for name in set(labels):
                 at = total.setdefault(name, np.zeros(BUCKETS, np.int64))
-                n[name] = n.get(name, 0) + int((labels == name).sum())
                 for block in _blocks(batch.column(1).filter(pa.array(labels == name))):
                     at += np.bincount(trigrams(block)[0], minlength=BUCKETS)
         for name, at in total.items():
-            g = np.append(np.flatnonzero(at), -1)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([name] * len(g)), pa.array(g), pa.array(np.append(at[g[:-1]], n[name]))], ["label", "bucket", "n"])
+            g = np.flatnonzero(at)
+            yield pa.RecordBatch.from_arrays([pa.array([name] * len(g), pa.string()), pa.array(g), pa.array(at[g])], ["label", "bucket", "n"])
 
     counts = with_ids(labelled, "at", sample).select("label", "text").mapInArrow(count, "label string, bucket long, n long")
     sums = counts.groupBy("label", "bucket").agg(F.sum("n").alias("n"))
-    table = sums.toPandas()  # at most BUCKETS + 1 rows for each language of the sample
-    rows_of = table[table.bucket == -1].set_index("label").n
-    languages = sorted(rows_of[rows_of >= LEAST_ROWS].index)
+    table = sums.toPandas()  # at most BUCKETS rows for each language
+    languages = sorted(set(table.label))
     out = np.zeros((len(languages), BUCKETS))
-    table = table[(table.bucket >= 0) & table.label.isin(languages)]
     out[[languages.index(x) for x in table.label], table.bucket.to_numpy(np.int64)] = table.n
     unstage(sample)
     return Model(languages, out)
@@ -146,14 +149,15 @@ def identify(
     """``(row, language, confidence, known, accepted)``, one per input row.
 
     ``row`` is the input row as a struct, so no column can clash.  The model is
-    fitted on ``label_col`` (by default what rows declare).  ``confidence`` is
+    fitted on ``label_col`` (by default what rows declare), up to ``train_rows``
+    rows of each label, however rare.  ``confidence`` is
     the posterior of the best language, ``known`` the share of the text's
     trigrams that occur in the training sample.  A document is accepted if
     ``known >= KNOWN`` and ``confidence >= CONFIDENCE``.
 
     A text without letters (null, empty) is not accepted; evidence alone then
     gives its language.  Null evidence says nothing.  Equal scores give the
-    first language by name.  If no language has enough labelled rows, language
+    first language by name.  If no labelled row has letters, language
     is null, confidence 0, and nothing is accepted.  An empty table gives none.
     """
     null = F.lit(None).cast("string")

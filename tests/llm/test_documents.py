@@ -153,6 +153,16 @@ def test_language_finds_and_keeps(spark, odd, none):
     assert language.identify(none).count() == 0
 
 
+def test_language_keeps_rare_languages(spark):
+    en, ga = "the river runs past the old mill and into the quiet sea", "bhi an abhainn ag rith thar an sean mhuileann go dti an fharraige"
+    rows = spark.range(30_000).selectExpr("id as doc_id", f"if(id % 10000 = 7, '{ga}', '{en}') as text",
+                                          "if(id % 10000 = 7, 'ga', 'en') as lang", "'s' as source")
+    got = language.identify(rows).where("row.lang = 'ga'").collect()
+    assert len(got) == 3 and all(r.accepted and r.language == "ga" for r in got)
+    few = spark.createDataFrame([(1, en, "en", "s"), (2, ga, "ga", "s"), (3, "12", "xx", "s")], "doc_id long, text string, lang string, source string")
+    assert {r.row.doc_id: (r.accepted, r.language) for r in language.identify(few).collect() if r.row.doc_id < 3} == {1: (True, "en"), 2: (True, "ga")}
+
+
 def test_language_held_out(spark):
     rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     masked = rows.selectExpr("doc_id", "text", "source", "lang as truth", "if(doc_id % 2 = 0, lang, null) as lang")
