@@ -17,6 +17,16 @@ _END = re.compile(r"(?<=[.!?])[^\S\n]+|(?<=[\u3002\uff01\uff1f])|\s*\n\s*")
 #: Fixed value: odd base of the run hash, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
+#: Letters of scripts written without spaces: Han, kana, bopomofo and Yi, one a word; Thai, Lao, Tibetan,
+#: Burmese, Khmer, Tai, Balinese and Javanese, ``LETTERS`` a word.
+_SIGNS = re.compile(
+    "[\u3005-\u3007\u3041-\u3096\u309d-\u309f\u30a1-\u30fa\u30fc-\u30ff\u3105-\u312f\u31a0-\u31bf\u31f0-\u31ff\u3400-\u4dbf"
+    "\u4e00-\u9fff\ua000-\ua48c\uf900-\ufaff\uff66-\uff9f\U0001b000-\U0001b16f\U00020000-\U000323af]")
+_UNSPACED = re.compile(
+    "[\u0e01-\u0e30\u0e32\u0e33\u0e40-\u0e46\u0e81-\u0eb0\u0eb2\u0eb3\u0ebd-\u0ec6\u0edc-\u0edf\u0f40-\u0f6c\u1000-\u102a\u103f"
+    "\u1050-\u1055\u1780-\u17b3\u1950-\u1974\u1980-\u19ab\u1a20-\u1a54\u1b05-\u1b33\ua984-\ua9b2\uaa60-\uaa7a]")
+_OTHER = re.compile(r"[^\W_]")
+LETTERS = 4
 #: A run has at least so many sentences and words, or is one sentence of that many words.
 SENTENCES, WORDS, LONG = 2, 20, 40
 
@@ -27,6 +37,16 @@ def sentences(text: str) -> list[tuple[int, int]]:
     return list(zip(cuts, cuts[1:]))
 
 
+def _n_words(sentence: str, words: list[str]) -> int:
+    """What stands between spaces, but in scripts without spaces by their letters."""
+    rest, signs = _SIGNS.subn(" ", sentence)
+    rest, letters = _UNSPACED.subn(" ", rest)
+    if not signs and not letters:
+        return len(words)
+    # vowel signs and tone marks that the letters leave behind are no words
+    return signs + -(-letters // LETTERS) + sum(bool(_OTHER.search(w)) for w in rest.split())
+
+
 def _powers(base: int, n: int) -> np.ndarray:
     steps = np.full(n, base, np.uint64)
     steps[:1] = 1
@@ -39,11 +59,16 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     From each sentence the shortest run forward, and to each the shortest run
     back, that has ``SENTENCES`` sentences and ``WORDS`` words, or ``LONG``
     words.  So any stretch that holds one run is covered by its runs to both
-    ends.  Letter case and the kind of white space do not count.
+    ends.  Letter case and the kind of white space do not count.  In scripts
+    that are written without spaces, words are counted by letters.
     """
     words = [text[i:j].lower().split() for i, j in sentences(text)]
     n = len(words)
-    total = np.concatenate([[0], np.cumsum([len(w) for w in words], dtype=np.int64)])
+    if text.isascii() or not (_SIGNS.search(text) or _UNSPACED.search(text)):
+        sizes = [len(w) for w in words]
+    else:
+        sizes = [_n_words(text[i:j], w) for (i, j), w in zip(sentences(text), words)]
+    total = np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
     of = xxhash.xxh3_64_intdigest
     hashes = np.fromiter((of(" ".join(w)) for w in words), np.uint64, n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(BASE, n), dtype=np.uint64)])

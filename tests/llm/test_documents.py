@@ -292,6 +292,19 @@ def test_spans_equal_plain_version(spark, odd, none):
     assert spans.dedup_spans(odd).count() == odd.count() and spans.dedup_spans(none).count() == 0
 
 
+def test_spans_in_scripts_without_spaces(spark):
+    zh = "".join(f"今天的天气很好我们去{c}公园里走一走看看花草树木。" for c in "东南西北中山海河湖江林田")
+    ja = "".join(f"きのうは{c}の町でともだちと会って長い話をしました。" for c in "東南西北中山")
+    th = "\n".join(f"เมื่อวานนี้เราไปเดินเล่นที่สวนสาธารณะ{c}กับเพื่อนและครอบครัว" for c in ("ใหญ่", "เล็ก", "เก่า", "ใหม่"))
+    docs = [(k * 10 + d, f"{d}番の文書。{t}\n終わり{d}。") for k, t in enumerate((zh, ja, th)) for d in range(2)]
+    docs += [(90, "第一章。目录。"), (91, "第一章。目录。")]  # too short a run to count
+    out = {r.doc_id: r for r in spans.dedup_spans(spark.createDataFrame(docs, "doc_id long, text string")).collect()}
+    assert {i: r.text for i, r in out.items()} == plain_spans(docs)
+    for k, t in enumerate((zh, ja, th)):
+        assert t in out[k * 10].text and t[:20] not in out[k * 10 + 1].text and out[k * 10 + 1].n_removed >= 4
+    assert out[90].n_removed == out[91].n_removed == 0
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet="ab. !?\n", max_size=60))
 def test_sentences_cover_the_text(text):
