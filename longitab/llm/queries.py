@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from . import chat, crf, jaccard, language, linkgraph, mixing, records, spans, sql, templates, vptree
+from . import chat, crf, divergence, jaccard, language, linkgraph, mixing, negatives, packing, records, spans, sql, templates, vptree
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = sql.SQL
@@ -87,3 +88,24 @@ def op2_templates(documents: DataFrame, benchmark: DataFrame) -> DataFrame:
 def op1_main_text(pages: DataFrame) -> DataFrame:
     """Main text of every page by a conditional random field."""
     return crf.extract(pages)
+
+
+@query("embeddings")
+def op11_spanning_tree(embeddings: DataFrame) -> DataFrame:
+    """Hard negatives of every hundredth vector, every seventh of them with the next label."""
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = embeddings.withColumn("label", label)
+    return negatives.mine(rows, rows.where("vec_id % 100 = 0"))
+
+
+@query("documents")
+def op12_bin_slack(documents: DataFrame) -> DataFrame:
+    """Documents packed into sequences of 1024 tokens, one row per piece."""
+    pieces = packing.pieces_of(packing.pack(documents, vocabulary("byte_bpe_50k.json")))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
+@query("documents")
+def op13_iceberg_audit(documents: DataFrame) -> DataFrame:
+    """How far each source's words are from its language's other sources, and the terms that set it apart."""
+    return divergence.audit(documents)
