@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import os
-import re
 import unicodedata
 from itertools import chain
 
@@ -13,23 +12,54 @@ import pyarrow as pa
 #: Characters below are letters, numbers, white space or marks in every version of Unicode alike.
 STABLE_END = 0x250
 #: Bytes of words kept per encoder; a fuller table is emptied and filled anew.
-CACHED_BYTES = 2 << 20
+CACHED_BYTES = 6 << 20
 #: Words given to the tokenizer at a time.
 LINE = 2000
 #: Fixed value: white space below ``STABLE_END``.
 SPACES = "\t\n\x0b\x0c\r \x85\xa0"
 
 
-def _class(kind: str) -> str:
-    return "".join(re.escape(chr(c)) for c in range(STABLE_END) if unicodedata.category(chr(c))[0] == kind)
+#: What follows an apostrophe in a word of its own.
+AFTER = ("s", "t", "m", "d", "re", "ve", "ll")
+LETTER, NUMBER, MARK, WHITE, SPACE = range(5)
 
 
-def word_pattern() -> re.Pattern:
-    """The vocabulary's split of a text into words: contractions, letters, numbers and marks with one
-    space in front, and what other white space there is."""
-    s, letters, numbers = re.escape(SPACES), _class("L"), _class("N")
-    return re.compile(
-        rf"'(?:[stmd]|re|ve|ll)| ?[{letters}]+| ?[{numbers}]+| ?[^{s}{letters}{numbers}]+|[{s}]+(?![^{s}])|[{s}]+")
+def _classes() -> np.ndarray:
+    kinds = {"L": LETTER, "N": NUMBER}
+    out = np.array([kinds.get(unicodedata.category(chr(c))[0], MARK) for c in range(STABLE_END)], np.int8)
+    out[[ord(c) for c in SPACES]] = WHITE
+    out[ord(" ")] = SPACE
+    return out
+
+
+CLASSES = _classes()
+
+
+def word_starts(chars: np.ndarray, first: np.ndarray) -> np.ndarray:
+    """Where the vocabulary starts a word: runs of letters, of numbers and of marks, with one space in front,
+    contractions, and what other white space there is.
+
+    ``chars`` are the code points of texts one after another, ``first`` the places where one starts.
+    """
+    n = len(chars)
+    kind = np.append(CLASSES[chars], WHITE)
+    begins = np.zeros(n + 1, bool)
+    begins[first] = begins[n] = True
+    white = kind >= WHITE
+    same = np.append(True, kind[1:] == kind[:-1])
+    before_white, before_space = np.append(True, white[:-1]), np.append(False, kind[:-1] == SPACE)
+    # of a run of white space before a word the last goes with the word or alone
+    turns = np.append(~white[1:] & ~begins[1:], False)
+    start = begins | np.where(white, ~before_white | turns, np.where(before_white, ~before_space, ~same))
+    at = np.flatnonzero(start[:n] & (chars == ord("'")))
+    for tail in AFTER:
+        k = len(tail)
+        some = at[at + k < n]
+        for j, c in enumerate(tail, 1):
+            some = some[(chars[some + j] == ord(c)) & ~begins[some + j]]
+        start[some + 1] = False
+        start[some + k + 1] = True
+    return start[:n]
 
 
 class Encoder:
@@ -50,7 +80,6 @@ class Encoder:
         self.lengths = np.zeros(self.whole.get_vocab_size(), np.int64)
         for token, i in self.whole.get_vocab().items():
             self.lengths[i] = len(token)
-        self.pattern = word_pattern()
         self._clear()
 
     def _clear(self) -> None:
@@ -79,17 +108,20 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """``(ids of all texts one after another, number of ids of each text)``."""
-        words, counts, apart = [], [], {}
-        for k, text in enumerate(texts):
-            if self._simple(text):
-                found = self.pattern.findall(text)
-                words += found
-                counts.append(len(found))
-            else:
-                apart[k] = np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
-                counts.append(0)
-        coded = pa.array(words, pa.string()).dictionary_encode()
-        distinct = coded.dictionary.to_pylist()
+        apart = {k: np.array(self.whole.encode(text, add_special_tokens=False).ids, np.uint32)
+                 for k, text in enumerate(texts) if not self._simple(text)}
+        joined = "".join([t for k, t in enumerate(texts) if k not in apart] if apart else texts)
+        chars = np.frombuffer(joined.encode("utf-32-le"), np.uint32)
+        n_chars = np.array([0 if k in apart else len(t) for k, t in enumerate(texts)], np.int64)
+        ends = np.cumsum(n_chars)
+        at = np.flatnonzero(word_starts(chars, (ends - n_chars)[n_chars > 0]))
+        # of code points below STABLE_END those beyond ASCII have two bytes
+        bytes_at = np.append(at + np.append(0, np.cumsum(chars >= 128))[at], len(chars) + np.count_nonzero(chars >= 128))
+        words = pa.Array.from_buffers(
+            pa.string(), len(at), [None, pa.py_buffer(bytes_at.astype(np.int32)), pa.py_buffer(joined.encode())])
+        counts = np.diff(np.searchsorted(at, np.append(0, ends)))
+        coded = words.dictionary_encode()
+        distinct = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if self.bytes > CACHED_BYTES:
             self._clear()
         if new := [w for w in distinct if w not in self.known]:
