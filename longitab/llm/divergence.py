@@ -11,6 +11,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
+import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,6 +21,11 @@ from .records import blocks
 
 #: Bytes of the first level's prefixes; each level doubles them.
 FIRST = 4
+#: Bits of the table that tells blocks which prefixes or terms are still in: 4 MB, whatever their number.  A prefix
+#: that is in by chance is counted once more and then dropped by its own count.
+MARKS = 1 << 25
+#: Rows of a language or group table that a join may send to every executor; above, it is shuffled.
+FEW = 50_000
 #: Fixed value: the unit of the smoothed shares.
 UNIT = 1_000_000_000
 #: Fixed value: A-Z become small; other bytes that are neither ASCII letters nor beyond ASCII become spaces.
@@ -48,11 +54,12 @@ def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]
 def _bags(docs: DataFrame) -> DataFrame:
     """One row per block of documents: its ``bag`` of terms, packed.
 
-    ``group`` and ``doc`` run over the block's (lang, source) and documents;
-    ``terms`` are stored one after another.
+    ``group_of`` has each document's (lang, source); ``doc``, ``term`` and
+    ``n`` have how often a term stands in a document.  All are 32-bit integers,
+    little-endian; the terms are stored one after another.
     """
-    schema = ("langs array<string>, sources array<string>, term_bytes binary, term_sizes array<int>, "
-              "group_of array<int>, doc array<int>, term array<int>, n array<int>")
+    schema = ("langs array<string>, sources array<string>, term_bytes binary, "
+              "term_sizes binary, group_of binary, doc binary, term binary, n binary")
 
     def run(batches):
         for batch in batches:
@@ -62,34 +69,59 @@ def _bags(docs: DataFrame) -> DataFrame:
                 groups, group_of = np.unique(a.astype(np.int64) * len(sources) + b, return_inverse=True)
                 doc, term, n, terms = bags(text)
                 rows = [langs.take(pa.array(groups // len(sources))), sources.take(pa.array(groups % len(sources)))]
-                numbers = [pc.binary_length(terms), *[pa.array(x.astype(np.int32)) for x in (group_of, doc, term, n)]]
+                numbers = (pc.binary_length(terms).to_numpy(), group_of, doc, term, n)
                 yield pa.RecordBatch.from_arrays(
                     [*[pa.array([x.to_pylist()], pa.list_(pa.string())) for x in rows], pa.array([b"".join(terms.to_pylist())], pa.binary()),
-                     *[pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x.cast(pa.int32())) for x in numbers]],
+                     *[pa.array([x.astype("<i4").tobytes()], pa.binary()) for x in numbers]],
                     ["langs", "sources", "term_bytes", "term_sizes", "group_of", "doc", "term", "n"])
 
     return docs.mapInArrow(run, schema)
 
 
+def marks(rows: DataFrame, lang: str, name: str) -> bytes:
+    """A table of ``MARKS`` bits, of which those at the hashes of the rows' (lang, name) are set."""
+    spot = F.col("spot")
+    words = rows.select(F.pmod(F.xxhash64(lang, name), F.lit(MARKS)).alias("spot")).groupBy(
+        F.floor(spot / 32768).alias("at")).agg(F.bitmap_construct_agg((spot % 32768)).alias("bits"))
+    table = bytearray(MARKS // 8)
+    for r in words.toLocalIterator():  # at most MARKS / 32768 rows of 4 KB
+        table[r["at"] * 4096:(r["at"] + 1) * 4096] = r["bits"]
+    return bytes(table)
+
+
+def marked(table: np.ndarray, seeds: np.ndarray, names: pa.Array, lang: np.ndarray, name: np.ndarray) -> np.ndarray:
+    """Which of the (lang, name), given by number, are marked; some are by chance.  ``seeds`` are the languages' hashes."""
+    of, data = xxhash.xxh64_intdigest, names.to_numpy(zero_copy_only=False)
+    seed = seeds.tolist()
+    spot = np.fromiter((of(data[b], seed[a]) for a, b in zip(lang.tolist(), name.tolist())), np.uint64, len(lang)).view(np.int64) % MARKS
+    return (table[spot >> 3] >> (spot & 7).astype(np.uint8)) & 1 == 1
+
+
+def seeds_of(langs: pa.Array) -> np.ndarray:
+    """Spark's hash of each language, which starts the hash of what follows it; 42 is Spark's own start."""
+    return np.array([xxhash.xxh64_intdigest(x.encode(), 42) for x in langs.to_pylist()], dtype=np.uint64)
+
+
 class Bag:
     """One row of ``_bags``."""
 
     def __init__(self, batch: pa.RecordBatch, k: int):
         def numbers(name):
-            return batch.column(name)[k].values.to_numpy().astype(np.int64)
+            return np.frombuffer(batch.column(name)[k].as_buffer(), "<i4").astype(np.int64)
         self.langs, self.sources = batch.column("langs")[k].values, batch.column("sources")[k].values
         sizes = numbers("term_sizes")
         offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
         data = batch.column("term_bytes")[k].as_buffer()
         self.terms = pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets.buffers()[1], data])
         self.sizes, self.doc, self.term, self.n = sizes, numbers("doc"), numbers("term"), numbers("n")
-        self.group = numbers("group_of")[self.doc]
+        self.group_of = numbers("group_of")
 
 
-def _nodes(stored: DataFrame, length: int) -> DataFrame:
-    """``(lang, parent, node, complete, docs)``, a block's share: in how many of its documents each open prefix
-    of ``length`` bytes stands, and each term that ends on this level.  ``parent`` is the prefix of half the length."""
+def _nodes(stored: DataFrame, length: int, kept) -> DataFrame:
+    """``(lang, node, complete, docs)``, a block's share: in how many of its documents each open prefix of
+    ``length`` bytes stands, and each term that ends on this level, if the prefix of half the length is marked."""
     def run(batches):
+        table = kept and np.frombuffer(kept.value, np.uint8)
         for batch in batches:
             for k in range(batch.num_rows):
                 bag = Bag(batch, k)
@@ -105,33 +137,37 @@ def _nodes(stored: DataFrame, length: int) -> DataFrame:
                 nodes = 2 * max(1, len(names))
                 # one of each document, then how many of each language
                 of_doc = np.unique(bag.doc[on] * nodes + row[on])
-                first = np.searchsorted(bag.doc, np.arange(bag.doc[-1] + 1 if len(bag.doc) else 0))
-                lang_of = lang[bag.group[first]] if len(first) else np.zeros(0, np.int64)
+                lang_of = lang[bag.group_of].astype(np.int64)
                 doc, row = of_doc // nodes, of_doc % nodes
                 if not len(doc):
                     continue
-                key, docs = np.unique(lang_of[np.minimum(doc, len(lang_of) - 1)] * nodes + row, return_counts=True)
-                which = names.take(pa.array(key % nodes // 2))
+                key, docs = np.unique(lang_of[doc] * nodes + row, return_counts=True)
+                lang_, name = key // nodes, key % nodes // 2
+                if table is not None:
+                    halves, names_ = _distinct(pc.binary_slice(names, 0, length // 2))
+                    pairs, back = np.unique(lang_ * len(names_) + halves[name], return_inverse=True)
+                    on = marked(table, seeds_of(langs), names_, pairs // len(names_), pairs % len(names_))[back]
+                    key, docs, lang_, name = key[on], docs[on], lang_[on], name[on]
                 yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(key // nodes)), pc.binary_slice(which, 0, length // 2), which, pa.array(key % 2 == 1), pa.array(docs)],
-                    ["lang", "parent", "node", "complete", "docs"])
+                    [langs.take(pa.array(lang_)), names.take(pa.array(name)), pa.array(key % 2 == 1), pa.array(docs)],
+                    ["lang", "node", "complete", "docs"])
 
-    return stored.mapInArrow(run, "lang string, parent binary, node binary, complete boolean, docs long")
+    return stored.mapInArrow(run, "lang string, node binary, complete boolean, docs long")
 
 
 def _kept(stored: DataFrame, least: int) -> DataFrame:
     """``(lang, term, docs)`` of the terms in at least ``least`` documents of the language."""
-    levels, held, before, length = [], [], None, FIRST
+    context = stored.sparkSession.sparkContext
+    levels, held, table, length = [], [], None, FIRST
     while True:
-        nodes = _nodes(stored, length)
-        if before is not None:
-            nodes = nodes.join(before, ["lang", "parent"], "left_semi")
-        level = stage(nodes.groupBy("lang", "node", "complete").agg(F.sum("docs").alias("docs")).where(F.col("docs") >= least))
+        level = stage(_nodes(stored, length, table).groupBy("lang", "node", "complete").agg(F.sum("docs").alias("docs"))
+                      .where(F.col("docs") >= least))
         held.append(level)
         levels.append(level.where("complete").select("lang", F.col("node").alias("term"), "docs"))
-        before = level.where("not complete").select("lang", F.col("node").alias("parent"))
-        if before.isEmpty():
+        still = level.where("not complete")
+        if still.isEmpty():
             break
+        table = context.broadcast(marks(still, "lang", "node"))
         length *= 2
     kept = levels[0]
     for more in levels[1:]:
@@ -141,17 +177,22 @@ def _kept(stored: DataFrame, least: int) -> DataFrame:
     return out
 
 
-def _cells(stored: DataFrame) -> DataFrame:
-    """``(lang, source, term, n)``, a block's share of how often each group has each term."""
+def _cells(stored: DataFrame, kept) -> DataFrame:
+    """``(lang, source, term, n)``, a block's share of how often each group has each marked term."""
     def run(batches):
+        table = np.frombuffer(kept.value, np.uint8)
         for batch in batches:
             for k in range(batch.num_rows):
                 bag = Bag(batch, k)
                 if not len(bag.n):
                     continue
                 terms = len(bag.terms)
-                key, at = np.unique(bag.group * terms + bag.term, return_inverse=True)
-                n = np.bincount(at, bag.n).astype(np.int64)
+                lang, langs = _distinct(bag.langs)
+                group = bag.group_of[bag.doc]
+                pairs, back = np.unique(lang[group] * terms + bag.term, return_inverse=True)
+                on = marked(table, seeds_of(langs), bag.terms, pairs // terms, pairs % terms)[back]
+                key, at = np.unique(group[on] * terms + bag.term[on], return_inverse=True)
+                n = np.bincount(at, bag.n[on], len(key)).astype(np.int64)
                 group = pa.array(key // terms)
                 yield pa.RecordBatch.from_arrays(
                     [bag.langs.take(group), bag.sources.take(group), bag.terms.take(pa.array(key % terms)), pa.array(n)],
@@ -197,20 +238,27 @@ def audit(docs: DataFrame, least: int = 10, best: int = 10, lang_col: str = "lan
     texts = docs.select(plain(lang_col).alias("lang"), plain(source_col).alias("source"), plain(text_col).alias("text"))
     stored = stage(_bags(texts))
     kept = _kept(stored, least)
-    cells = stage(_cells(stored).join(kept, ["lang", "term"], "left_semi").groupBy("lang", "source", "term").agg(F.sum("n").alias("n")))
+    table = docs.sparkSession.sparkContext.broadcast(marks(kept, "lang", "term"))
+    cells = stage(_cells(stored, table).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi"))
     unstage(stored)
-    sizes = kept.groupBy("lang").agg(F.count("*").alias("v"))
+    sizes = _few(stage(kept.groupBy("lang").agg(F.count("*").alias("v"))))
     groups = texts.select("lang", "source").distinct().join(
         cells.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left").join(sizes, "lang", "left")
     v = F.coalesce("v", F.lit(0).cast("long"))
     groups = stage(groups.select("lang", "source", v.alias("v"), F.nullif(F.coalesce("total", F.lit(0)) + 2 * v, F.lit(0)).alias("den"))
                    .withColumn("none", _share(F.lit(0).cast("long"), F.col("den"))))
+    groups = _few(groups)
     shares = stage(cells.join(groups, ["lang", "source"]).withColumn("p", _share(F.col("n"), F.col("den"))).select(
         "lang", "source", "term", "n", "p", "none"))
     out = _pairs(groups, shares).unionByName(_terms(cells, shares, sizes, best))
     return out
 
 
+def _few(table: DataFrame) -> DataFrame:
+    """A staged table of languages or groups, for a join in place where it is small: else one task joins a whole language."""
+    return F.broadcast(table) if table.count() <= FEW else table
+
+
 def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
     """The gaps summed over all kept terms, from those that a group has.
 
@@ -218,7 +266,7 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
     for nothing, and the terms that neither has would face each other: for that
     a histogram of each group's shares is enough.  Terms in both are set right.
     """
-    other = groups.select("lang", F.col("source").alias("item"), F.col("none").alias("none_b"))
+    other = _few(groups.select("lang", F.col("source").alias("item"), F.col("none").alias("none_b")))
     both = groups.join(other, "lang").where("source <> item")
     marks = shares.groupBy("lang", "source", "p", "none").agg(F.count("*").alias("terms"))
     alone = marks.join(other, "lang").where("source <> item").groupBy("lang", "source", "item").agg(
@@ -242,7 +290,8 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
 
 def _terms(cells: DataFrame, shares: DataFrame, sizes: DataFrame, best: int) -> DataFrame:
     whole = cells.groupBy("lang", "term").agg(F.sum("n").alias("n"))
-    dens = whole.groupBy("lang").agg(F.sum("n").alias("total")).join(sizes, "lang").select("lang", (F.col("total") + 2 * F.col("v")).alias("den"))
+    dens = _few(stage(cells.groupBy("lang").agg(F.sum("n").alias("total")).join(sizes, "lang").select(
+        "lang", (F.col("total") + 2 * F.col("v")).alias("den"))))
     of_lang = whole.join(dens, "lang").select("lang", "term", _share(F.col("n"), F.col("den")).alias("q"))
     found = shares.join(of_lang, ["lang", "term"]).where("p > q").select(
         "lang", "source", F.col("term").cast("string").alias("item"), _gap(F.col("p"), F.col("q")).alias("value"))
