@@ -10,9 +10,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..session import stage, unstage
+
 DIRECTIONS = ("down", "up", "downup", "updown")
 TWO_WAY = ("downup", "updown")
 ROWS_PER_BLOCK = 1 << 20
+#: Blocks whose ends one window reads; more are carried across in a tree.
+FAN = 1024
+#: Where ``monotonically_increasing_id`` keeps the partition.
+PART = 1 << 33
 
 
 def fill(df: DataFrame, cols: Sequence[str] | Mapping[str, str], by: Sequence[str], order: str,
@@ -22,18 +28,19 @@ def fill(df: DataFrame, cols: Sequence[str] | Mapping[str, str], by: Sequence[st
     ``downup`` takes the earlier value, else the later one; ``updown`` the
     other way round.  ``cols`` may map each column to its own direction, which
     fills them all in one pass.  ``order`` is an integer column, unique within
-    a group.
-
-    A window puts a whole group into one task.  Groups of more than
-    ``rows_per_block`` rows are therefore cut into blocks of consecutive
-    ``order`` values; since ``order`` is unique, no block has more rows than
-    that, whatever the skew.  Of each block the first and the last value of
-    each column are kept (combined before the shuffle), a window over those
-    finds what each block inherits, and the inherited values travel to their
-    block as one extra row in front of it.  The other groups pass through as
-    they are: their cost is the count of rows per group.
-
-    Pass ``rows_per_block=None`` where groups are small by construction.
+    a group; gaps in it do not matter.
+
+    A window puts a whole group into one task.  The input is read once and
+    staged; where a group has more than ``rows_per_block`` rows, it is dealt by
+    ranges of (group, order) and cut into blocks of that many consecutive rows
+    at most, counted, not estimated.  Of each block the first and the last
+    value of each column are kept (combined before the shuffle).  What a block
+    inherits is carried over those ends in a tree of windows of at most ``FAN``
+    blocks, and travels to its block as one extra row in front of it.  Where no
+    group is that large, a window per group does.
+
+    Pass ``rows_per_block=None`` where groups are small by construction; then
+    nothing is staged.
     """
     ways = dict(cols) if isinstance(cols, Mapping) else dict.fromkeys(cols, direction)
     if not set(ways.values()) <= set(DIRECTIONS):
@@ -42,20 +49,20 @@ def fill(df: DataFrame, cols: Sequence[str] | Mapping[str, str], by: Sequence[st
         return _fill_within(df, df.columns, ways, [*by], order)
 
     width = int(rows_per_block)
-    large = (
-        df.groupBy(*[F.col(k).alias(f"__large_{k}") for k in by]).agg(F.count("*").alias("__n"))
-        .filter(F.col("__n") > width).drop("__n")
-    )
-    is_large = reduce(and_, [F.col(k).eqNullSafe(F.col(f"__large_{k}")) for k in by])
-    # Safe to broadcast at any scale: a table of N rows has at most
-    # N / rows_per_block groups that large, a million for 10^12 rows.
-    large = F.broadcast(large.withColumn("__large", F.lit(True)))
-    block = F.expr(f"`{order}` div {width}L")
-
-    rows = df.join(large, is_large, "left").select(
-        *df.columns, F.when(F.col("__large"), block).otherwise(F.lit(0).cast("bigint")).alias("__block"))
-    cut = df.join(large, is_large, "inner").select(*df.columns, block.alias("__block"))
-    fronts = _inherited(cut, ways, by, order)
+    base = stage(df)
+    sizes = base.groupBy(*by).agg(F.count("*").alias("__n")).agg(F.max("__n"), F.sum("__n")).first()
+    if (sizes[0] or 0) <= width:
+        return _fill_within(base, df.columns, ways, [*by], order)
+    place = [*[F.asc_nulls_first(k) for k in by], F.asc_nulls_first(order)]
+    dealt = stage(
+        base.repartitionByRange(-(-sizes[1] // width), *place).sortWithinPartitions(*place)
+        .withColumn("__at", F.monotonically_increasing_id()))
+    unstage(base)
+    # ranges come from a sample: one with more rows than a block holds is cut by its rows' numbers
+    inner = F.floor(F.col("__at") % PART / width)
+    per_part, parts = (1 + n for n in dealt.agg(F.max(inner), F.max(F.floor(F.col("__at") / PART))).first())
+    rows = dealt.select(*df.columns, (F.floor(F.col("__at") / PART) * per_part + inner).alias("__block"))
+    fronts = _inherited(rows, ways, by, order, parts * per_part)
     both = rows.withColumn("__front", F.lit(False)).unionByName(fronts, allowMissingColumns=True)
     return _fill_within(both, df.columns, ways, [*by, "__block"], order)
 
@@ -86,21 +93,16 @@ def _fill_within(df, keep, ways, part, order):
     return filled.select(*keep)
 
 
-def _inherited(rows, ways, by, order):
+def _inherited(rows, ways, by, order, n_blocks):
     """One row per later (or earlier) block of a group with what it inherits."""
     ends = []
     for c in ways:
         at = F.when(F.col(c).isNotNull(), F.col(order))
         ends += [F.max_by(c, at).alias(f"__last_{c}"), F.min_by(c, at).alias(f"__first_{c}")]
-    blocks = rows.groupBy(*by, "__block").agg(*ends)
-
-    group = W.partitionBy(*by)
-    before = group.orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
-    after = group.orderBy(F.desc("__block")).rowsBetween(W.unboundedPreceding, -1)
+    blocks = _carried(stage(rows.groupBy(*by, "__block").agg(*ends)), list(ways), by, n_blocks)
     values = {}
     for c, way in ways.items():
-        down = F.last(f"__last_{c}", ignorenulls=True).over(before)
-        up = F.last(f"__first_{c}", ignorenulls=True).over(after)
+        down, up = F.col(f"__down_{c}"), F.col(f"__up_{c}")
         main, other = (down, up) if way.startswith("down") else (up, down)
         values[c] = main
         if way in TWO_WAY:
@@ -108,3 +110,28 @@ def _inherited(rows, ways, by, order):
     fronts = blocks.select(*by, "__block", *[v.alias(n) for n, v in values.items()])
     useful = reduce(or_, [F.col(n).isNotNull() for n in values])
     return fronts.filter(useful).withColumn("__front", F.lit(True))
+
+
+def _carried(ends, cols, by, n):
+    """For each end (group, number below ``n``) the last value before it and the first after it."""
+    wide = n > FAN
+    mine = ends.withColumn("__up", F.floor(F.col("__block") / FAN)) if wide else ends
+    part = W.partitionBy(*by, *(["__up"] if wide else []))
+    before = part.orderBy("__block").rowsBetween(W.unboundedPreceding, -1)
+    after = part.orderBy(F.desc("__block")).rowsBetween(W.unboundedPreceding, -1)
+    near = mine.select("*", *[F.last(f"__last_{c}", ignorenulls=True).over(before).alias(f"__down_{c}") for c in cols],
+                       *[F.last(f"__first_{c}", ignorenulls=True).over(after).alias(f"__up_{c}") for c in cols])
+    found = [f"__{way}_{c}" for c in cols for way in ("down", "up")]
+    if not wide:
+        return near.select(*by, "__block", *found)
+    outer = []
+    for c in cols:
+        for end, pick in (("last", F.max_by), ("first", F.min_by)):
+            value = F.col(f"__{end}_{c}")
+            outer.append(pick(value, F.when(value.isNotNull(), F.col("__block"))).alias(f"__{end}_{c}"))
+    above = _carried(stage(mine.groupBy(*by, F.col("__up").alias("__block")).agg(*outer)), cols, by, -(-n // FAN))
+    above = above.select(F.col("__block").alias("__over"), *[F.col(k).alias(f"__of_{k}") for k in by],
+                         *[F.col(f).alias(f"__far{f}") for f in found])
+    same = [F.col(k).eqNullSafe(F.col(f"__of_{k}")) for k in by]
+    return near.join(above, reduce(and_, [F.col("__up") == F.col("__over"), *same]), "left").select(
+        *by, "__block", *[F.coalesce(f, f"__far{f}").alias(f) for f in found])

@@ -206,6 +206,16 @@ def fill_mixed(load):
     return fill(sparse_events(load).select("id", "seq", *MIXED), MIXED, ["id"], "seq")
 
 
+@query(f"""WITH {SPARSE}, x AS (SELECT event, seq * seq AS seq, {", ".join(f"CASE WHEN k % 9 = {i} THEN {c} END AS {c}" for i, c in enumerate(("value", "note", "ts", "k")))} FROM sparse)
+SELECT event, seq, {_fill_sql({"value": "down", "note": "up", "ts": "downup", "k": "updown"}).replace("BY id", "BY event")} FROM x""")
+def fill_blocks(load):
+    """Five large groups in blocks of 500 rows at most, with gaps in the order that grow."""
+    ways = {"value": "down", "note": "up", "ts": "downup", "k": "updown"}
+    sparse = sparse_events(load).select(
+        "event", (F.col("seq") * F.col("seq")).alias("seq"), *[F.when(F.col("k") % 9 == i, F.col(c)).alias(c) for i, c in enumerate(ways)])
+    return fill(sparse, ways, ["event"], "seq", rows_per_block=500)
+
+
 GRAFT_CODE = "CASE WHEN k < 15 THEN 1 WHEN k < 30 THEN 2 WHEN k < 45 THEN 3 WHEN k < 60 THEN 4 WHEN k < 90 THEN 5 ELSE 6 END"
 SX_GRAFT = f"CASE WHEN event = 'purchase' AND value > 150 THEN {GRAFT_CODE} END"
 SX_OTHER = "CASE WHEN value > 200 THEN 'tibialis anterior allograft' WHEN value > 170 THEN 'peroneal' END"

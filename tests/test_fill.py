@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from plans import plan
+from longitab.operators import fill as F_
 from longitab.operators.fill import DIRECTIONS, fill
 
 
@@ -81,13 +82,30 @@ def test_other_columns_and_types_stay(spark):
     assert {tuple(r) for r in out.collect()} == {(1, 1, 2.5, 5), (1, 2, 2.5, None)}
 
 
-def test_no_group_is_one_task(spark):
-    """The data are shuffled by (id, block), never by the id alone, and once."""
-    df = spark.createDataFrame([(1, 1, "a")], "id int, seq bigint, v string")
+def test_no_block_has_more_rows(spark, monkeypatch):
+    """Whatever the gaps in the order and the ranges, a window reads at most the rows of a block and its front."""
+    data = [(1, s ** 3, "a" if s % 97 == 0 else None) for s in range(500)] + [(2, 7, None), (None, 1, "b")]
+    df = spark.createDataFrame(data, "id int, seq bigint, v string")
+    seen = []
+    was = F_._fill_within
+
+    def spy(df, keep, ways, part, order):
+        seen.append(max(r["count"] for r in df.groupBy(*part).count().collect()))
+        return was(df, keep, ways, part, order)
+    monkeypatch.setattr(F_, "_fill_within", spy)
+    monkeypatch.setattr(F_, "FAN", 4)  # three levels of ends
+    out = fill(df, ["v"], ["id"], "seq", "downup", rows_per_block=9)
+    assert {(r.id, r.seq): r.v for r in out.collect()} == by_hand(data, "downup")
+    assert seen[0] <= 10
+    text = plan(out)
+    assert "partial_max_by" not in text  # ends come from a staged frame
+    assert "__block" in next(line for line in text.splitlines() if "Exchange hashpartitioning" in line)
+
+
+def test_small_groups_take_one_shuffle(spark):
+    df = spark.createDataFrame([(1, 1, "a"), (2, 1, None)], "id int, seq bigint, v string")
     text = plan(fill(df, ["v"], ["id"], "seq", "down"))
-    exchanges = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
-    assert "__block" in exchanges[0]
-    assert text.count("partial_max_by") == 1
+    assert text.count("Exchange hashpartitioning") == 1 and "BroadcastExchange" not in text
 
 
 def test_direction_is_checked(spark):
