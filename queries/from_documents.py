@@ -9,7 +9,8 @@ from longitab.operators import joins as J
 from longitab.operators import reshape as R
 from longitab.plans import history as H
 from longitab.plans.instruments import missing_files
-from longitab.sources import files
+from longitab.session import fresh_path
+from longitab.sources import delimited, files
 
 from .derive import LISTS, WS, lists
 from .registry import query
@@ -155,6 +156,32 @@ def instrument_extremes(load):
     return files.extremes(df)
 
 
+# -- an export with line breaks --------------------------------------------
+
+@query("""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, doc_id, text, source, CASE WHEN n_chars % 3 > 0 THEN n_chars END AS n_chars
+FROM documents""")
+def scan_csv_split(load):
+    """One file, cut into splits, whose texts hold line breaks and quotes; every third number is not one."""
+    df = load("documents")
+    number = F.when(F.col("n_chars") % 3 > 0, F.col("n_chars").cast("string")).otherwise("xx")
+    path = fresh_path(df.sparkSession)
+    one = df.select("doc_id", "text", "source", number.alias("n_chars")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id")
+    delimited.write_csv(one, path)
+    return delimited.read_export(df.sparkSession, path, "doc_id BIGINT, text STRING, source STRING, n_chars BIGINT", split_bytes=0)
+
+
+@query("""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, 'n_chars' AS "column", 'no. ' || n_chars AS text
+FROM documents QUALIFY n_chars % 3 = 0""")
+def csv_rejects(load):
+    """The fields that did not parse, from the scan that gives the table."""
+    df = load("documents")
+    number = F.when(F.col("n_chars") % 3 > 0, F.col("n_chars").cast("string")).otherwise(F.concat(F.lit("no. "), "n_chars"))
+    path = fresh_path(df.sparkSession)
+    one = df.select("doc_id", "text", number.alias("n_chars")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id")
+    delimited.write_csv(one, path)
+    return delimited.read_checked(df.sparkSession, path, "doc_id BIGINT, text STRING, n_chars BIGINT", split_bytes=0).rejects
+
+
 # -- labels ----------------------------------------------------------------
 
 @query("SELECT documents.doc_id, lang, quality, toxic FROM documents LEFT JOIN labels USING (doc_id)")

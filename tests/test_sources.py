@@ -128,3 +128,68 @@ def test_missing_files(spark, rows):
                                   "id int, timepoint string, side string")
     assert rows(IN.missing_files(expected, found), "id", "timepoint", "side") == [
         (2, "m0", "right"), (3, "m4", "both"), (None, "m4", None)]
+
+
+AWKWARD = ["plain", "", "two\nlines", "a \"b\"", ",", "\n", "\r\nx", "NA", "\n\n", "\"", "\"\n\"", " lead", "tr\n ", "x" * 60, "7", "xx"]
+
+
+@pytest.fixture
+def small_splits(spark):
+    keys = {"spark.sql.files.maxPartitionBytes": "150", "spark.sql.files.openCostInBytes": "1"}
+    before = {k: spark.conf.get(k) for k in keys}
+    for k, v in keys.items():
+        spark.conf.set(k, v)
+    yield
+    for k, v in before.items():
+        spark.conf.set(k, v)
+
+
+def awkward(seed, n, end):
+    import csv
+    import io
+    import random
+    rnd = random.Random(seed)
+    out = io.StringIO()
+    w = csv.writer(out, lineterminator=end)
+    w.writerow(["id", "x", "y", "k"])
+    for i in range(n):
+        w.writerow([i, rnd.choice(AWKWARD), rnd.choice(AWKWARD), rnd.choice(["1", "", "xx", "2.5", "NA"])])
+    return out.getvalue()
+
+
+@pytest.mark.parametrize("seed,end", [(1, "\n"), (2, "\r\n"), (3, "\n")])
+def test_parallel_read_equals_one_task(spark, tmp_path, small_splits, seed, end):
+    text = awkward(seed, 120, end)
+    path = write(tmp_path / "big.csv", text + (end * 2 if seed == 3 else ""))  # with empty lines at the end
+    ddl = "id INT, x STRING, y STRING, k INT"
+    one = delimited.read_export(spark, path, ddl)
+    many = delimited.read_export(spark, path, ddl, split_bytes=0)
+    assert spark.read.text(path).rdd.getNumPartitions() > 5 and one.rdd.getNumPartitions() == 1
+    want = [tuple(r)[:4] for r in one.orderBy("seq").collect()]
+    got = many.orderBy("seq").collect()
+    assert [tuple(r)[:4] for r in got] == want and [r["id"] for r in got] == list(range(120))
+    assert [r["seq"] for r in got] == list(range(120))
+
+
+def test_rejects_are_counted_and_listed(spark, tmp_path, small_splits):
+    path = write(tmp_path / "r.csv", 'id,k,day,x\n1,xx,2024-02-30,a\n2,,NA,"b\nb"\n3,7,2024-01-01,\nfour,8,,c\n')
+    for split in (0, 1 << 20):
+        table, rejects, counts = delimited.read_checked(spark, path, "id INT, k INT, day DATE, x STRING", ("", "NA"), split_bytes=split)
+        got = [tuple(r)[1:] for r in table.orderBy("seq").collect()]
+        assert got == [(1, None, None, "a"), (2, None, None, "b\nb"), (3, 7, dt.date(2024, 1, 1), None), (None, 8, None, "c")]
+        seqs = [r["seq"] for r in table.orderBy("seq").collect()]
+        assert sorted(tuple(r) for r in rejects.collect()) == [
+            (seqs[0], "day", "2024-02-30"), (seqs[0], "k", "xx"), (seqs[3], "id", "four")]
+        assert counts == {"id": 1, "k": 1, "day": 1}
+    by_day = delimited.read_checked(spark, path, "id INT, k INT, day DATE, x STRING", order=F.col("k"))
+    assert {r["seq"] for r in by_day.table.collect()} == {None, 7, 8}
+    assert {(r["seq"], r["column"]) for r in by_day.rejects.collect()} == {(None, "k"), (None, "day"), (8, "id")}
+
+
+def test_parallel_read_checks_the_header(spark, tmp_path):
+    path = write(tmp_path / "h.csv", "\ufeffa,b\n1,2\n")
+    with pytest.raises(ValueError, match="header"):
+        delimited.read_csv(spark, path, "b INT, a INT", split_bytes=0)
+    assert [tuple(r) for r in delimited.read_csv(spark, path, "a INT, b INT", split_bytes=0).collect()] == [(1, 2)]
+    empty = write(tmp_path / "e.csv", "a,b\n")
+    assert delimited.read_csv(spark, empty, "a INT, b INT", split_bytes=0).isEmpty()
