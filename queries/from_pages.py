@@ -113,6 +113,34 @@ def point_in_area(load):
     return assign_areas(_points(load), _areas(load), "id", "x", "y", "SA1", keep=["SA2"])
 
 
+def _boxed(x, y, x0, x1, y0, y1):
+    return f"({x} BETWEEN {x0} AND {x1} AND {y} BETWEEN {y0} AND {y1})"
+
+
+@query(f"""WITH points AS (SELECT vec_id AS id, CAST(embedding[1] AS DOUBLE) AS x, CAST(embedding[2] AS DOUBLE) AS y FROM embeddings),
+hits AS (
+  SELECT id, 1000 + label AS code FROM points, (SELECT DISTINCT label FROM embeddings)
+  WHERE {_boxed("x", "y", "-0.25", "0.25 - label / 128.0", "-0.25", "0.25")}
+    AND NOT (x > -0.125 AND x < 0.125 - label / 128.0 AND y > -0.125 AND y < 0.125)
+  UNION ALL SELECT id, 100 FROM points WHERE {_boxed("x", "y", "-0.0625", "0", "-0.0625", "0")} OR {_boxed("x", "y", "0.03125", "0.0625", "0.03125", "0.0625")}
+  UNION ALL SELECT id, 5000 FROM points WHERE {_boxed("x", "y", "-64", "64", "-64", "64")})
+SELECT points.id, x, y, min(code)::BIGINT AS code FROM points JOIN hits USING (id) GROUP BY ALL""")
+def point_in_parts(load):
+    """Areas with a hole, an area of two parts, and one that holds them all."""
+    def box(x0, x1, y0, y1):
+        corner = lambda a, b: F.struct(F.lit(a).cast("double").alias("x") if not hasattr(a, "cast") else a.alias("x"), F.lit(b).cast("double").alias("y"))
+        return F.array(corner(x0, y0), corner(x1, y0), corner(x1, y1), corner(x0, y1))
+
+    label = F.col("label").cast("double") / 128
+    labels = load("embeddings").select("label").distinct()
+    ringed = labels.select((F.col("label") + 1000).cast("bigint").alias("code"), F.array(
+        box(-0.25, 0.25 - label, -0.25, 0.25), box(-0.125, 0.125 - label, -0.125, 0.125)).alias("ring"))
+    two = labels.where("label = 1").select(F.lit(100).cast("bigint").alias("code"), F.array(
+        box(-0.0625, 0.0, -0.0625, 0.0), box(0.03125, 0.0625, 0.03125, 0.0625)).alias("ring"))
+    all_ = labels.where("label = 1").select(F.lit(5000).cast("bigint").alias("code"), F.array(box(-64, 64, -64, 64)).alias("ring"))
+    return assign_areas(_points(load), ringed.unionByName(two).unionByName(all_), "id", "x", "y", "code")
+
+
 @query(f"""WITH {AREAS}, national AS (SELECT n_nationkey + 2000 AS sa1, n_regionkey AS score FROM nation),
 state AS (SELECT n_nationkey + 2005 AS sa1, n_regionkey * 10 AS score FROM nation)
 SELECT 'P_' || id AS id, CAST(best.sa1 AS BIGINT) AS sa1, sa2, national.score AS "score.x", state.score AS "score.y"

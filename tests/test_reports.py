@@ -162,6 +162,42 @@ def test_points_equal_brute_force(spark, areas):
     assert got == want and len(want) > 100
 
 
+def test_holes_parts_and_mixed_sizes(spark):
+    """Areas of sizes from 0.01 to 1000 with holes and several parts, against a plain count of crossings."""
+    import random
+    rnd = random.Random(4)
+    areas = []
+    for i in range(120):
+        cx, cy, r = rnd.uniform(-40, 40), rnd.uniform(-40, 40), 10 ** rnd.uniform(-2, 1.2) if i else 1000
+        box = lambda k, dx=0.0: [(cx + dx - r * k, cy - r * k), (cx + dx + r * k, cy - r * k * 0.5), (cx + dx + r * k * 0.7, cy + r * k)]
+        rings = [box(1)] + ([box(0.4)] if i % 3 == 0 else []) + ([box(1, 3 * r)] if i % 4 == 0 else [])
+        areas.append((f"{1000 + i if i else 9999}", rings))
+    areas += [("0000", None), ("0001", [])]
+    df = spark.createDataFrame([(c, rings and [[{"x": x, "y": y} for x, y in ring] for ring in rings]) for c, rings in areas],
+                               "code string, ring array<array<struct<x:double,y:double>>>")
+    some = [(i, rnd.uniform(-50, 50), rnd.uniform(-50, 50)) for i in range(600)]
+    some += [(600 + i, *a[1][0][0]) for i, a in enumerate(areas[:120])]  # corners
+    points = spark.createDataFrame(some, "id int, x double, y double")
+    got = {r["id"]: r["code"] for r in assign_areas(points, df, "id", "x", "y", "code").collect()}
+
+    def holds(rings, x, y):
+        hit = False
+        for ring in rings:
+            for (ax, ay), (bx, by) in zip(ring, ring[1:] + ring[:1]):
+                if (bx - ax) * (y - ay) - (by - ay) * (x - ax) == 0 and min(ax, bx) <= x <= max(ax, bx) and min(ay, by) <= y <= max(ay, by):
+                    return True
+                if (ay > y) != (by > y) and x < ax + (y - ay) * (bx - ax) / (by - ay):
+                    hit = not hit
+        return hit
+
+    want = {}
+    for i, x, y in some:
+        if codes := [c for c, rings in areas if rings and holds(rings, x, y)]:
+            want[i] = min(codes)
+    assert got == want and len(set(want.values())) > 60
+    assert assign_areas(points, df.limit(0), "id", "x", "y", "code").isEmpty()
+
+
 def test_area_indexes(spark, areas, rows):
     points = spark.createDataFrame([(1, 0.5, 0.5), (2, 1.5, 0.5)], "id int, lon double, lat double")
     codes = AR.area_codes(points, areas, "P_", ["SA1", "SA2"])
