@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import vocab as V
-from ..functions.score import row_sum
+from ..functions.score import nan_to_null, row_sum
 from ..functions.text import paste
 from ..operators import schema as S
 from ..operators.aggregate import percent_of, strict_sum
@@ -49,8 +49,8 @@ def reported(weekly: DataFrame, expected: int = V.EXPECTED_RESPONSES, count_answ
         F.count("*").alias("responses"),
         percent_of(F.count("*"), expected).alias("perc_complete"),
         *[F.bround(strict_sum(c).cast("double"), 2).alias(n) for n, c in SUMS.items()],
-        *[F.bround(F.avg(c) / 2, 2).alias(n) for n, c in HALF_MEANS.items()],
-        *[F.bround(F.avg(c), 2).alias(n) for n, c in MEANS.items()],
+        *[F.bround(nan_to_null(F.avg(c)) / 2, 2).alias(n) for n, c in HALF_MEANS.items()],
+        *[F.bround(nan_to_null(F.avg(c)), 2).alias(n) for n, c in MEANS.items()],
         *[share(f"fn_exercises_{e}").alias(f"{e}_perc") for e in V.EXERCISES],
     )
 

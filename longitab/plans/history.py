@@ -40,14 +40,18 @@ def body_region_tokens(tokens: DataFrame, by: str = "id", order: Sequence[str] =
 
 def surgery_profile(spine: DataFrame, tokens: DataFrame, by: str = "id",
                     names: Sequence[str] | None = None, any_surgery: str = V.ANY_SURGERY,
-                    graft: str = V.GRAFT_SURGERY) -> DataFrame:
+                    graft: str = V.GRAFT_SURGERY, as_map: bool = False) -> DataFrame:
     """Per id: number of surgeries, by side, and one column per graft surgery.
 
     An id without any has nulls, not zeros.  The graft columns are read from
-    the data unless given, and are refused beyond what can be columns.
+    the data unless given, and are refused beyond what can be columns;
+    ``as_map`` counts every graft surgery the data hold in one map column
+    ``grafts`` instead, in the order of their names.
     """
     known = tokens.filter(F.col("token").rlike(any_surgery) | F.col("token").rlike(graft))
-    if names is None:
+    if as_map:
+        names = []
+    elif names is None:
         names = key_values(known.filter(F.col("token").rlike(graft)), "token")
     counted = F.col("token").rlike(any_surgery)
     per_id = known.groupBy(by).agg(
@@ -56,6 +60,10 @@ def surgery_profile(spine: DataFrame, tokens: DataFrame, by: str = "id",
         F.when(F.count_if(counted) > 0, F.count_if(counted & F.col("token").contains("contra"))).alias("n_contrasurgery"),
         *[F.nullif(F.count_if(F.col("token") == n), F.lit(0)).alias(n) for n in names],
     )
+    if as_map:
+        grafts = known.filter(F.col("token").rlike(graft)).groupBy(by, "token").agg(F.count("*").alias("n"))
+        pairs = F.array_sort(F.collect_list(F.struct("token", "n")))
+        per_id = left_join(per_id, grafts.groupBy(by).agg(F.map_from_entries(pairs).alias("grafts")), by)
     return left_join(spine.select(by), per_id, by)
 
 

@@ -150,15 +150,32 @@ def route_prebaseline(tagged: DataFrame, by: str, order: str, block: Sequence[st
     return split.select(*out)
 
 
+def one_per_id(side: DataFrame, by: str = "id", order: str = "seq") -> DataFrame:
+    """One row per id: of each column the first value there is.
+
+    Rows go by ``order``, if the table has it (it is not kept), else by their
+    values, column by column, nulls first.  Rows without an id go.
+    """
+    rest = [c for c in side.columns if c not in (by, order)]
+    place = F.struct(*[F.col(S._q(c)) for c in ([order] if order in side.columns else rest)])
+    first = [F.min_by(F.col(S._q(c)), F.when(F.col(S._q(c)).isNotNull(), place)).alias(c) for c in rest]
+    known = side.filter(F.col(by).isNotNull())
+    return known.groupBy(by).agg(*first) if first else known.select(by).distinct()
+
+
 def finish_baseline(df: DataFrame, by: str, side_tables: Sequence[DataFrame] = (), base: str = "m0",
-                    slot: str = "slot") -> DataFrame:
+                    slot: str = "slot", suffix: str = ".y") -> DataFrame:
     """Baseline rows: attach side tables, date, age; drop non-respondents.
 
+    A side table counts with one row per id (see ``one_per_id``), so it never
+    adds rows.  A column of it whose name the rows have already gets
+    ``suffix``; the rows' own column stays as it is.
     ``baseline_date`` is taken before the completion date falls back on the
     pre-baseline one, so it stays null there; the age then uses the fall-back.
     """
     at_base = F.col(slot) == base
     for side in side_tables:
+        side = one_per_id(side, by).withColumnsRenamed({c: c + suffix for c in side.columns if c in df.columns and c != by})
         side = side.withColumnRenamed(by, "__side_id")
         df = df.join(side, at_base & (F.col(by) == F.col("__side_id")), "left").drop("__side_id")
     df = df.withColumn("baseline_date", F.when(at_base, parse_date("completed_proms")))

@@ -8,8 +8,6 @@ from pyspark.sql import functions as F
 from ..functions.recode import _c
 from ..functions.text import split_item
 
-MAX_LINES = 1 << 30
-
 
 def list_files(spark: SparkSession, path: str, name_pattern: str = r".txt",
                exclude_dirs: str | None = None) -> DataFrame:
@@ -59,32 +57,35 @@ def extremes(df: DataFrame, text: str = "text", field: str = "N.M", skip: int =
     numbers in it, is dropped; a missing number makes both results null.  The
     columns other than ``text`` identify the file.
 
-    A file's lines stay in its task until they are combined, so the shuffle
-    carries one row per file.
+    All of it is one projection: a file's lines are folded where its row is, so
+    nothing is exploded or shuffled.
     """
     rest = [c for c in df.columns if c != text]
-    # One column used twice below: Spark keeps such a projection, so the text
-    # is split once.  A filter on the header here would be pushed below it and
-    # split the text again; it waits for the aggregate.
-    tables = df.select(*rest, F.filter(
-        F.slice(lines(text), skip + 1, MAX_LINES), lambda s: F.trim(s) != "").alias("__table"))
-    header = F.transform(_fields(F.get("__table", F.lit(0))), lambda h: F.regexp_replace(h, r"[^\w.]", "."))
-    rows = tables.select(
-        *rest, F.array_position(header, field).cast("int").alias("__at"),
-        F.explode_outer(F.slice("__table", 2, MAX_LINES)).alias("__line"),
-    )
-    raw = F.nullif(F.get(_fields(F.col("__line")), F.col("__at") - 1), F.lit("NA"))
-    values = rows.select(*rest, "__at", "__line", raw.alias("__raw")).withColumn(
-        "__num", F.col("__raw").try_cast("double"))
-
-    n = F.count("__line")
-    complete = F.count("__raw") == n
-    found = values.groupBy(*rest).agg(
-        F.when(n == 0, F.lit(float("-inf"))).when(complete, F.max("__num")).alias(high),
-        F.when(n == 0, F.lit(float("inf"))).when(complete, F.abs(F.min("__num"))).alias(low),
-        ((F.max("__at") > 0) & (F.count("__raw") == F.count("__num"))).alias("__readable"),
-    )
-    return found.filter("__readable").drop("__readable")
+    first = F.lit(int(skip) + 1)
+
+    def numbers(table: Column, at: Column) -> Column:
+        raw = F.transform(F.slice(table, F.lit(2), F.size(table)), lambda s: F.nullif(F.get(_fields(s), at - 1), F.lit("NA")))
+        return _let(raw, lambda r: F.struct(
+            at.alias("at"), F.size(r).alias("n"), F.size(F.array_compact(r)).alias("known"),
+            F.array_compact(F.transform(r, lambda v: v.try_cast("double"))).alias("num")))
+
+    def folded(table: Column) -> Column:
+        header = F.transform(_fields(F.get(table, F.lit(0))), lambda h: F.regexp_replace(h, r"[^\w.]", "."))
+        return _let(F.array_position(header, field).cast("int"), lambda at: numbers(table, at))
+
+    table = _let(lines(text), lambda all_: F.filter(F.slice(all_, first, F.size(all_)), lambda s: F.trim(s) != ""))
+    # a filter on a row number stays above it; below, it would fold all lines once more
+    found = df.select(*rest, _let(table, folded).alias("__found"), F.monotonically_increasing_id().alias("__row"))
+    n, known, num = (F.col(f"__found.{c}") for c in ("n", "known", "num"))
+    return found.filter((F.col("__row") >= 0) & (F.col("__found.at") > 0) & (known == F.size(num))).select(
+        *rest,
+        F.when(n == 0, F.lit(float("-inf"))).when(known == n, F.array_max(num)).alias(high),
+        F.when(n == 0, F.lit(float("inf"))).when(known == n, F.abs(F.array_min(num))).alias(low))
+
+
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is worked out once, wherever it stands."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
 def _fields(line: Column) -> Column:

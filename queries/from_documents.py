@@ -28,12 +28,12 @@ def _trim(e):
 
 # -- splitting -------------------------------------------------------------
 
-@query(f"WITH {LISTS} SELECT id, unnest(string_split(list, ';')) AS list FROM lists WHERE lang <> 'de' "
-       "UNION ALL SELECT id, NULL FROM lists WHERE lang = 'de'")
+@query(f"WITH {LISTS} SELECT id, unnest(string_split(list, ';')) AS list FROM lists "
+       "UNION ALL SELECT -1 - doc_id, NULL FROM labels")
 def explode_delimited(load):
-    """A null list stays one null row; empty entries stay."""
-    df = lists(load).select("id", F.when(F.col("lang") != "de", F.col("list")).alias("list"))
-    return R.explode_list(df, "list")
+    """A null list stays one null row; empty entries stay.  Labels add the ids without a list."""
+    none = load("labels").select((-1 - F.col("doc_id")).alias("id"), F.lit(None).cast("string").alias("list"))
+    return R.explode_list(lists(load).select("id", "list").unionByName(none), "list")
 
 
 @query(f"WITH {LISTS}, p AS (SELECT id, string_split(list, ';')[1:8] AS parts FROM lists) SELECT id, "
@@ -107,18 +107,21 @@ def token_filter_distinct(load):
     return H.body_region_tokens(H.history_tokens(lists(load), "list"), regions=REGIONS, side=SIDE)
 
 
-NAMES = ["Der", "Von der", "Oder", "Der der"]
-
-
-@query(f"""WITH {LISTS}, {SURGERIES}, known AS (SELECT * FROM tok WHERE regexp_matches(token, '{SURGERY}')),
-agg AS (SELECT id, count(*) AS n_surgery, count(*) FILTER (WHERE contains(token, 'index')) AS n_indexsurgery,
-    count(*) FILTER (WHERE contains(token, 'contra')) AS n_contrasurgery, {", ".join(
-        f'''nullif(count(*) FILTER (WHERE token = '{n}'), 0) AS "{n}"''' for n in NAMES)} FROM known GROUP BY id)
-SELECT lists.id, agg.* EXCLUDE (id) FROM lists LEFT JOIN agg USING (id)""")
+@query(f"""WITH {LISTS}, {SURGERIES}, known AS (SELECT * FROM tok WHERE regexp_matches(token, '{SURGERY}') OR regexp_matches(token, '{GRAFT}')),
+agg AS (SELECT id, nullif(count(*) FILTER (WHERE regexp_matches(token, '{SURGERY}')), 0) AS n_surgery,
+    count(*) FILTER (WHERE regexp_matches(token, '{SURGERY}') AND contains(token, 'index')) AS n_index,
+    count(*) FILTER (WHERE regexp_matches(token, '{SURGERY}') AND contains(token, 'contra')) AS n_contra FROM known GROUP BY id),
+grafts AS (SELECT id, string_agg(token || ': ' || n, '; ' ORDER BY token) AS grafts FROM (
+  SELECT id, token, count(*) AS n FROM known WHERE regexp_matches(token, '{GRAFT}') GROUP BY id, token) GROUP BY id)
+SELECT lists.id, n_surgery, CASE WHEN n_surgery > 0 THEN n_index END AS n_indexsurgery, CASE WHEN n_surgery > 0 THEN n_contra END AS n_contrasurgery, grafts
+FROM lists LEFT JOIN agg USING (id) LEFT JOIN grafts USING (id)""")
 def per_id_token_profile(load):
+    """Every surgery the data hold is counted; the map is shown as text."""
     df = lists(load)
     tokens = H.history_tokens(df, "list", notes=True, closing=True)
-    return H.surgery_profile(df, tokens, names=NAMES, any_surgery=SURGERY, graft=GRAFT)
+    profile = H.surgery_profile(df, tokens, any_surgery=SURGERY, graft=GRAFT, as_map=True)
+    entries = F.transform(F.map_entries("grafts"), lambda e: F.concat(e["key"], F.lit(": "), e["value"].cast("string")))
+    return profile.withColumn("grafts", F.array_join(entries, "; "))
 
 
 @query(f"WITH {LISTS}, {SURGERIES} SELECT token AS f, count(DISTINCT id) AS n FROM tok GROUP BY 1")
@@ -134,6 +137,22 @@ def first_line_split(load):
     return files.with_names(load("documents").select("doc_id", "text")).drop("text")
 
 
+@query("""SELECT lang, (doc_id % 16)::INTEGER AS bucket, count(*) AS n_lines, string_agg(doc_id || ' ' || n_chars, chr(10) ORDER BY doc_id) || chr(10) AS text
+FROM documents WHERE lang <> 'de' AND doc_id % 16 NOT BETWEEN 10 AND 15 GROUP BY ALL""")
+def file_scan(load):
+    """Files written below folders, listed by folder and name, and read whole."""
+    df = load("documents").withColumn("bucket", F.col("doc_id") % 16)
+    spark, root = df.sparkSession, fresh_path(df.sparkSession)
+    line = F.concat_ws(" ", F.col("doc_id").cast("string"), F.col("n_chars").cast("string"))
+    (df.select("lang", "bucket", "doc_id", line.alias("value")).repartition("bucket").sortWithinPartitions("lang", "bucket", "doc_id")
+     .select("lang", "bucket", "value").write.partitionBy("lang", "bucket").text(root))
+    listed = files.list_files(spark, root, r"\.txt$", exclude_dirs="lang=de|bucket=1[0-5]")
+    found = J.left_join(listed, files.read_whole(spark, root), "file")
+    return found.select(
+        F.regexp_extract("dir", "lang=([a-z]+)", 1).alias("lang"), F.regexp_extract("dir", "bucket=([0-9]+)", 1).cast("int").alias("bucket"),
+        F.regexp_count("text", F.lit("\n")).cast("bigint").alias("n_lines"), "text")
+
+
 # Each document as an instrument file: five lines, a header, and its lines with
 # letters turned to digits, so that the second word of a line is a number.
 LETTERS, DIGITS = "abcdefghijklmnopqrstuvwxyz", "01234567890123456789012345"

@@ -168,12 +168,12 @@ def broadcast_baseline(load):
 
 @query(f"""WITH {SPARSE},
 x AS (SELECT id, seq, note FROM sparse),
-y AS (SELECT id, note, count(*) AS n FROM sparse WHERE event IN ('click', 'error') GROUP BY id, note)
+y AS (SELECT id, note, count(*) AS n FROM sparse GROUP BY id, note)
 SELECT x.id, x.seq, x.note, y.n FROM x LEFT JOIN y
   ON x.id IS NOT DISTINCT FROM y.id AND x.note IS NOT DISTINCT FROM y.note""")
 def null_safe_join(load):
     df = sparse_events(load)
-    y = df.filter("event IN ('click', 'error')").groupBy("id", "note").agg(F.count("*").alias("n"))
+    y = df.groupBy("id", "note").agg(F.count("*").alias("n"))
     return J.left_join(df.select("id", "seq", "note"), y, ["id", "note"], null_safe=True)
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from longitab.functions import dates as D
 from longitab.functions import recode as RC
-from longitab.functions.score import truncate
+from longitab.functions.score import nan_to_null, truncate
 from longitab.functions.text import plain_text
 from longitab.operators import aggregate as A
 from longitab.operators import reshape as R
@@ -16,9 +16,11 @@ from longitab.operators.report import REST, participants_with
 from longitab.plans import events as EV
 from longitab.plans import extract as EX
 from longitab.plans.timepoints import merge_supplements
+from longitab.session import fresh_path
+from longitab.sources.bundle import read_bundle
 
 from .derive import ARMS, LEVELS, arms, sql_text
-from .registry import query
+from .registry import SQL, query
 
 RANK = "CASE level " + " ".join(f"WHEN '{v}' THEN {i}" for i, v in enumerate(LEVELS, start=1)) + " END"
 STATUS = {"F": "Finished", "O": "Open"}
@@ -249,6 +251,37 @@ def incidence_table(load):
     return EV.incidence_report(people, events, ["listed", "single"], timepoints=["F", "P"], arms=[4, 7])
 
 
+@query(SQL["incidence_table"].replace("WITH ", "SELECT * EXCLUDE (section, row_order) FROM (WITH ", 1)
+       + ") WHERE section = 'listed' ORDER BY row_order, f")
+def incidence_sorted(load):
+    """One section in display order."""
+    return EV.incidence_table(incidence_table(load), "listed")
+
+
+@query(f"""WITH {ARMS}, x AS (SELECT id, CASE WHEN arm = 'F' THEN CAST(price AS DOUBLE) END AS price FROM arms)
+SELECT id, avg(price) AS mean, count(price) > 0 AS known FROM x GROUP BY id""")
+def nan_null(load):
+    """A mean over nothing is not a number, and then missing."""
+    price = F.when(F.col("arm") == "F", F.col("price"))
+    n = F.count(price)
+    ratio = F.when(n > 0, F.avg(price)).otherwise(F.lit(float("nan")))
+    return arms(load).groupBy("id").agg(nan_to_null(ratio).alias("mean"), (n > 0).alias("known"))
+
+
+@query(f"""WITH {ARMS} SELECT id, seq, CASE WHEN price < 200000 THEN level END AS level, 'data' AS part FROM arms
+UNION ALL SELECT id, seq, arm, 'fortnightly' FROM arms WHERE arm <> 'O'""")
+def extract_request(load):
+    """A request for one variable group and the fortnightly table, written and read back; the surgical table isn't asked for."""
+    df = arms(load)
+    spark, folder = df.sparkSession, fresh_path(df.sparkSession)
+    main = df.select("id", "seq", F.when(F.col("price") < 200000, F.col("level")).alias("level"))
+    weekly = df.filter("arm <> 'O'").select("id", "seq", F.col("arm").alias("level"))
+    written = EX.write_extract(main, weekly, df.select("id"), folder, groups=["visits"], extra=["fn"], missing="na")
+    schema = "id BIGINT, seq BIGINT, level STRING"
+    parts = [read_bundle(spark, folder, name, schema=schema).withColumn("part", F.lit(name)) for name in written]
+    return parts[0].unionByName(parts[1])
+
+
 # -- blinding, extract -----------------------------------------------------
 
 @query("SELECT o_orderkey, o_orderstatus, o_orderdate, o_orderpriority FROM orders")
