@@ -164,7 +164,7 @@ def one_per_id(side: DataFrame, by: str = "id", order: str = "seq") -> DataFrame
 
 
 def finish_baseline(df: DataFrame, by: str, side_tables: Sequence[DataFrame] = (), base: str = "m0",
-                    slot: str = "slot", suffix: str = ".y") -> DataFrame:
+                    slot: str = "slot", suffix: str = "_y") -> DataFrame:
     """Baseline rows: attach side tables, date, age; drop non-respondents.
 
     A side table counts with one row per id (see ``one_per_id``), so it never
