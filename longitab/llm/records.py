@@ -25,7 +25,6 @@ import struct
 import zlib
 from collections.abc import Iterator
 from functools import lru_cache
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -42,7 +41,7 @@ END = b"\n"
 #: The vocabulary's special strings, which are matched before anything else.
 SPECIAL = "<|"
 #: Words kept per Python worker; a full table is emptied and filled anew.
-CACHED_WORDS = 300_000
+CACHED_WORDS = 450_000
 #: Bytes of text that are encoded at a time.
 BLOCK = 4 << 20
 #: Words given to the tokenizer at a time.
@@ -90,33 +89,43 @@ class Encoder:
     are those of its words one after another.  Each distinct word of a batch is
     looked up once; what is new is encoded, its stem apart from closing marks.
     A text that may hold a special string goes through the tokenizer whole.
+    The ids of known words are one flat array.
     """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        # The same merges without the steps that do nothing to a word of small letters.
-        plain = json.loads(self.whole.to_str())
-        plain["normalizer"] = None
-        plain["pre_tokenizer"] = {"type": "Sequence", "pretokenizers": [
-            {"type": "WhitespaceSplit"}, {"type": "ByteLevel", "add_prefix_space": False, "trim_offsets": False, "use_regex": False}]}
-        self.plain = Tokenizer.from_str(json.dumps(plain))
         self.is_last = np.zeros(self.whole.get_vocab_size(), bool)
-        if suffix := plain["model"].get("end_of_word_suffix"):
+        if suffix := json.loads(self.whole.to_str())["model"].get("end_of_word_suffix"):
             self.is_last[[i for t, i in self.whole.get_vocab().items() if t.endswith(suffix)]] = True
-        self.known: dict[str, list[int]] = {"": []}
+        self._clear()
+
+    def _clear(self) -> None:
+        self.known: dict[str, int] = {"": 0}
+        self.flat, self.at = np.empty(0, np.uint32), np.zeros(2, np.int64)
+
+    def _add(self, words: list[str], ids: np.ndarray, ends: np.ndarray) -> None:
+        """Words whose ids stand one after another, and where each one's end."""
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words))))
+        self.at = np.append(self.at, self.at[-1] + ends)
+        self.flat = np.concatenate([self.flat, ids])
+
+    def _gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of known words one after another, and where each one's end."""
+        sizes = self.at[entries + 1] - self.at[entries]
+        ends = np.cumsum(sizes)
+        return self.flat[np.repeat(self.at[entries] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
 
     def _learn_simple(self, words: list[str]) -> list[str]:
         """Learn words of small letters; returns those that it can't."""
         failed = []
         for k in range(0, len(words), LINE):
             some = words[k:k + LINE]
-            ids = np.asarray(self.plain.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.int64)
-            at = [0, *(np.flatnonzero(self.is_last[ids]) + 1).tolist()]
-            if len(at) == len(some) + 1:
-                ids = ids.tolist()
-                self.known.update((w, ids[i:j]) for w, i, j in zip(some, at, at[1:]))
+            ids = np.asarray(self.whole.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
+            ends = np.flatnonzero(self.is_last[ids]) + 1
+            if len(ends) == len(some):
+                self._add(some, ids, ends)
             else:  # a vocabulary that does not mark the ends of words
                 failed += some
         return failed
@@ -124,40 +133,36 @@ class Encoder:
     def _learn(self, words: list[str]) -> None:
         if words:
             got = self.whole.encode(words, is_pretokenized=True, add_special_tokens=False)
-            at = np.searchsorted(np.asarray(got.word_ids, dtype=np.int64), np.arange(len(words) + 1)).tolist()
-            ids = got.ids
-            self.known.update((w, ids[i:j]) for w, i, j in zip(words, at, at[1:]))
+            ends = np.searchsorted(np.asarray(got.word_ids, dtype=np.int64), np.arange(1, len(words) + 1))
+            self._add(words, np.asarray(got.ids, np.uint32), ends)
 
     def learn(self, words: list[str]) -> None:
         known, rest, parts = self.known, [], []
         for w in words:
             stem = w.rstrip(MARKS)
             small = stem.lower()
-            if small.isalpha() and max(small) < LATIN_END:
+            if small.isalpha() and (small.isascii() or max(small) < LATIN_END):
                 parts.append((w, small, w[len(stem):]))
             else:
                 rest.append(w)
         rest += self._learn_simple(list({small for _, small, _ in parts if small not in known}))
         rest += {tail for _, _, tail in parts if tail not in known}
         self._learn(rest)
-        known.update((w, known[small] + known[tail]) for w, small, tail in parts if tail or w != small)
+        joined = [p for p in parts if p[2] or p[0] != p[1]]
+        pairs = np.fromiter((known[x] for _, small, tail in joined for x in (small, tail)), np.int64, 2 * len(joined))
+        ids, ends = self._gather(pairs)
+        self._add([w for w, _, _ in joined], ids, ends[1::2])
 
     def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.known) > CACHED_WORDS:
-            self.known = {"": []}
+            self._clear()
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_pylist()
+        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
         if new := [w for w in words if w not in self.known]:
             self.learn(new)
-        ids = list(map(self.known.__getitem__, words))
-        sizes = np.fromiter(map(len, ids), np.int32, len(ids))
-        flat = np.fromiter(chain.from_iterable(ids), np.uint32)
-        starts = np.cumsum(sizes) - sizes
-        codes = coded.indices.to_numpy()
-        sizes = sizes[codes]
-        ends = np.cumsum(sizes)
-        out = flat[np.repeat(starts[codes] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        entries = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
+        out, ends = self._gather(entries[coded.indices.to_numpy()])
         cuts = np.append(0, ends)[np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))]
         return [out[i:j] for i, j in zip(cuts, cuts[1:])]
 
