@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from longitab.session import stage
 
 #: Where a sentence ends: white space after a closing mark, a wide closing mark, or a line break.
-_END = re.compile(r"(?<=[.!?])[^\S\n]+|(?<=[\u3002\uff01\uff1f])|\s*\n\s*")
+_END = re.compile(r"(?<=[.!?])[^\S\n]+|(?<=[\u3002\uff01\uff1f])|\n\s*")
 #: Fixed value: odd base of the run hash, and its inverse modulo 2**64.
 BASE = 0x9E3779B97F4A7C15
 INVERSE = pow(BASE, -1, 1 << 64)
@@ -53,11 +53,11 @@ def _powers(base: int, n: int) -> np.ndarray:
     return np.cumprod(steps, dtype=np.uint64)
 
 
-def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def runs(text: str, least: int = SENTENCES, words_: int = WORDS, long: int = LONG) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """``(hash, first sentence, end sentence)`` of every run of consecutive sentences.
 
     From each sentence the shortest run forward, and to each the shortest run
-    back, that has ``SENTENCES`` sentences and ``WORDS`` words, or ``LONG``
+    back, that has ``least`` sentences and ``words_`` words, or ``long``
     words.  So any stretch that holds one run is covered by its runs to both
     ends.  Letter case and the kind of white space do not count.  In scripts
     that are written without spaces, words are counted by letters.
@@ -73,11 +73,11 @@ def runs(text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     hashes = np.fromiter((of(" ".join(w)) for w in words), np.uint64, n)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(hashes * _powers(BASE, n), dtype=np.uint64)])
     at = np.arange(n)
-    ahead = np.minimum(np.maximum(at + SENTENCES, np.searchsorted(total, total[:-1] + WORDS)), np.searchsorted(total, total[:-1] + LONG))
+    ahead = np.minimum(np.maximum(at + least, np.searchsorted(total, total[:-1] + words_)), np.searchsorted(total, total[:-1] + long))
     ends = np.arange(1, n + 1)
     back = np.maximum(
-        np.minimum(ends - SENTENCES, np.searchsorted(total, total[1:] - WORDS, "right") - 1),
-        np.searchsorted(total, total[1:] - LONG, "right") - 1)
+        np.minimum(ends - least, np.searchsorted(total, total[1:] - words_, "right") - 1),
+        np.searchsorted(total, total[1:] - long, "right") - 1)
     pairs = np.concatenate([np.stack([at, ahead]), np.stack([back, ends])], axis=1)
     pairs = np.unique(pairs[:, (pairs[0] >= 0) & (pairs[1] <= n)], axis=1)
     first, end = pairs
@@ -91,15 +91,14 @@ def _row_key(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(docs[id_col].alias("id"), F.xxhash64(text).alias("version"), text.alias("text"))
 
 
-def spans(rows: DataFrame) -> DataFrame:
+def spans(rows: DataFrame, *sizes: int) -> DataFrame:
     """``(id, version, text)`` to one row per run: ``(hash, at: (id, version, first), end)``."""
     kind = rows.schema["id"].dataType.simpleString()
 
     def find(batches):
         for batch in batches:
-            found = [runs(t) for t in batch.column(2).to_pylist()]
-            sizes = [len(f[0]) for f in found]
-            at = pa.array(np.repeat(np.arange(len(found)), sizes))
+            found = [runs(t, *sizes) for t in batch.column(2).to_pylist()]
+            at = pa.array(np.repeat(np.arange(len(found)), [len(f[0]) for f in found]))
             one = lambda k, t: np.concatenate([f[k] for f in found]).astype(t) if found else np.empty(0, t)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(one(0, np.uint64).view(np.int64)), batch.column(0).take(at), batch.column(1).take(at),
@@ -109,13 +108,16 @@ def spans(rows: DataFrame) -> DataFrame:
     return made.select("hash", F.struct("id", "version", "first").alias("at"), "end")
 
 
-def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", least: int = SENTENCES, words: int = WORDS,
+                long: int = LONG) -> DataFrame:
     """Each document without the sentences of runs that stand elsewhere before.
 
     Returns ``(<id>, <text>, n_sentences, n_removed)``, one row per input row.
     Of equal runs in the whole table the first by (id, text hash, position)
     stays; sentences that another one covers are cut out with the white space
     after them.  Runs that overlap within a document count like any others.
+    A run has at least ``least`` sentences and ``words`` words, or ``long``
+    words; smaller repeats stay.
 
     A null text is an empty one, with no sentences.  Rows equal in id and text
     are one document and are cut alike.  A null id comes before all others.
@@ -123,7 +125,8 @@ def dedup_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     """
     rows = _row_key(docs, id_col, text_col)
     kind = rows.schema["id"].dataType.simpleString()
-    found = spans(rows)
+    # staged, so that the texts are cut into runs once for both readers
+    found = stage(spans(rows, least, words, long))
     repeated = found.groupBy("hash").agg(F.count("*").alias("n"), F.min("at").alias("kept")).where("n > 1").drop("n")
     later = found.join(stage(repeated), "hash").where(~F.col("at").eqNullSafe(F.col("kept")))
     cover = later.select("at.id", "at.version", F.struct(F.col("at.first").alias("first"), "end").alias("run")).distinct()
