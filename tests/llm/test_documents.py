@@ -312,3 +312,30 @@ def test_sentences_cover_the_text(text):
     assert "".join(text[i:j] for i, j in parts) == text
     hashes, first, end = spans.runs(text)
     assert len(hashes) == len(first) and all(0 <= a < b <= len(parts) for a, b in zip(first, end))
+
+
+def test_spans_of_hostile_white_space():
+    import time
+    start = time.perf_counter()
+    spans.runs("One. " + " " * 1_000_000 + "\n" * 1000 + "Two.")
+    assert time.perf_counter() - start < 2
+
+
+@pytest.mark.parametrize("least,words,long", [(2, 6, 12), (3, 1, 1000), (1, 4, 4)])
+def test_shortest_runs_equal_plain(least, words, long):
+    """From each sentence the shortest run forward, and to each the shortest back, found by trying all."""
+    r = np.random.default_rng(least)
+    for _ in range(30):
+        sizes = r.integers(1, 9, r.integers(0, 14)).tolist()
+        text = " ".join(" ".join(f"w{r.integers(9)}" for _ in range(n)) + "." for n in sizes)
+        n = len(sizes)
+
+        def big(i, j):
+            total = sum(sizes[i:j])
+            return (j - i >= least and total >= words) or total >= long
+        want = set()
+        for i in range(n):
+            want |= {(i, j) for j in [next((j for j in range(i + 1, n + 1) if big(i, j)), None)] if j}
+            want |= {(k, i + 1) for k in [next((k for k in range(i, -1, -1) if big(k, i + 1)), None)] if k is not None}
+        _, first, end = spans.runs(text, least, words, long)
+        assert set(zip(first.tolist(), end.tolist())) == want
