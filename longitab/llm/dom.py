@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import html
 import re
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 
-_TOKEN = re.compile(
-    r"<!--.*?(?:-->|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>|<[!?/][^>]*>",
-    re.DOTALL)
-_ATTR = re.compile(r"""([a-zA-Z-]+)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
+#: Every part of the attributes is possessive, so a failure reads the rest of the page once.
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+'|[\"'])*+)>")
+_BARE = re.compile(r"<(/?)([a-zA-Z][^\s/>]*+)")
+_ATTR = re.compile(r"""(?<![a-zA-Z-])([a-zA-Z-]++)\s*+=\s*+(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""")
 #: Elements of the HTML standard by what they do to the text around them.
 BLOCK = frozenset(
     "address article aside blockquote body button caption center col colgroup dd details dialog dir div dl dt fieldset figcaption figure "
@@ -18,6 +19,7 @@ BLOCK = frozenset(
     "summary table tbody td tfoot th thead tr ul".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 SKIPPED = frozenset("script style title textarea noscript template iframe svg math object audio video canvas".split())
+_SKIPPED_END = {name: re.compile(rf"</{name}\b", re.I) for name in SKIPPED}
 SPACE = frozenset("br wbr img input".split())
 CLOSES = {  # a start tag that ends an open element, up to the element that holds both
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "option": ({"option"}, {"select"}),
@@ -52,16 +54,57 @@ def _names(attrs: str) -> tuple[str, ...]:
     return tuple(f".{w}" for w in out)
 
 
+def tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
+    """``(start, end, name, closing, attributes)`` of each piece of markup; comments and declarations have no name.
+
+    A tag ends at the first ``>`` outside quotes.  Where quotes leave none up
+    to the page's end, they mean nothing from there on.  Markup without any
+    ``>`` after it is cut off: it reaches to the end.  Each character is read
+    a fixed number of times, however broken the page.
+    """
+    pos, quotes = 0, True
+    while (start := page.find("<", pos)) >= 0:
+        close = name = attrs = ""
+        if quotes and (m := _TAG.match(page, start)):
+            close, name, attrs = m.groups()
+            pos = m.end()
+        elif page.startswith("<!--", start):
+            stop = page.find("-->", start + 4)
+            pos = stop + 3 if stop >= 0 else len(page)
+        else:
+            m = _BARE.match(page, start)
+            if not m and page[start + 1:start + 2] not in ("!", "?", "/"):
+                pos = start + 1
+                continue
+            stop = page.find(">", start)
+            if stop < 0:
+                yield start, len(page), "", False, ""
+                return
+            if m:
+                quotes = False
+                (close, name), attrs = m.groups(), page[m.end():stop]
+            pos = stop + 1
+        name = name.lower()
+        if name in SKIPPED and not close and not attrs.endswith("/"):
+            found = _SKIPPED_END[name].search(page, pos)
+            stop = page.find(">", found.end()) if found else -1
+            pos = stop + 1 if stop >= 0 else len(page)
+        yield start, pos, name, bool(close), attrs
+
+
 def blocks(page: str) -> list[Block]:
     """The leaf blocks of a page that hold text, in page order.
 
-    Character references are decoded and white space becomes one space.
-    Unclosed and stray tags are taken as browsers do: a block ends an open
-    paragraph, an item the item before it, and an end tag without its start
-    is dropped.  A page that is cut off ends there.
+    Character references are decoded, within a run of text only, and white
+    space becomes one space.  Unclosed and stray tags are taken as browsers do:
+    a block ends an open paragraph, an item the item before it, and an end tag
+    without its start is dropped.  A page that is cut off ends there.
     """
     out: list[Block] = []
     stack: list[tuple[str, tuple[str, ...], int]] = []
+    places: dict[str, list[int]] = {}  # where in the stack each name stands
+    solid: list[int] = []  # where its blocks stand
+    sections: list[int] = [0]  # the open sections, by order of opening
     around: dict[str, int] = {}
     text: list[str] = []
     linked = links = at = opened = 0
@@ -69,11 +112,10 @@ def blocks(page: str) -> list[Block]:
     def flush() -> None:
         nonlocal linked
         if text:
-            said = " ".join(html.unescape("".join(text)).split())
+            said = " ".join("".join(text).split())
             if said:
-                tag = next((s[0] for s in reversed(stack) if s[0] in BLOCK), "")
-                where = next((s[2] for s in reversed(stack) if s[0] in SECTIONS), 0)
-                out.append(Block(said, min(1.0, linked / max(1, sum(map(len, text)))), tag, frozenset(around), where))
+                tag = stack[solid[-1]][0] if solid else ""
+                out.append(Block(said, min(1.0, linked / max(1, sum(map(len, text)))), tag, frozenset(around), sections[-1]))
             text.clear()
         linked = 0
 
@@ -81,6 +123,11 @@ def blocks(page: str) -> list[Block]:
         nonlocal links, opened
         opened += 1
         marks = (name, *_names(attrs))
+        places.setdefault(name, []).append(len(stack))
+        if name in BLOCK:
+            solid.append(len(stack))
+        if name in SECTIONS:
+            sections.append(opened)
         stack.append((name, marks, opened))
         for m in marks:
             around[m] = around.get(m, 0) + 1
@@ -89,55 +136,63 @@ def blocks(page: str) -> list[Block]:
     def pop() -> None:
         nonlocal links
         name, marks, _ = stack.pop()
+        places[name].pop()
+        if name in BLOCK:
+            solid.pop()
+        if name in SECTIONS:
+            sections.pop()
         for m in marks:
             around[m] -= 1
             if not around[m]:
                 del around[m]
         links -= name == "a"
 
-    def end(names: set[str] | frozenset[str], within: set[str] | frozenset[str]) -> None:
-        """Close the nearest open element of these names, unless one of ``within`` is nearer."""
-        for k in range(len(stack) - 1, -1, -1):
-            if stack[k][0] in names:
-                while len(stack) > k:
-                    pop()
-                return
-            if stack[k][0] in within:
-                return
+    def last(names: set[str]) -> int:
+        at = -1
+        for n in names:
+            if (places.get(n) or (-1,))[-1] > at:
+                at = places[n][-1]
+        return at
+
+    def end(names: set[str], limit: int) -> None:
+        """Close the nearest open element of these names, unless it stands before ``limit``."""
+        k = last(names)
+        if 0 <= k >= limit:
+            while len(stack) > k:
+                pop()
+
+    def block() -> int:
+        return solid[-1] if solid else -1
 
     def say(piece: str) -> None:
         nonlocal linked
         if piece:
+            if "&" in piece:
+                piece = html.unescape(piece)
             text.append(piece)
             if links:
                 linked += len(piece)
 
-    pos = 0
-    while m := _TOKEN.search(page, pos):
-        say(page[at:m.start()])
-        at = pos = m.end()
-        name = (m["name"] or "").lower()
-        if not name:
-            continue
-        if name in SKIPPED and not m["close"]:
-            if not m["attrs"].endswith("/"):
-                stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, pos)
-                at = pos = stop.end() if stop else len(page)
+    for start, stop, name, closing, attrs in tokens(page):
+        say(page[at:start])
+        at = stop
+        if not name or name in SKIPPED and not closing:
             continue
         if name in BLOCK:
             flush()
         if name in SPACE:
             say(" ")
-        if m["close"]:
-            end({name}, frozenset() if name in BLOCK else BLOCK)
+        if closing:
+            end({name}, -1 if name in BLOCK else block())
         elif name not in VOID:
             if name in CLOSES:
-                end(*CLOSES[name])
+                mine, holders = CLOSES[name]
+                end(mine, last(holders))
             elif name in BLOCK:
-                end({"p"}, BLOCK - {"p"})
+                end({"p"}, block())
             if name == "a":
-                end({"a"}, BLOCK)
-            push(name, m["attrs"])
+                end({"a"}, block())
+            push(name, attrs)
     say(page[at:])
     flush()
     return out
