@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from longitab.session import stage, unstage
 
-#: Hex digits of the document's 52-bit hash that each histogram level reads.
+#: Hex digits of the document's 48-bit hash that each histogram level reads.
 DIGITS = 3
 LEVELS = 4
 WORD = r"[^\x20\x09-\x0D]+"
@@ -102,8 +102,8 @@ def thresholds(rows: DataFrame, weights: Sequence[float], most: float) -> DataFr
     return out
 
 
-def _copies() -> Column:
-    extra = (F.col("hash") < F.col("below")) | F.col("hash").eqNullSafe(F.col("at"))
+def _copies(has_words: Column) -> Column:
+    extra = ((F.col("hash") < F.col("below")) | F.col("hash").eqNullSafe(F.col("at"))) & has_words
     return F.col("passes") + F.coalesce(extra, F.lit(False)).cast("long")
 
 
@@ -127,7 +127,8 @@ def mix(
     of which only the boundary bucket is split by the next 12 bits, and so on
     for 4 levels.  No document is sorted.
 
-    Null texts and texts without words have size 0 and change no sum.  A null
+    Null texts and texts without words have size 0, change no sum and are taken
+    once for each whole pass, so never more than ``most`` times.  A null
     source is a source of its own.  Rows alike in id and text share one hash
     and so one decision.  Other columns are ignored.  No rows give no rows.
     """
@@ -135,7 +136,7 @@ def mix(
         docs[id_col].alias("id"), docs[source_col].alias("source"), word_count(docs[text_col]).alias("size"),
         _hash(docs, id_col, text_col, seed).alias("hash")))
     goal = thresholds(rows, weights, most).withColumnRenamed("source", "s")
-    return rows.join(goal, _same("source", "s")).withColumn("copies", _copies()).select(
+    return rows.join(goal, _same("source", "s")).withColumn("copies", _copies(F.col("size") > 0)).select(
         F.col("id").alias(id_col), "source", "size", "source_size", "target", "copies", (F.col("copies") * F.col("size")).alias("taken"))
 
 
@@ -150,10 +151,11 @@ def mixed_documents(
 ) -> DataFrame:
     """The documents with their own columns, each repeated as ``mix`` says; see there."""
     keyed = docs.select(
-        F.struct("*").alias("row"), docs[source_col].alias("source"), _hash(docs, id_col, text_col, seed).alias("hash"))
+        F.struct("*").alias("row"), docs[source_col].alias("source"), _hash(docs, id_col, text_col, seed).alias("hash"),
+        F.coalesce(docs[text_col].rlike(WORD), F.lit(False)).alias("has_words"))
     rows = stage(docs.select(
         docs[source_col].alias("source"), word_count(docs[text_col]).alias("size"), _hash(docs, id_col, text_col, seed).alias("hash")))
     goal = thresholds(rows, weights, most).withColumnRenamed("source", "s")
     unstage(rows)
-    taken = keyed.join(goal, _same("source", "s")).withColumn("copies", _copies()).where("copies > 0")
+    taken = keyed.join(goal, _same("source", "s")).withColumn("copies", _copies(F.col("has_words"))).where("copies > 0")
     return taken.withColumn("copy", F.explode(F.sequence(F.lit(1).cast("long"), F.col("copies")))).select("row.*")
