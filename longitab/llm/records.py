@@ -4,9 +4,9 @@ One file holds records one after another::
 
     8 bytes   length of the payload, little-endian
     4 bytes   masked checksum of these 8 bytes
-    payload   8 bytes document id (signed, little-endian), 1 byte width, then
-              the token ids, width bytes each (2 if all are below 65536, else
-              4), unsigned, little-endian
+    payload   8 bytes document id (signed, little-endian), 1 byte width (plus
+              128 where there is no id), then the token ids, width bytes each
+              (2 if all are below 65536, else 4), unsigned, little-endian
     4 bytes   masked checksum of the payload
     1 byte    10
 
@@ -32,7 +32,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from longitab.session import fresh_path, stage
+from longitab.session import fresh_path
 
 #: Fixed value: added to a rotated checksum.
 MASK_DELTA = 0xA282EAD8
@@ -48,6 +48,8 @@ BLOCK = 4 << 20
 LINE = 2000
 #: Fixed value: ASCII marks, a run of which after a word is a word of its own.
 MARKS = string.punctuation
+#: Added to the width of a record without a document id.
+NO_ID = 0x80
 #: Letters below are composed already and have small forms of one letter.
 LATIN_END = "\u0250"
 
@@ -58,9 +60,9 @@ def masked(data: bytes) -> int:
 
 
 def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
-    """One record; a null document id is written as the least 64-bit integer."""
+    """One record; ``doc_id`` may be null."""
     width = 4 if len(ids) and ids.max() > 0xFFFF else 2
-    payload = struct.pack("<qB", -(1 << 63) if doc_id is None else doc_id, width) + ids.astype(f"<u{width}").tobytes()
+    payload = struct.pack("<qB", doc_id or 0, width | (NO_ID if doc_id is None else 0)) + ids.astype(f"<u{width}").tobytes()
     length = struct.pack("<Q", len(payload))
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload)), END))
 
@@ -78,7 +80,7 @@ def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
             raise ValueError(f"payload checksum differs at byte {at}")
         doc_id, width = struct.unpack_from("<qB", payload)
         size = HEADER.size + length + 4 + len(END)
-        yield at, size, None if doc_id == -(1 << 63) else doc_id, np.frombuffer(payload, f"<u{width}", offset=9).astype("<u4")
+        yield at, size, None if width & NO_ID else doc_id, np.frombuffer(payload, f"<u{width & ~NO_ID}", offset=9).astype("<u4")
         at += size
 
 
@@ -237,7 +239,7 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
 
 
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """Write the records and their index in the shared folder, and read them back.
+    """Write ``records`` and beside them their ``index`` to a new place in the shared folder, and read them back.
 
     Returns ``(doc_id, start, n_tokens, ids_crc32, shard, offset, bytes)``;
     ``start`` counts the ids of all documents before, in file order.  Shards
@@ -246,7 +248,9 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int = 2, id_col: str = "
     spark = docs.sparkSession
     path = fresh_path(spark)
     write_records(docs, f"{path}/records", vocabulary, end_id, id_col, text_col)
-    index = stage(read_records(spark, f"{path}/records"))
+    found = read_records(spark, f"{path}/records")
+    found.write.parquet(f"{path}/index")
+    index = spark.read.schema(found.schema).parquet(f"{path}/index")
     sums = index.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     starts = sums.select("shard", (F.sum("total").over(Window.orderBy("shard")) - F.col("total")).alias("before"))
     within = F.sum("n_tokens").over(Window.partitionBy("shard").orderBy("position")) - F.col("n_tokens")
