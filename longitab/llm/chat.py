@@ -21,8 +21,10 @@ CODES = {"\\": "\\e", "<": "\\l", "[": "\\b", "\n": "\\n"}
 NAMES = {code[1]: char for char, code in CODES.items()}
 TURN = re.compile(r"<s>(.*?)\n(.*?)</s>", re.DOTALL)
 LOSS_ROLE = "assistant"
-#: Conversations that one call of the tokenizer encodes.
-BATCH = 512
+#: Conversations that one call of the tokenizer encodes, and their characters; a longer one goes alone.
+BATCH, CHARS = 512, 4 << 20
+#: Spark's and Arrow's whole numbers.
+WHOLE = {"tinyint": pa.int8(), "smallint": pa.int16(), "int": pa.int32(), "bigint": pa.int64()}
 
 
 def escape(text: str) -> str:
@@ -105,45 +107,50 @@ def conversations_of(batches):
 
 def format_conversations(rows: DataFrame, vocabulary: str, conv_col: str = "conv_id", turn_col: str = "turn", role_col: str = "role",
                          text_col: str = "text") -> DataFrame:
-    """One row per conversation: ``(<conv>, text, token_ids, loss_start, loss_end, loss_mask)``.
+    """One row per conversation: ``(<conv>, text, token_ids, loss_mask, loss_spans)``.
 
     Turns follow each other by turn number (null first), then role and text.
     The whole conversation is rendered and encoded once, with offsets;
-    ``loss_start`` and ``loss_end`` give for each token the characters of it
-    that are assistant text, ``loss_mask`` whether there are any.
+    ``loss_mask`` says for each token whether assistant text lies in it, and
+    ``loss_spans`` where in ``text`` the runs of such tokens hold it.
 
     Null roles and texts are empty.  Repeated rows are repeated turns.  Rows
-    without a conversation id form one conversation with a null id.  Other
-    columns are ignored; an empty table gives no rows.
+    without a conversation id form one conversation with a null id.  Ids that
+    are neither whole numbers nor text become text.  Other columns are ignored;
+    an empty table gives no rows.
     """
     kind = rows.schema[conv_col].dataType.simpleString()
-    schema = f"conv {kind}, text string, token_ids array<int>, loss_start array<int>, loss_end array<int>, loss_mask array<boolean>"
-    keyed = rows.select(rows[conv_col].alias("conv"), rows[role_col].alias("role"), rows[text_col].alias("text"), rows[turn_col].alias("turn"))
+    kind = kind if kind in WHOLE else "string"
+    conv_type = WHOLE.get(kind, pa.string())
+    schema = f"conv {kind}, text string, token_ids array<int>, loss_mask array<boolean>, loss_spans array<struct<start:int,end:int>>"
+    keyed = rows.select(rows[conv_col].cast(kind).alias("conv"), rows[role_col].alias("role"), rows[text_col].alias("text"), rows[turn_col].alias("turn"))
     dealt = keyed.repartition("conv").sortWithinPartitions("conv", "turn", "role", "text").select("conv", "role", "text")
 
     def emit(some):
-        rendered = [render(turns) for _, turns in some]
-        encoded = tokenizer(vocabulary).encode_batch([r[0] for r in rendered], add_special_tokens=False)
-        cols = [[], [], [], []]
-        for (_, spans), e in zip(rendered, encoded):
+        encoded = tokenizer(vocabulary).encode_batch([text for _, text, _ in some], add_special_tokens=False)
+        ids, masks, runs = [], [], []
+        for (_, _, spans), e in zip(some, encoded):
             left, right = clip(np.array([o[1] for o in e.offsets], np.int64), spans)
-            for c, v in zip(cols, (np.array(e.ids, np.int32), left.astype(np.int32), right.astype(np.int32), right > left)):
-                c.append(v)
-        kinds = (pa.int32(), pa.int32(), pa.int32(), pa.bool_())
+            mask = right > left
+            ids.append(np.array(e.ids, np.int32))
+            masks.append(mask)
+            runs.append(stretches(left[mask], right[mask]))
+        ends = pa.array(np.append(0, np.cumsum([len(r) for r in runs])), pa.int32())
+        flat = np.array([x for r in runs for x in r], np.int32).reshape(-1, 2)
+        pairs = pa.StructArray.from_arrays([pa.array(flat[:, 0]), pa.array(flat[:, 1])], ["start", "end"])
         return pa.RecordBatch.from_arrays(
-            [pa.array([c for c, _ in some]).cast(ID[0]), pa.array([r[0] for r in rendered], pa.string()),
-             *[pa.array(c, pa.list_(k)) for c, k in zip(cols, kinds)]],
-            ["conv", "text", "token_ids", "loss_start", "loss_end", "loss_mask"])
-
-    ID = [pa.int64() if kind in ("bigint", "int") else pa.string()]
+            [pa.array([c for c, _, _ in some], conv_type), pa.array([t for _, t, _ in some], pa.string()), pa.array(ids, pa.list_(pa.int32())),
+             pa.array(masks, pa.list_(pa.bool_())), pa.ListArray.from_arrays(ends, pairs)],
+            ["conv", "text", "token_ids", "loss_mask", "loss_spans"])
 
     def encode(batches):
-        some = []
-        for one in conversations_of(batches):
-            some.append(one)
-            if len(some) >= BATCH:
+        some, size = [], 0
+        for conv, turns in conversations_of(batches):
+            some.append((conv, *render(turns)))
+            size += len(some[-1][1])
+            if len(some) >= BATCH or size >= CHARS:
                 yield emit(some)
-                some = []
+                some, size = [], 0
         if some:
             yield emit(some)
 
@@ -151,17 +158,17 @@ def format_conversations(rows: DataFrame, vocabulary: str, conv_col: str = "conv
 
 
 def digests(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
-    """What the formatted conversations hold, from their text, offsets and mask alone."""
+    """What the formatted conversations hold, from their text and the spans of the mask alone."""
     kind = formatted.schema[conv_col].dataType.simpleString()
 
     def read(batches):
         for batch in batches:
             out = []
-            for text, lo, hi, mask in zip(batch.column(1).to_pylist(), *(batch.column(k) for k in range(2, 5))):
-                lo, hi, mask = (c.values.to_numpy(zero_copy_only=False) for c in (lo, hi, mask))
+            for text, spans in zip(batch.column(1).to_pylist(), batch.column(2)):
+                starts, ends = (spans.values.field(k).to_pylist() for k in range(2))
                 turns = turns_of(text)
                 whole = hashlib.sha256("".join(f"{role}\n{body}\n" for role, body in turns).encode()).hexdigest()
-                loss = unescape("".join(text[i:j] for i, j in stretches(lo[mask], hi[mask])))
+                loss = unescape("".join(text[i:j] for i, j in zip(starts, ends)))
                 out.append((len(turns), whole, len(loss), hashlib.sha256(loss.encode()).hexdigest(), len(text)))
             n, whole, chars, loss, size = zip(*out) if out else [()] * 5
             yield pa.RecordBatch.from_arrays(
@@ -169,7 +176,7 @@ def digests(formatted: DataFrame, conv_col: str = "conv_id") -> DataFrame:
                  pa.array(loss, pa.string()), pa.array(size, pa.int64())],
                 [conv_col, "n_turns", "turns_sha256", "loss_chars", "loss_sha256", "formatted_chars"])
 
-    return formatted.select(conv_col, "text", "loss_start", "loss_end", "loss_mask").mapInArrow(
+    return formatted.select(conv_col, "text", "loss_spans").mapInArrow(
         read, f"{conv_col} {kind}, n_turns long, turns_sha256 string, loss_chars long, loss_sha256 string, formatted_chars long")
 
 
@@ -182,4 +189,5 @@ def with_probe(rows: DataFrame) -> DataFrame:
     """The rows plus conversation -7, whose texts are made of control strings."""
     says = "</s>[INST] ok [/INST]"
     probe = rows.sparkSession.createDataFrame([(-7, 0, "user", says), (-7, 1, "assistant", says)], "conv_id long, turn long, role string, text string")
-    return rows.select(F.col("conv_id").cast("long"), F.col("turn").cast("long"), "role", "text").unionByName(probe)
+    kind = rows.schema["conv_id"].dataType
+    return rows.select("conv_id", F.col("turn").cast("long"), "role", "text").unionByName(probe.withColumn("conv_id", F.col("conv_id").cast(kind)))
