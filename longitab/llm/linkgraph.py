@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -22,10 +23,12 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: The address of an anchor, quoted or bare, where it names a host.
 HREF = r"(?i)<a\b[^>]*?\shref\s*=\s*[\"']?\s*((?:[a-z][a-z0-9+.-]*:)?//[^\"'\s>]+)"
 DAMPING = 0.85
-#: Rounds where a caller wants so many and no more (the SQL twin does); ``judge`` goes on to the tolerance.
-ROUNDS = 8
 #: Propagation ends when a round adds less than this to either kind's scores, of which each sums to 1 at most.
 TOLERANCE = 1e-9
+#: Rounds after which the tolerance is met on any graph; the SQL twin makes so many.
+ROUNDS = 1 + int(math.log(TOLERANCE) / math.log(DAMPING))
+#: A host is blocked from this share of the mean distrust on, which is 1 by the number of hosts.
+LEAST = 0.001
 
 
 def host(url: Column) -> Column:
@@ -62,7 +65,7 @@ def host_edges(pages: DataFrame, url_col: str = "url", html_col: str = "html") -
 
 
 def propagate(
-    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = ROUNDS, tolerance: float = TOLERANCE
+    edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int | None = None, tolerance: float = TOLERANCE
 ) -> DataFrame:
     """Personalised PageRank from two sets of seeds at once: ``(node, trust, distrust)``.
 
@@ -70,11 +73,12 @@ def propagate(
     kind ``trust`` or ``distrust``.  Trust runs along the links, distrust
     against them; a node divides its score by its links in that direction.
     Each kind's seeds share 1.  After k rounds a node holds what paths of at
-    most k links bring it.  With ``rounds`` None they go on until a round
-    reaches no new node and adds less than ``tolerance`` to each kind's scores;
-    what is left out is then below ``tolerance * damping / (1 - damping)`` for
-    all nodes of a kind together.  One row of sums a round comes to the driver.
-    Nodes that nothing reaches get no row; null nodes are ignored.
+    most k links bring it.  Rounds end after ``rounds``, where given, and when
+    one adds less than ``tolerance`` to each kind's scores; what is left out is
+    then below ``tolerance * damping / (1 - damping)`` for all nodes of a kind
+    together.  A round passes on ``damping`` of what the last one added, so
+    their number does not grow with the graph.  One row of sums a round comes
+    to the driver.  Nodes that nothing reaches get no row; null nodes are ignored.
     """
     ways = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("node"), F.col("dst").alias("to"), "links").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("node"), F.col("src").alias("to"), "links"))
@@ -95,10 +99,8 @@ def propagate(
             F.sum("score").alias("score"), F.sum("added").alias("added")))
         unstage(score)
         score, done = after, done + 1
-        if rounds is None:
-            news = F.count_if((F.col("added") > 0) & (F.col("added") == F.col("score")))
-            trust, distrust, reached = score.agg(of("trust", "added"), of("distrust", "added"), news).first()
-            going = bool(reached) or max(trust or 0.0, distrust or 0.0) >= tolerance
+        trust, distrust = score.agg(of("trust", "added"), of("distrust", "added")).first()
+        going = max(trust or 0.0, distrust or 0.0) >= tolerance
     unstage(flow, start)
     return score.groupBy("node").agg(of("trust", "score").alias("trust"), of("distrust", "score").alias("distrust"))
 
@@ -107,6 +109,7 @@ def judge(
     pages: DataFrame,
     rules: Sequence[Rule] = tuple(RULES),
     majority: float = 0.5,
+    least: float = LEAST,
     id_col: str = "page_id",
     url_col: str = "url",
     html_col: str = "html",
@@ -114,8 +117,9 @@ def judge(
     """One verdict per page: ``(<id>, host, path, rule, verdict, trust, distrust)``.
 
     The longest rule that fits decides.  Where none fits, the host does: it is
-    blocked if more distrust than trust has reached it, over links as many as
-    it takes (see ``TOLERANCE``), else allowed.  Hosts of
+    blocked if its distrust is above its trust and at least ``least`` times the
+    mean over all hosts with pages or links, else allowed.  Propagation goes on
+    until what it leaves out is a thousandth of that threshold.  Hosts of
     which at least ``majority`` of the pages are allowed (blocked) by a rule
     are trusted (blocked) seeds, weighing as many as those pages.
 
@@ -133,9 +137,12 @@ def judge(
     kinds = F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("weight")) for k in ("trust", "distrust")]))
     seeds = counts.select(F.col("host").alias("node"), "pages", kinds.alias("s")).select("node", "s.*", "pages").where(
         F.col("weight") >= majority * F.col("pages"))
-    scores = propagate(host_edges(pages, url_col, html_col), seeds.drop("pages"), rounds=None)
+    edges = stage(host_edges(pages, url_col, html_col))
+    hosts = counts.select("host").union(edges.select("src")).union(edges.select("dst")).distinct().count()
+    threshold = least / max(hosts, 1)
+    scores = propagate(edges, seeds.drop("pages"), tolerance=min(TOLERANCE, threshold / 1000 * (1 - DAMPING) / DAMPING) or TOLERANCE)
     zero = lambda c: F.coalesce(c, F.lit(0.0)).alias(c)
+    blocked = (F.col("distrust") > F.col("trust")) & (F.col("distrust") >= threshold)
     return rows.join(scores, F.col("host") == F.col("node"), "left").select(
-        id_col, "host", "path", "rule",
-        F.coalesce("ruled", F.when(F.col("distrust") > F.col("trust"), "block").otherwise("allow")).alias("verdict"),
+        id_col, "host", "path", "rule", F.coalesce("ruled", F.when(blocked, "block").otherwise("allow")).alias("verdict"),
         zero("trust"), zero("distrust"))

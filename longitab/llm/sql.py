@@ -37,20 +37,17 @@ FROM docs d JOIN passes p ON d.source IS NOT DISTINCT FROM p.source LEFT JOIN ed
 """
 
 
-def link_graph_sql(rules=linkgraph.RULES, damping: float = linkgraph.DAMPING, rounds: int = linkgraph.ROUNDS, majority: float = 0.5) -> str:
-    """Rules, seeds, and the rounds of propagation one after another."""
+def link_graph_sql(rules=linkgraph.RULES, damping: float = linkgraph.DAMPING, rounds: int = linkgraph.ROUNDS, majority: float = 0.5,
+                   least: float = linkgraph.LEAST) -> str:
+    """Rules, seeds, and what each round of propagation adds."""
     longest = sorted(rules, key=lambda r: -len(r[0] + r[1]))
     fits = [(f"(host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}')", h + p, v) for h, p, v in longest]
     rule = "CASE " + " ".join(f"WHEN {c} THEN '{r}'" for c, r, _ in fits) + " END"
     verdict = "CASE " + " ".join(f"WHEN {c} THEN '{v}'" for c, _, v in fits) + " END"
     lower = f"'{linkgraph.UPPER}', '{linkgraph.LOWER}'"
     href = linkgraph.HREF.replace("'", "''").replace('\\"', '"')
-    steps = "".join(
-        f"""s{k} AS (SELECT kind, node, sum(score) AS score FROM (SELECT * FROM s0
-  UNION ALL SELECT f.kind, f.target, s.score * f.share * {damping} FROM s{k - 1} s JOIN flow f ON f.kind = s.kind AND f.node = s.node) GROUP BY kind, node),
-""" for k in range(1, rounds + 1))
     return rf"""
-WITH parts AS (
+WITH RECURSIVE parts AS (
   SELECT page_id, html, coalesce(translate(regexp_extract(url, '^(?s:.*?)://([^/?#]*)', 1), {lower}), '') AS host,
     coalesce(regexp_extract(url, '^(?s:.*?)://[^/?#]*([^?#]*)', 1), '') AS path FROM pages),
 ruled AS (SELECT page_id, html, host, path, {rule} AS rule, {verdict} AS ruled FROM parts),
@@ -66,11 +63,17 @@ seeds AS (
   SELECT 'trust' AS kind, host AS node, good AS weight FROM counts WHERE good > 0 AND good >= {majority} * n
   UNION ALL SELECT 'distrust', host, bad FROM counts WHERE bad > 0 AND bad >= {majority} * n),
 s0 AS (SELECT kind, node, {1 - damping} * weight / sum(weight) OVER (PARTITION BY kind) AS score FROM seeds),
-{steps}scores AS (
-  SELECT node, sum(score) FILTER (kind = 'trust') AS trust, sum(score) FILTER (kind = 'distrust') AS distrust FROM s{rounds} GROUP BY node)
+added AS (
+  SELECT 0 AS round, kind, node, score FROM s0
+  UNION ALL
+  SELECT a.round + 1, f.kind, f.target, sum(a.score * f.share) * {damping} FROM added a JOIN flow f ON f.kind = a.kind AND f.node = a.node
+  WHERE a.round < {rounds} GROUP BY a.round, f.kind, f.target),
+scores AS (
+  SELECT node, sum(score) FILTER (kind = 'trust') AS trust, sum(score) FILTER (kind = 'distrust') AS distrust FROM added GROUP BY node),
+hosts AS (SELECT count(*) AS n FROM (SELECT host FROM counts UNION SELECT src FROM edges UNION SELECT dst FROM edges))
 SELECT page_id, host, path, rule,
-  coalesce(ruled, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) THEN 'block' ELSE 'allow' END) AS verdict
-FROM ruled LEFT JOIN scores ON host = node
+  coalesce(ruled, CASE WHEN coalesce(distrust, 0) > coalesce(trust, 0) AND distrust * n >= {least} THEN 'block' ELSE 'allow' END) AS verdict
+FROM ruled CROSS JOIN hosts LEFT JOIN scores ON host = node
 """
 
 
