@@ -58,9 +58,9 @@ def tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
     """``(start, end, name, closing, attributes)`` of each piece of markup; comments and declarations have no name.
 
     A tag ends at the first ``>`` outside quotes.  Where quotes leave none up
-    to the page's end, they mean nothing from there on.  Markup without any
-    ``>`` after it is cut off: it reaches to the end.  Each character is read
-    a fixed number of times, however broken the page.
+    to the page's end, they mean nothing from there on.  What looks like
+    markup but has no ``>`` after it is text.  Each character is read a fixed
+    number of times, however broken the page.
     """
     pos, quotes = 0, True
     while (start := page.find("<", pos)) >= 0:
@@ -78,7 +78,6 @@ def tokens(page: str) -> Iterator[tuple[int, int, str, bool, str]]:
                 continue
             stop = page.find(">", start)
             if stop < 0:
-                yield start, len(page), "", False, ""
                 return
             if m:
                 quotes = False

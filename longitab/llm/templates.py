@@ -145,6 +145,7 @@ def leaks(
     text_col: str = "text",
     item_col: str = "item_id",
     item_text_col: str = "text",
+    least_tokens: int = 1,
 ) -> DataFrame:
     """Documents that hold a benchmark item or a re-parameterised form of it.
 
@@ -161,14 +162,15 @@ def leaks(
     with other names needs them capitalised.  An item of fewer than eight
     tokens, or without a window of four words, has to stand in the document
     word by word, however short it is; its windows are then the pieces it is
-    matched by.  Rows of one item that differ are forms of it, each on its own.
+    matched by.  Items of fewer than ``least_tokens`` tokens match nothing: a
+    word like "yes" as an item is said by every other document.  Rows of one item that differ are forms of it, each on its own.
     Null texts hold no tokens; rows without an id are not reported; rows of one
     id are one document.  Other columns are ignored; an empty table on either
     side gives no rows.
     """
     rows = docs.select(docs[id_col].alias("doc"), docs[text_col].alias("text")).where("doc is not null")
     forms = benchmark.select(benchmark[item_col].alias("item"), benchmark[item_text_col].alias("text")).where("item is not null").distinct()
-    made = templates(forms.withColumn("values", tokens(F.col("text"))))
+    made = templates(forms.withColumn("values", tokens(F.col("text")))).where(F.size("values") >= least_tokens)
     items = stage(made.withColumn("version", F.xxhash64("values", *FAMILIES)).dropDuplicates(["item", "version"]))
     keys = stage(benchmark_windows(items))
     bare = items.join(keys.select("item", "version").distinct(), ["item", "version"], "left_anti")
@@ -227,7 +229,7 @@ def leaks(
 
 
 def decontaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id",
-                   item_text_col: str = "text") -> DataFrame:
+                   item_text_col: str = "text", least_tokens: int = 1) -> DataFrame:
     """The documents without those that ``leaks`` reports, all columns kept."""
-    gone = stage(leaks(docs, benchmark, id_col, text_col, item_col, item_text_col).select(id_col).distinct())
+    gone = stage(leaks(docs, benchmark, id_col, text_col, item_col, item_text_col, least_tokens).select(id_col).distinct())
     return with_ids(docs, id_col, gone, "left_anti")
