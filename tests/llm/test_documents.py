@@ -2,6 +2,7 @@
 
 import collections
 import itertools
+import math
 import re
 import zlib
 
@@ -117,6 +118,30 @@ def test_mix_meets_targets(spark, odd, none):
     assert mixing.mix(none).count() == 0
 
 
+def test_texts_without_words_stay_within_the_limit(spark):
+    docs = [(i, "" if i < 20 else "a b c d e", "ab"[i % 2]) for i in range(30)] + [(40 + i, "x " * 50, "c") for i in range(4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string, source string")
+    copies = collections.Counter(r.doc_id for r in mixing.mixed_documents(df).collect())
+    assert max(copies.values()) <= 3
+    assert copies == +collections.Counter({r.doc_id: r.copies for r in mixing.mix(df).collect()})
+
+
+def test_records_are_read_shuffled_through_the_index(spark, monkeypatch, tmp_path):
+    monkeypatch.setattr(records, "fresh_path", lambda _: str(tmp_path / "out"))
+    least = -(1 << 63)
+    docs = spark.createDataFrame([(least, "lowest id"), (None, "no id"), (0, ""), *[(i, f"text {i} of many") for i in range(5, 60)]], "doc_id long, text string")
+    want = {(r.doc_id, r.n_tokens, r.ids_crc32) for r in records.tokenized(docs, VOCABULARY).collect()}
+    assert {i for i, _, _ in want} == {least, None, 0, *range(5, 60)}
+    index = spark.read.parquet(str(tmp_path / "out" / "index")).collect()
+    got = set()
+    for k in np.random.default_rng(1).permutation(len(index)):
+        with open(tmp_path / "out" / "records" / index[k].shard, "rb") as f:  # one seek and one read a document
+            f.seek(index[k].offset)
+            i, ids = records.read_document(f.read(index[k].bytes), 0)
+        got.add((i, len(ids), zlib.crc32(ids.tobytes())))
+    assert got == want
+
+
 def test_records_round_trip(spark, odd, none):
     from tokenizers import Tokenizer
     plain = Tokenizer.from_file(VOCABULARY)
@@ -179,6 +204,70 @@ def test_language_evidence_decides_where_text_does_not(spark):
     assert (got[0], got[30], got[97], got[98], got[99]) == ("es", "it", "it", "it", "es")
 
 
+def plain_posteriors(rows, domain):
+    """``rows`` of (text, declared, suffix, host): per row the posterior of each language, by the definitions."""
+    a, b, c, low = (int(x) for x in (language.A, language.B, language.C, 0xFFFFFFFF))
+
+    def buckets(text):
+        s = f" {(text or '').lower()} "
+        for k in range(1, len(s) - 1):
+            if s[k].isalpha():
+                x, y, z = (ord(q) if q.isalpha() else 32 for q in s[k - 1:k + 2])
+                yield ((((x * a) ^ (y * b) ^ (z * c)) & low) * a & low) >> 17
+
+    grams = [list(buckets(r[0])) for r in rows]
+    names = sorted({r[1] for r, g in zip(rows, grams) if r[1] and g})
+    fitted = {x: collections.Counter(q for r, g in zip(rows, grams) if r[1] == x for q in g) for x in names}
+    of = lambda x, q: math.log((fitted[x][q] + 0.1) / (sum(fitted[x].values()) + 0.1 * language.BUCKETS))
+    text = [[sum(of(x, q) for q in g) for x in names] for g in grams]
+    guess = [max(range(len(names)), key=lambda k: (t[k], -k)) if g else None for t, g in zip(text, grams)]
+    tally = lambda test: [sum(1 for r, k in zip(rows, guess) if k == n and test(r)) for n in range(len(names))]
+    size = tally(lambda r: True)
+    total = sum(size)
+    share = [(x + 1) / (total + len(names)) for x in size]
+
+    def said(field, value):
+        n = tally(lambda r: r[field] == value)
+        if value is None or not sum(n):
+            return [0.0] * len(names)
+        return [math.log((x + 20 * (sum(n) + 1) / (total + 1)) / (m + 20)) for x, m in zip(n, size)]
+
+    def prior(host):
+        drawn = share
+        for test in (lambda r: "." in host and "." in (r[3] or "") and domain(r[3]) == domain(host), lambda r: r[3] == host):
+            n = tally(test) if host is not None else [0]
+            if sum(n):
+                drawn = [(x + 20 * p) / (sum(n) + 20) for x, p in zip(n, drawn)]
+        return [math.log(p) for p in drawn]
+
+    for r, t in zip(rows, text):
+        logs = [sum(x) for x in zip(t, said(1, r[1]), said(2, r[2]), prior(r[3]))]
+        odds = [math.exp(x - max(logs)) for x in logs]
+        best = logs.index(max(logs))
+        yield names[best], odds[best] / sum(odds)
+
+
+def test_language_equals_plain_posterior(spark):
+    r = np.random.default_rng(6)
+    said = {"es": "el perro corre por la calle", "it": "il cane corre nella strada", "pt": "o cao corre pela rua"}
+    hosts = ["a.uno.es", "b.uno.es", "c.due.it", "lone", None]
+    rows = []
+    for i in range(90):
+        x = str(r.choice(list(said)))
+        words = said[x].split()
+        text = [" ".join(r.choice(words, r.integers(1, 4))), " ".join(words), "corre", "c", None, "12"][r.integers(6)]
+        wrong = str(r.choice(list(said)))
+        rows.append((text, [x, x, wrong, None][r.integers(4)], ["es", "it", None][r.integers(3)], hosts[r.integers(5)]))
+    df = spark.createDataFrame([(i, *x) for i, x in enumerate(rows)], "id long, text string, declared string, suffix string, host string")
+    got = {x.row.id: x for x in language.identify(df, "id", "text", "declared", "host", "suffix").collect()}
+    changed = 0
+    for i, (best, likely) in enumerate(plain_posteriors(rows, lambda h: ".".join(h.split(".")[-2:]))):
+        assert got[i].confidence == pytest.approx(likely, abs=1e-3)
+        assert got[i].language == best or likely < 0.51
+        changed += rows[i][1] not in (None, best)
+    assert changed > 5  # labels that the evidence overrules
+
+
 def test_page_evidence(spark):
     html = "<!DOCTYPE html><HTML class=x lang='FR-ca'><script>var a='<p>';</script><body><p>Bonjour"
     df = spark.createDataFrame([(1, "https://u@www.Site.fr:80/a", html), (2, None, None)], "page_id long, url string, html string")
@@ -264,6 +353,14 @@ def test_leaks_of_short_and_bare_items(spark):
     assert sorted(r.doc_id for r in templates.decontaminated(docs, items).collect()) == [4, 5]
 
 
+def test_leaks_of_one_word_items_are_a_choice(spark):
+    items = spark.createDataFrame([(1, "Yes"), (2, "Paris."), (3, "Name the capital of France")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, "Oh yes, she said."), (2, "Paris is far"), (3, "Please name the capital of France now"), (4, "none")], "doc_id long, text string")
+    assert {(r.doc_id, r.item_id) for r in templates.leaks(docs, items).collect()} == {(1, 1), (2, 2), (3, 3)}
+    assert {(r.doc_id, r.item_id) for r in templates.leaks(docs, items, least_tokens=3).collect()} == {(3, 3)}
+    assert sorted(r.doc_id for r in templates.decontaminated(docs, items, least_tokens=3).collect()) == [1, 2, 4]
+
+
 def plain_spans(docs):
     seen, cuts = {}, collections.defaultdict(set)
     for i, t in sorted(docs):

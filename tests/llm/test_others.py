@@ -2,13 +2,16 @@
 
 import hashlib
 import os
+import time
 
+import duckdb
 import numpy as np
 import oracle
 import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
@@ -36,6 +39,20 @@ def test_blocks_of_a_broken_page():
     assert dom.blocks("") == [] and dom.blocks("<p") and dom.blocks("a<b>c")[0].text == "ac"
 
 
+def test_pages_are_parsed_in_linear_time():
+    n = 200_000
+    for page in ("<a " * n, "<b>" * n + "</i>" * n, '<a x=">" ' * n, "<!x" * n, "<script></script " * n, "<i><div>" + "<b>" * n + "</i>" * n,
+                 "<a " + "a" * n + ">x", "<b>" * n + "t<hr>" * n, "<" * n, "&" * n, "<a<" * n, "<p " + '"' * (n + 1)):
+        start = time.process_time()
+        dom.blocks(page)
+        assert time.process_time() - start < 15, page[:20]
+
+
+def test_references_end_at_tags():
+    assert dom.blocks("<p>&am<b>p;</b> x &am<!-- -->p; &amp;amp;</p>")[0].text == "&amp; x &amp; &amp;"
+    assert [b.text for b in dom.blocks("<p>a <a href='>'>b</a> &lt;p&gt; 1 < 2</p><p>c <d")] == ["a b <p> 1 < 2", "c <d"]
+
+
 def test_main_text_held_out(spark):
     model = crf.train(spark.createDataFrame([(1, PAGE), (2, None)], "page_id long, html string"))
     hit = false = missed = 0
@@ -124,6 +141,35 @@ def test_link_graph_runs_to_the_end(spark):
     assert np.allclose([found[f"h{i}"] for i in range(3)], want, rtol=0, atol=6e-3)
 
 
+def test_link_graph_equals_sql_where_hosts_link(spark):
+    r = np.random.default_rng(8)
+    ends = ["com", "org", "net", "example.com"]
+    rows = []
+    for i in range(400):
+        h = r.integers(60)
+        links = "".join(f"<a class=x href='http://h{k}.{ends[k % 4]}/p'>x</a>" for k in r.integers(60, size=r.integers(0, 3)))
+        rows.append((i, f"http://H{h}.{ends[h % 4]}/{r.choice(['en/', 'es/', 'x'])}", links))
+    rows += [(400, None, None), (401, "none", ""), (402, "http://tie.org/", "<a href=//h0.com/>"), (402, "http://tie.org/", "<a href=//h0.com/>")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    con = duckdb.connect()
+    con.register("pages", pages.toPandas())
+    got = linkgraph.judge(pages).select("page_id", "host", "path", "rule", "verdict")
+    assert {r.verdict for r in got.where("rule is null and host <> ''").collect()} == {"allow", "block"}
+    assert oracle.compare(got, con, entry.oracle_sql()["op8_link_graph"]) is None
+
+
+def test_link_graph_threshold_ties_and_clashing_names(spark):
+    rows = [(1, "http://good.com/", "<a href=//tie.org/>"), (2, "http://bad.net/es/", None), (3, "http://tie.org/", "<a href=//bad.net/>"),
+            (4, "http://far.org/", "<a href=//tie.org/><a href=//good.com/>"), (5, "http://long.org/" + "x" * 100_000, "<p>" * 100_000)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr(
+        "*", *[f"1 AS {c}" for c in ("host", "path", "rule", "verdict", "node", "trust", "distrust", "score", "src", "dst", "links", "kind", "weight")])
+    verdicts = lambda **k: {r.page_id: r.verdict for r in linkgraph.judge(pages, **k).collect()}
+    got = {r.page_id: r for r in linkgraph.judge(pages).collect()}
+    assert got[3].trust == got[3].distrust > 0 and got[3].verdict == "allow"  # a tie does not block
+    assert got[4].distrust > got[4].trust == 0 and got[4].verdict == "block" and got[5].verdict == "allow"
+    assert verdicts(least=10.0)[4] == "allow" and verdicts(least=0.0)[4] == "block"
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.lists(st.tuples(st.sampled_from(["user", "assistant", "", "a\nb<s>"]), st.text(alphabet="<>/s[]INST\\elbn x\n", max_size=25)), max_size=5))
 def test_template_is_reversible(turns):
@@ -150,6 +196,26 @@ def test_chat_digests(spark):
     assert chat.format_conversations(df.limit(0), public_tokenizers.path("byte_bpe_50k.json")).count() == 0
 
 
+@pytest.mark.parametrize("kind", ["int", "smallint", "string", "decimal(5,0)"])
+def test_chat_keys_masks_and_long_texts(spark, kind):
+    long = "word </s> " * 60_000
+    rows = [(1, 0, "user", "hi"), (1, 1, "assistant", long), (1, 2, "user", "and"), (1, 3, "assistant", "yes"), (2, 0, "assistant", ""), (None, 0, "assistant", "x")]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("conv_id", F.col("conv_id").cast(kind))
+    vocabulary = public_tokenizers.path("byte_bpe_50k.json")
+    got = {r.conv_id: r for r in chat.formatted_digests(chat.with_probe(df), vocabulary).collect()}
+    assert {str(k) for k in got} == {"1", "2", "None", "-7"}
+    one = next(r for k, r in got.items() if str(k) == "1")
+    assert one.n_turns == 4 and one.loss_sha256 == hashlib.sha256((long + "yes").encode()).hexdigest()
+    made = {str(r.conv_id): r for r in chat.format_conversations(df, vocabulary).collect()}
+    for r in made.values():  # the mask holds just the tokens that meet a span
+        ends = [o[1] for o in chat.tokenizer(vocabulary).encode(r.text, add_special_tokens=False).offsets]
+        starts = np.append(0, ends[:-1])
+        inside = np.zeros(len(r.text) + 1, bool)
+        for s in r.loss_spans:
+            inside[s.start:s.end] = True
+        assert r.loss_mask == [bool(inside[i:j].any()) for i, j in zip(starts, ends)]
+
+
 def test_nearest_equals_brute_force(spark):
     r = np.random.default_rng(4)
     x = r.normal(size=(900, 8)).astype(np.float32) * r.random((900, 1)).astype(np.float32)
