@@ -25,8 +25,8 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold no benchmark item."""
-    return templates.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    """Documents that hold no benchmark item; one of a word or two names nothing that must go."""
+    return templates.decontaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), least_tokens=3)
 
 
 def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
