@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +38,17 @@ def window_hashes(hashes: np.ndarray, size: int) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
+def release() -> None:
+    """Give a Python worker's unused memory back to the system: workers outlive
+    their tasks, and what they keep adds to the next stage's."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL(None).malloc_trim(0)
+    except AttributeError:  # only the GNU library has it
+        pass
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components: one row ``(node, component)`` per node that has an
     edge, ``component`` being the smallest node of its component.

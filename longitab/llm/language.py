@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from longitab.session import stage, unstage
 
-from .common import with_ids
+from .common import release, with_ids
 
 #: Labelled rows of each language that the trigram model is fitted on at most.
 TRAIN_ROWS = 2000
@@ -28,8 +28,8 @@ TRAIN_ROWS = 2000
 RANKED = 500
 #: Hash buckets of trigrams; with the languages they bound the model's size.
 BUCKETS = 1 << 15
-#: Bytes of text that are scored at a time.
-BLOCK = 1 << 20
+#: Bytes of text that are scored at a time, and trigrams of a longer text that are looked up at a time.
+BLOCK, PIECE = 1 << 18, 1 << 18
 #: Odd constants of the trigram hash, and the shift that leaves a bucket.
 A, B, C, SHIFT = np.uint32(0x9E3779B1), np.uint32(0x85EBCA77), np.uint32(0xC2B2AE3D), np.uint32(32 - 15)
 #: Rows' worth of belief in the parent's prior, and in a value being as common in each language.
@@ -82,9 +82,15 @@ class Model:
         for block in _blocks(texts):
             at, sizes = trigrams(block)
             ends = np.append(0, np.cumsum(sizes))
-            values = self.table[at]
-            out += [values[i:j].sum(axis=0, dtype=np.float64) for i, j in zip(ends, ends[1:])]
-        return pa.array(out, pa.list_(pa.float64()))
+            if len(block) == 1:  # it may be a long one
+                pieces = [self.table[at[k:k + PIECE]].sum(axis=0, dtype=np.float64) for k in range(0, len(at), PIECE)]
+                out.append(np.sum(pieces, axis=0) if pieces else np.zeros(self.table.shape[1]))
+            else:
+                values = self.table[at]
+                out += [values[i:j].sum(axis=0, dtype=np.float64) for i, j in zip(ends, ends[1:])]
+        made = pa.array(out, pa.list_(pa.float64()))
+        release()
+        return made
 
 
 def fit(rows: DataFrame, text: Column, label: Column, key: Column, train_rows: int = TRAIN_ROWS) -> Model:

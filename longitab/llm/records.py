@@ -24,7 +24,6 @@ import string
 import struct
 import zlib
 from collections.abc import Iterator
-from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -34,13 +33,15 @@ from pyspark.sql import functions as F
 
 from longitab.session import fresh_path
 
+from .common import release
+
 #: Fixed value: added to a rotated checksum.
 MASK_DELTA = 0xA282EAD8
 HEADER = struct.Struct("<QI")
 END = b"\n"
 #: The vocabulary's special strings, which are matched before anything else.
 SPECIAL = "<|"
-#: Words kept per Python worker; a full table is emptied and filled anew.
+#: Words kept by a task; a full table is emptied and filled anew.
 CACHED_WORDS = 450_000
 #: Bytes of text that are encoded at a time.
 BLOCK = 4 << 20
@@ -184,12 +185,6 @@ def blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
             yield int(rows[0]), len(rows)
 
 
-@lru_cache(maxsize=4)
-def encoder(path: str) -> Encoder:
-    """One per Python worker and vocabulary."""
-    return Encoder(path)
-
-
 def write_records(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2, id_col: str = "doc_id",
                   text_col: str = "text") -> None:
     """Encode every text whole, append ``end_id``, and write records in ascending id order below ``path``.
@@ -204,12 +199,16 @@ def write_records(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2,
     separator is the record's last byte.
     """
     def encode(batches):
-        of = encoder(vocabulary)
-        for batch in batches:
-            for start, n in blocks(batch.column(1)):
-                ids, texts = (batch.column(k).slice(start, n) for k in (0, 1))
-                data = [frame(i, np.append(x, np.uint32(end_id)))[:-1] for i, x in zip(ids.to_pylist(), of.encode(texts))]
-                yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["value"])
+        of = Encoder(vocabulary)
+        try:
+            for batch in batches:
+                for start, n in blocks(batch.column(1)):
+                    ids, texts = (batch.column(k).slice(start, n) for k in (0, 1))
+                    data = [frame(i, np.append(x, np.uint32(end_id)))[:-1] for i, x in zip(ids.to_pylist(), of.encode(texts))]
+                    yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["value"])
+        finally:  # the worker lives on: neither its words nor its tokenizer should
+            del of
+            release()
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
