@@ -4,9 +4,11 @@ from __future__ import annotations
 
 import ctypes
 import gc
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -49,6 +51,29 @@ def release() -> None:
         pass
 
 
+def released(run: Callable) -> Callable:
+    """``run`` for ``mapInArrow``, after whose last batch its worker gives memory back."""
+    def then_release(batches):
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return then_release
+
+
+#: Bytes of texts or sets that a worker unpacks at a time.
+PIECE = 1 << 20
+
+
+def pieces(batch: pa.RecordBatch, *columns: int) -> Iterator[pa.RecordBatch]:
+    """Runs of a batch's rows that hold about ``PIECE`` bytes in these columns, a longer row alone or with what follows."""
+    size = sum(pc.fill_null(pc.binary_length(batch.column(k)), 0).to_numpy(zero_copy_only=False).astype(np.int64) for k in columns)
+    for rows in np.split(np.arange(batch.num_rows), np.flatnonzero(np.diff(np.cumsum(size) // PIECE)) + 1):
+        if len(rows):
+            yield batch.slice(int(rows[0]), len(rows))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components: one row ``(node, component)`` per node that has an
     edge, ``component`` being the smallest node of its component.

@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 
 from longitab.session import stage, unstage
 
-from .common import components, window_hashes, with_ids, word_hashes
+from .common import components, pieces, released, window_hashes, with_ids, word_hashes
 
 #: Counters of the frequency sketch, whatever the input's size.
 CELLS = 1 << 22
@@ -55,7 +55,7 @@ def sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
 
     def run(batches):
         counts = np.zeros(CELLS, np.uint32)
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b, 1)):
             rows = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 u = shingles(text, words)
@@ -75,7 +75,7 @@ def sets_and_sketch(docs: DataFrame, words: int) -> DataFrame:
             [*[pa.array(none, pa.int64())] * 4, pa.array([part] * len(chunks), pa.int32()), pa.array(range(len(chunks)), pa.int32()),
              pa.array(chunks, pa.binary())], ["id", "size", "f1", "f2", "part", "chunk", "counts"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def merged_sketch(parts: DataFrame) -> np.ndarray:
@@ -109,7 +109,7 @@ def postings(docs: DataFrame, words: int, num: int, den: int, sketch) -> DataFra
     """
     def run(batches):
         frequency = sketch.value
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b, 1)):
             out = []
             for i, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 u = shingles(text, words)
@@ -132,7 +132,7 @@ def postings(docs: DataFrame, words: int, num: int, den: int, sketch) -> DataFra
                 [pa.array(tokens, pa.int64()), pa.array(of(1, np.int64)), pa.array(of(2, np.int32)), pa.array(pos.astype(np.int32)), pa.array(pos < of(3, np.int64))],
                 ["token", "id", "size", "pos", "ahead"])
 
-    return docs.mapInArrow(run, "token long, id long, size int, pos int, ahead boolean")
+    return docs.mapInArrow(released(run), "token long, id long, size int, pos int, ahead boolean")
 
 
 def overlaps(docs: DataFrame, pairs: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -144,26 +144,25 @@ def overlaps(docs: DataFrame, pairs: DataFrame, words: int, num: int, den: int)
     wanted = stage(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct())
 
     def sets(batches):
-        for batch in batches:
+        for batch in (p for b in batches for p in pieces(b, 1)):
             found = [shingles(t, words) for t in batch.column(1).to_pylist()]
             ranges = [np.bincount((u >> np.uint64(56)).astype(np.int64), minlength=256).astype(np.uint32).tobytes() for u in found]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), pa.array([len(u) for u in found], pa.int64()), pa.array(ranges, pa.binary()),
                  pa.array([u.tobytes() for u in found], pa.binary())], ["id", "size", "ranges", "set"])
 
-    held = stage(with_ids(docs, "id", wanted).mapInArrow(sets, "id long, size long, ranges binary, set binary"))
+    held = stage(with_ids(docs, "id", wanted).mapInArrow(released(sets), "id long, size long, ranges binary, set binary"))
 
     def bound(batches):
-        for batch in batches:
-            if batch.num_rows:
-                x, y = (batch.column(k).to_numpy() for k in (2, 3))
-                p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, 256) for k in (4, 5))
-                most = np.minimum(p, q).sum(axis=1, dtype=np.int64)
-                yield batch.select(["a", "b"]).filter(pa.array(most * (num + den) >= (x + y) * num))
+        for batch in (p for b in batches for p in pieces(b, 4, 5)):
+            x, y = (batch.column(k).to_numpy() for k in (2, 3))
+            p, q = (np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint32).reshape(-1, 256) for k in (4, 5))
+            most = np.minimum(p, q).sum(axis=1, dtype=np.int64)
+            yield batch.select(["a", "b"]).filter(pa.array(most * (num + den) >= (x + y) * num))
 
     def count(batches):
-        for batch in batches:
-            x, y = ([np.frombuffer(s.as_py(), np.uint64) for s in batch.column(k)] for k in (2, 3))
+        for batch in (p for b in batches for p in pieces(b, 2, 3)):
+            x, y = ([np.frombuffer(s.as_buffer(), np.uint64) for s in batch.column(k)] for k in (2, 3))
             shared = [len(np.intersect1d(p, q, assume_unique=True)) for p, q in zip(x, y)]
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1),
@@ -176,10 +175,10 @@ def overlaps(docs: DataFrame, pairs: DataFrame, words: int, num: int, den: int)
         return some.join(of("b"), "b").join(of("a"), "a")
 
     open_ = stage(beside(pairs.select("a", "b"), held, "size", "ranges").select("a", "b", "size_a", "size_b", "ranges_a", "ranges_b").mapInArrow(
-        bound, "a long, b long"))
+        released(bound), "a long, b long"))
     still = stage(open_.select(F.col("a").alias("id")).union(open_.select("b")).distinct())
     out = stage(beside(open_, with_ids(held, "id", still), "set").select("a", "b", "set_a", "set_b").mapInArrow(
-        count, "a long, b long, size_a long, size_b long, overlap long"))
+        released(count), "a long, b long, size_a long, size_b long, overlap long"))
     unstage(wanted, held, open_, still)
     return out
 

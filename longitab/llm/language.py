@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from longitab.session import stage, unstage
 
-from .common import release, with_ids
+from .common import release, released, with_ids
 
 #: Labelled rows of each language that the trigram model is fitted on at most.
 TRAIN_ROWS = 2000
@@ -117,7 +117,7 @@ def fit(rows: DataFrame, text: Column, label: Column, key: Column, train_rows: i
             g = np.flatnonzero(at)
             yield pa.RecordBatch.from_arrays([pa.array([name] * len(g), pa.string()), pa.array(g), pa.array(at[g])], ["label", "bucket", "n"])
 
-    counts = with_ids(labelled, "at", sample).select("label", "text").mapInArrow(count, "label string, bucket long, n long")
+    counts = with_ids(labelled, "at", sample).select("label", "text").mapInArrow(released(count), "label string, bucket long, n long")
     sums = counts.groupBy("label", "bucket").agg(F.sum("n").alias("n"))
     table = sums.toPandas()  # at most BUCKETS rows for each language
     languages = sorted(set(table.label))
