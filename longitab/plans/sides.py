@@ -27,16 +27,21 @@ def side_relative(df: DataFrame, side: str = "bl_aclrside", keep: Sequence[str]
     rights = {c[2:]: c for c in sided if c.lower().startswith("r_")}
 
     def value(c):
-        if c is None:
-            return F.lit(None)
-        return plain_text(S._q(c), kinds[c]) if as_text else F.col(S._q(c))
+        return F.lit(None) if c is None else F.col(S._q(c))
 
-    new = {}
+    def text(c):
+        return value(c) if c is None else plain_text(S._q(c), kinds[c])
+
+    at, new = F.col(side), {}
     for var in dict.fromkeys([*lefts, *rights]):
-        one, other = value(lefts.get(var)), value(rights.get(var))
-        at = F.col(side)
-        new[f"a_{var}"] = F.when(at == left, one).when(at == right, other)
-        new[f"c_{var}"] = F.when(at == left, other).when(at == right, one)
+        l, r = lefts.get(var), rights.get(var)
+        types = {kinds[c] for c in (l, r) if c is not None}
+        # measures of one type are made text after the choice: once a column, not once a side
+        late = as_text and len(types) == 1
+        one, other = (text(l), text(r)) if as_text and not late else (value(l), value(r))
+        for name, first, second in ((f"a_{var}", one, other), (f"c_{var}", other, one)):
+            chosen = F.when(at == left, first).when(at == right, second)
+            new[name] = plain_text(chosen, *types) if late else chosen
     rest = [F.col(S._q(c)) for c in df.columns if c not in sided]
     return df.select(*rest, *[e.alias(n) for n, e in new.items()])
 
