@@ -7,6 +7,9 @@ but the last return the columns of ``docs``.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 
 from longitab.llm import jaccard, language, mixing, records, templates
@@ -14,11 +17,28 @@ from longitab.llm.queries import vocabulary
 from longitab.session import stage
 
 
+#: Rows that Spark hands a Python worker at a time in the stages that use one.  Its default of 10,000
+#: suits numbers; these are whole texts, which both the JVM and the worker hold outside the heap.
+BATCH_ROWS = 2000
+
+
+def _in_python(apply: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
+    """A stage that runs with batches of ``BATCH_ROWS``; the session keeps the setting, as its result is computed later."""
+    @wraps(apply)
+    def small(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+        return apply(spark, docs, sf_dir)
+
+    return small
+
+
+@_in_python
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     return language.accepted(docs)
 
 
+@_in_python
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of least id, of each group linked at 0.8 on five-word shingles."""
     return jaccard.one_per_group(docs, words=5, threshold="0.8")
@@ -34,6 +54,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
+@_in_python
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token records written, and per record what reading them back gives."""
     return records.tokenized(docs, vocabulary("word_bpe_49k.json")).select("doc_id", "start", "n_tokens", "ids_crc32")
