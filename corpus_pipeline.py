@@ -13,15 +13,11 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from longitab.llm import jaccard, language, mixing, records, templates
+from longitab.llm.common import BATCH_ROWS
 from longitab.llm.queries import vocabulary
 from longitab.session import stage
 
 
-#: Rows that Spark hands a Python worker at a time in the stages that use one.  Its default of 10,000
-#: suits numbers; these are whole texts, which both the JVM and the worker hold outside the heap.
-BATCH_ROWS = 2000
-
-
 def _in_python(apply: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
     """A stage that runs with batches of ``BATCH_ROWS``; the session keeps the setting, as its result is computed later."""
     @wraps(apply)

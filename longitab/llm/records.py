@@ -18,12 +18,12 @@ length and number of ids, which is what a shuffled reader seeks by.
 
 from __future__ import annotations
 
-import json
 import os
 import string
 import struct
 import zlib
 from collections.abc import Iterator
+from itertools import chain, compress
 
 import numpy as np
 import pyarrow as pa
@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from longitab.session import fresh_path
 
-from .common import release
+from .common import BATCH_ROWS, batches_of, release
 
 #: Fixed value: added to a rotated checksum.
 MASK_DELTA = 0xA282EAD8
@@ -44,15 +44,20 @@ SPECIAL = "<|"
 #: Words kept by a task; a full table is emptied and filled anew.
 CACHED_WORDS = 450_000
 #: Bytes of text that are encoded at a time.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 #: Words given to the tokenizer at a time.
 LINE = 2000
 #: Fixed value: ASCII marks, a run of which after a word is a word of its own.
 MARKS = string.punctuation
 #: Added to the width of a record without a document id.
 NO_ID = 0x80
-#: Letters below are composed already and have small forms of one letter.
-LATIN_END = "\u0250"
+#: Letters up to it are composed already and have small forms of one letter.
+LATIN_LAST = "\u024f"
+#: Fixed value: the one of them whose small form is of two signs.
+DOTTED = "\u0130"
+#: The signs that stand for the bytes 128 to 255 in a byte-level vocabulary, and letters as such signs.
+SIGNS = {b: chr(b if 0xA1 <= b <= 0xAC or b >= 0xAE else 0x100 + 33 + (b - 0x7F if b < 0xA1 else 34)) for b in range(0x80, 0x100)}
+AS_BYTES = {c: "".join(SIGNS[b] for b in chr(c).encode()) for c in range(0x80, ord(LATIN_LAST) + 1)}
 
 
 def masked(data: bytes) -> int:
@@ -85,12 +90,24 @@ def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
         at += size
 
 
+def _gather(flat: np.ndarray, at: np.ndarray, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The runs of ``flat`` that begin and end at ``at[entries]`` and the place after, one after another,
+    and where each one begins and the last one ends."""
+    sizes = at[entries + 1] - at[entries]
+    places = np.append(0, np.cumsum(sizes))
+    return flat[np.repeat(at[entries] - places[:-1], sizes) + np.arange(places[-1])], places
+
+
+def _strings(array: pa.Array) -> list[str]:
+    return array.to_numpy(zero_copy_only=False).tolist()
+
+
 class Encoder:
     """Token ids of whole texts.
 
     The vocabulary drops white space and never joins across it, so a text's ids
     are those of its words one after another.  Each distinct word of a batch is
-    looked up once; what is new is encoded, its stem apart from closing marks.
+    looked up once, its stem apart from closing marks; what is new is encoded.
     A text that may hold a special string goes through the tokenizer whole.
     The ids of known words are one flat array.
     """
@@ -99,9 +116,8 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.whole = Tokenizer.from_file(path)
-        self.is_last = np.zeros(self.whole.get_vocab_size(), bool)
-        if suffix := json.loads(self.whole.to_str())["model"].get("end_of_word_suffix"):
-            self.is_last[[i for t, i in self.whole.get_vocab().items() if t.endswith(suffix)]] = True
+        self.model = self.whole.model
+        self.plain = self._as_written()
         self._clear()
 
     def _clear(self) -> None:
@@ -114,24 +130,19 @@ class Encoder:
         self.at = np.append(self.at, self.at[-1] + ends)
         self.flat = np.concatenate([self.flat, ids])
 
-    def _gather(self, entries: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The ids of known words one after another, and where each one's end."""
-        sizes = self.at[entries + 1] - self.at[entries]
-        ends = np.cumsum(sizes)
-        return self.flat[np.repeat(self.at[entries] - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)], ends
+    def _as_written(self) -> bool:
+        """Whether the model alone gives the ids of simple words: else all go through the tokenizer."""
+        letters = [c for c in map(chr, range(ord(LATIN_LAST) + 1)) if c.isalpha() and c.lower() == c and c != DOTTED]
+        words = ["".join(letters), "".join(letters[::-1]), *letters, string.ascii_lowercase, string.ascii_lowercase[::-1]]
+        ids = self.whole.encode(" ".join(words), add_special_tokens=False).ids
+        return ids == [t.id for w in words for t in self.model.tokenize(w.translate(AS_BYTES))]
 
-    def _learn_simple(self, words: list[str]) -> list[str]:
-        """Learn words of small letters; returns those that it can't."""
-        failed = []
-        for k in range(0, len(words), LINE):
-            some = words[k:k + LINE]
-            ids = np.asarray(self.whole.encode_batch_fast([" ".join(some)], add_special_tokens=False)[0].ids, np.uint32)
-            ends = np.flatnonzero(self.is_last[ids]) + 1
-            if len(ends) == len(some):
-                self._add(some, ids, ends)
-            else:  # a vocabulary that does not mark the ends of words
-                failed += some
-        return failed
+    def _learn_simple(self, words: list[str]) -> None:
+        """There is nothing to normalise or split."""
+        tokenize = self.model.tokenize
+        ids = [[t.id for t in tokenize(w if w.isascii() else w.translate(AS_BYTES))] for w in words]
+        ends = np.cumsum(np.fromiter(map(len, ids), np.int64, len(ids)))
+        self._add(words, np.fromiter(chain.from_iterable(ids), np.uint32), ends)
 
     def _learn(self, words: list[str]) -> None:
         if words:
@@ -139,34 +150,49 @@ class Encoder:
             ends = np.searchsorted(np.asarray(got.word_ids, dtype=np.int64), np.arange(1, len(words) + 1))
             self._add(words, np.asarray(got.ids, np.uint32), ends)
 
-    def learn(self, words: list[str]) -> None:
-        known, rest, parts = self.known, [], []
-        for w in words:
-            stem = w.rstrip(MARKS)
-            small = stem.lower()
-            if small.isalpha() and (small.isascii() or max(small) < LATIN_END):
-                parts.append((w, small, w[len(stem):]))
-            else:
-                rest.append(w)
-        rest += self._learn_simple(list({small for _, small, _ in parts if small not in known}))
-        rest += {tail for _, _, tail in parts if tail not in known}
-        self._learn(rest)
-        joined = [p for p in parts if p[2] or p[0] != p[1]]
-        pairs = np.fromiter((known[x] for _, small, tail in joined for x in (small, tail)), np.int64, 2 * len(joined))
-        ids, ends = self._gather(pairs)
-        self._add([w for w, _, _ in joined], ids, ends[1::2])
+    def learn(self, words: list[str], simple: np.ndarray) -> None:
+        """New words, each once; ``simple``: of small letters up to ``LATIN_LAST`` alone."""
+        if self.plain:
+            self._learn_simple(list(compress(words, simple)))
+            words = list(compress(words, ~simple))
+        for k in range(0, len(words), LINE):
+            self._learn(words[k:k + LINE])
+
+    def _entries(self, words: list[str], simple: np.ndarray) -> np.ndarray:
+        """Where each of these different words stands among the known; what is new is learnt."""
+        found = list(map(self.known.get, words))
+        if new := [k for k, e in enumerate(found) if e is None]:
+            self.learn([words[k] for k in new], simple[new])
+            for k in new:
+                found[k] = self.known[words[k]]
+        return np.array(found, np.int64)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of different words one after another, and where each one's begin and the last one's end."""
+        stems = pc.ascii_rtrim(words, characters=MARKS)
+        small = pc.utf8_lower(stems)
+        odd = pc.or_(pc.match_substring_regex(small, f"[^\\x{{0}}-{LATIN_LAST}]"), pc.match_substring(stems, DOTTED))
+        simple = pc.and_not(pc.utf8_is_alpha(small), odd)
+        keys = pc.if_else(simple, small, words).dictionary_encode()
+        simple, indices = simple.to_numpy(zero_copy_only=False), keys.indices.to_numpy()
+        of_key = np.zeros(len(keys.dictionary), bool)
+        of_key[indices] = simple
+        pairs = np.zeros((len(words), 2), np.int64)  # a word and the marks after it, none at first
+        pairs[:, 0] = self._entries(_strings(keys.dictionary), of_key)[indices]
+        closing = (pc.binary_length(words).to_numpy() - pc.binary_length(stems).to_numpy()) * simple
+        marked = np.flatnonzero(closing)
+        tails = pa.array([w[-n:] for w, n in zip(_strings(words.take(pa.array(marked))), closing[marked].tolist())], pa.string()).dictionary_encode()
+        pairs[marked, 1] = self._entries(_strings(tails.dictionary), np.zeros(len(tails.dictionary), bool))[tails.indices.to_numpy()]
+        ids, at = _gather(self.flat, self.at, pairs.ravel())
+        return ids, at[::2]
 
     def _encode(self, texts: pa.Array) -> list[np.ndarray]:
         if len(self.known) > CACHED_WORDS:
             self._clear()
         split = pc.ascii_split_whitespace(pc.ascii_lower(texts))
         coded = split.flatten().dictionary_encode()
-        words = coded.dictionary.to_numpy(zero_copy_only=False).tolist()
-        if new := [w for w in words if w not in self.known]:
-            self.learn(new)
-        entries = np.fromiter(map(self.known.__getitem__, words), np.int64, len(words))
-        out, ends = self._gather(entries[coded.indices.to_numpy()])
-        cuts = np.append(0, ends)[np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))]
+        out, at = _gather(*self._words(coded.dictionary), coded.indices.to_numpy())
+        cuts = at[np.append(0, np.cumsum(pc.list_value_length(split).to_numpy()))]
         return [out[i:j] for i, j in zip(cuts, cuts[1:])]
 
     def encode(self, texts: pa.Array) -> list[np.ndarray]:
@@ -212,8 +238,9 @@ def write_records(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2,
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
-    (dealt.mapInArrow(encode, "value binary").select(F.col("value").cast("string").alias("value"))
-     .write.option("lineSep", END.decode()).text(path))
+    with batches_of(docs.sparkSession, BATCH_ROWS):
+        (dealt.mapInArrow(encode, "value binary").select(F.col("value").cast("string").alias("value"))
+         .write.option("lineSep", END.decode()).text(path))
 
 
 def read_records(spark: SparkSession, path: str) -> DataFrame:
@@ -248,7 +275,8 @@ def tokenized(docs: DataFrame, vocabulary: str, end_id: int = 2, id_col: str = "
     path = fresh_path(spark)
     write_records(docs, f"{path}/records", vocabulary, end_id, id_col, text_col)
     found = read_records(spark, f"{path}/records")
-    found.write.parquet(f"{path}/index")
+    with batches_of(spark, 1):  # a row is a whole file
+        found.write.parquet(f"{path}/index")
     index = spark.read.schema(found.schema).parquet(f"{path}/index")
     sums = index.groupBy("shard").agg(F.sum("n_tokens").alias("total"))
     starts = sums.select("shard", (F.sum("total").over(Window.orderBy("shard")) - F.col("total")).alias("before"))

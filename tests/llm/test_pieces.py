@@ -2,7 +2,8 @@
 
 import pyarrow as pa
 
-from longitab.llm import common
+from longitab.llm import common, records
+from longitab.llm.queries import vocabulary
 
 
 def batch(texts):
@@ -30,3 +31,39 @@ def test_pieces_bound_what_short_rows_hold():
 
 def test_released_passes_all_batches_on():
     assert list(common.released(lambda batches: (b * 2 for b in batches))(iter([1, 2, 3]))) == [2, 4, 6]
+
+
+def test_records_are_encoded_a_megabyte_at_a_time():
+    texts = pa.array(["x" * 1000] * 10_000)
+    runs = list(records.blocks(texts))
+    assert [at for at, _ in runs] == [sum(n for _, n in runs[:k]) for k in range(len(runs))]
+    assert sum(n for _, n in runs) == len(texts)
+    assert max(n for _, n in runs) * 1000 <= (1 << 20) + 1000
+
+
+def test_workers_get_few_rows_and_the_session_is_as_before(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    sizes = spark.range(0, 25, 1, 1).mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows])], ["n"]) for b in batches), "n long")
+    with common.batches_of(spark, 10):
+        assert [r.n for r in sizes.collect()] == [10, 10, 5]
+        with common.batches_of(spark, 100):  # never more than was asked for
+            assert spark.conf.get(key) == "10"
+    assert spark.conf.get(key) == before
+
+
+def test_records_ask_for_few_texts_and_one_file_at_a_time(spark, monkeypatch):
+    asked = []
+    real = common.batches_of
+    monkeypatch.setattr(records, "batches_of", lambda s, n: asked.append(n) or real(s, n))
+    docs = spark.createDataFrame([(1, "one"), (2, None)], "doc_id long, text string")
+    assert sorted(r.doc_id for r in records.tokenized(docs, vocabulary("word_bpe_49k.json")).collect()) == [1, 2]
+    assert asked == [common.BATCH_ROWS, 1]
+
+
+def test_marks_that_are_a_word_and_follow_one_are_learnt_once():
+    of = records.Encoder(vocabulary("word_bpe_49k.json"))
+    texts = ["... wait... no", "more words, and others", "É. İx. Ⱥ! Kelvin 3.5... ab_ _", "", "... É again"]
+    want = [of.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert [x.tolist() for t in texts for x in of.encode(pa.array([t]))] == want
+    assert [x.tolist() for x in of.encode(pa.array(texts))] == want
