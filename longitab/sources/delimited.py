@@ -26,10 +26,11 @@ def _schema(spark: SparkSession, path: str, schema: str | T.StructType | None, m
     return spark.read.csv(path, header=True, multiLine=multiline).schema
 
 
-def _raw(spark: SparkSession, path: str, wanted: T.StructType, multiline: bool, split_bytes: int) -> tuple[DataFrame, Column]:
-    """All fields as text, and the expression of the row order within a file."""
+def _raw(spark: SparkSession, path: str, wanted: T.StructType, multiline: bool, split_bytes: int,
+         by_name: bool = False) -> tuple[DataFrame, Column]:
+    """All fields as text, and the expression of the row order within a file, or over all files by name."""
     as_text = T.StructType([T.StructField(f.name, T.StringType()) for f in wanted])
-    if not multiline or largest_file(spark, path) <= split_bytes:
+    if not by_name and (not multiline or largest_file(spark, path) <= split_bytes):
         raw = spark.read.schema(as_text).csv(
             path, header=True, enforceSchema=False, multiLine=multiline, quote='"', escape='"', encoding="UTF-8")
         return raw, F.monotonically_increasing_id()
@@ -37,8 +38,9 @@ def _raw(spark: SparkSession, path: str, wanted: T.StructType, multiline: bool,
     if [n.lower() for n in names] != [f.name.lower() for f in wanted]:
         raise ValueError(f"the header has {names}, the schema {wanted.names}")
     ddl = ", ".join(f"`{f.name.replace('`', '``')}` STRING" for f in wanted)
-    records = read_records(spark, path).where("number > 0")
-    parsed = records.select("number", F.from_csv("record", F.lit(ddl), OPTIONS).alias("fields"))
+    records = read_records(spark, path, by_name).where("number > 0")
+    number = F.col("number") + F.col("before") if by_name else F.col("number")
+    parsed = records.select(number.alias("number"), F.from_csv("record", F.lit(ddl), OPTIONS).alias("fields"))
     return parsed.select("fields.*", F.col("number").alias("__number")), F.col("__number") - 1
 
 
@@ -67,7 +69,8 @@ class Checked(NamedTuple):
 
 
 def read_checked(spark: SparkSession, path: str, schema: str | T.StructType, nulls: Sequence[str] = ("",),
-                 multiline: bool = True, split_bytes: int = SPLIT_BYTES, order: Column | None = None) -> Checked:
+                 multiline: bool = True, split_bytes: int = SPLIT_BYTES, order: Column | None = None,
+                 by_name: bool = False) -> Checked:
     """``read_export`` that also tells what did not parse.
 
     The files are read once, as text, and staged.  ``table`` has ``seq`` and the
@@ -76,9 +79,9 @@ def read_checked(spark: SparkSession, path: str, schema: str | T.StructType, nul
     column, observed while the texts are staged.
     """
     wanted = _schema(spark, path, schema, multiline)
-    raw, number = _raw(spark, path, wanted, multiline, split_bytes)
+    raw, number = _raw(spark, path, wanted, multiline, split_bytes, by_name)
     texts = raw.select(*[F.col(_name(f)).alias(f"__text_{k}") for k, f in enumerate(wanted)],
-                       _number(spark, path, order, number).alias("__number"))
+                       _number(spark, path, order, number, by_name).alias("__number"))
     typed = {f.name: (f, F.col(f"__text_{k}")) for k, f in enumerate(wanted) if not isinstance(f.dataType, T.StringType)}
     bad = {name: F.coalesce(~t.isin(*nulls), F.lit(False)) & _typed(f, nulls, t).isNull() for name, (f, t) in typed.items()}
     seen = Observation()
@@ -96,9 +99,9 @@ def _name(field: T.StructField) -> str:
     return "`" + field.name.replace("`", "``") + "`"
 
 
-def _number(spark: SparkSession, path: str, order: Column | None, number: Column) -> Column:
-    """The row order within the file, if that is the order asked for."""
-    if order is None and len(files := spark.read.format("binaryFile").load(path).inputFiles()) > 1:
+def _number(spark: SparkSession, path: str, order: Column | None, number: Column, by_name: bool) -> Column:
+    """The row order within the file, or the files by name, if that is the order asked for."""
+    if order is None and not by_name and len(files := spark.read.format("binaryFile").load(path).inputFiles()) > 1:
         raise ValueError(f"{len(files)} files have no common row order: pass order=")
     return number.cast("bigint")
 
@@ -112,16 +115,19 @@ def _typed(field: T.StructField, nulls: Sequence[str], text: Column | None = Non
 
 
 def read_export(spark: SparkSession, path: str, schema: str | T.StructType | None = None,
-                order: Column | None = None, multiline: bool = True, split_bytes: int = SPLIT_BYTES) -> DataFrame:
+                order: Column | None = None, multiline: bool = True, split_bytes: int = SPLIT_BYTES,
+                by_name: bool = False) -> DataFrame:
     """The sparse long export: only blank is null, and ``seq`` holds the row order.
 
     Spark keeps no order between files, so an export in several files needs
-    ``order``, an integer expression unique per row.  Within one file the row
-    number comes from the scan, however many tasks read it.
+    ``order``, an integer expression unique per row, or ``by_name``: the files,
+    each with its header, are parts that follow each other by name.  Within one
+    file, or these, the row number comes from the scan, however many tasks read
+    it; parts by name are always cut, whatever ``split_bytes``.
     """
     wanted = _schema(spark, path, schema, multiline)
-    raw, number = _raw(spark, path, wanted, multiline, split_bytes)
-    df = raw.select(*[_typed(f, ("",)) for f in wanted], _number(spark, path, order, number).alias("seq"))
+    raw, number = _raw(spark, path, wanted, multiline, split_bytes, by_name)
+    df = raw.select(*[_typed(f, ("",)) for f in wanted], _number(spark, path, order, number, by_name).alias("seq"))
     return df if order is None else df.withColumn("seq", order.cast("bigint"))
 
 

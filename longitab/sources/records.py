@@ -28,9 +28,12 @@ def _lines(spark: SparkSession, path: str) -> DataFrame:
         F.monotonically_increasing_id().alias("at"), F.col("value").alias("line"))
 
 
-def read_records(spark: SparkSession, path: str) -> DataFrame:
+def read_records(spark: SparkSession, path: str, by_name: bool = False) -> DataFrame:
     """``(file, number, record)`` of each record, the header being number 0; staged.
 
+    ``by_name`` adds ``before``, how many records but headers the files hold
+    whose names come first.
+
     Quotes are doubled inside quoted fields, so they count as two.  The lines
     are shuffled once, by split; a split's quotes and records are summed, and
     the sums of a file's splits, one row each, say where each split stands.
@@ -51,7 +54,12 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     before = W.partitionBy("file").orderBy("split").rowsBetween(W.unboundedPreceding, -1)
     states = splits.withColumn("state", F.coalesce(F.sum("turn").over(before), F.lit(0)) % 2)
     mine = F.when(F.col("state") == 0, F.col("n0")).otherwise(F.col("n1"))
-    states = states.withColumn("first", F.coalesce(F.sum(mine).over(before), F.lit(0))).select("file", "split", "state", "first")
+    states = states.withColumn("mine", mine).withColumn("first", F.coalesce(F.sum("mine").over(before), F.lit(0)))
+    if by_name:  # one row per file
+        states = stage(states)
+        held = states.groupBy("file").agg(F.greatest(F.sum("mine") - 1, F.lit(0)).alias("held"))
+        earlier = held.select("file", (F.sum("held").over(W.orderBy("file")) - F.col("held")).alias("before"))
+    states = states.select("file", "split", "state", "first")
 
     begins = (F.col("odd") == F.col("state")) & full
     number = F.col("first") + F.sum(begins.cast("int")).over(split.orderBy("at").rowsBetween(W.unboundedPreceding, W.currentRow)) - 1
@@ -64,7 +72,8 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
     wide = F.element_at("lines", -1)["line"].endswith("\r")  # such ends are line breaks, inside a field too
     texts = F.transform("lines", lambda x: F.when(wide, _bare(x["line"])).otherwise(x["line"]))
     joined = parts.select("file", "number", F.array_join(texts, "\n").alias("line"))
-    return whole.unionByName(joined).select("file", "number", _bare(F.col("line")).alias("record"))
+    records = whole.unionByName(joined).select("file", "number", _bare(F.col("line")).alias("record"))
+    return records.join(earlier, "file") if by_name else records
 
 
 def largest_file(spark: SparkSession, path: str) -> int:

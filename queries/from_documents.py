@@ -177,16 +177,26 @@ def instrument_extremes(load):
 
 # -- an export with line breaks --------------------------------------------
 
+#: Bytes of text in a part of the export, which one task writes: some splits of Spark's default size.
+PART_BYTES = 256 << 20
+
+
+def _write_parts(df):
+    """The rows by ``doc_id`` as CSV, in as many parts as their texts need; by name they follow each other."""
+    path = fresh_path(df.sparkSession)
+    held = df.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    delimited.write_csv(df.repartitionByRange(1 + held // PART_BYTES, "doc_id").sortWithinPartitions("doc_id"), path)
+    return path
+
+
 @query("""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, doc_id, text, source, CASE WHEN n_chars % 3 > 0 THEN n_chars END AS n_chars
 FROM documents""")
 def scan_csv_split(load):
-    """One file, cut into splits, whose texts hold line breaks and quotes; every third number is not one."""
+    """An export, cut into splits, whose texts hold line breaks and quotes; every third number is not one."""
     df = load("documents")
     number = F.when(F.col("n_chars") % 3 > 0, F.col("n_chars").cast("string")).otherwise("xx")
-    path = fresh_path(df.sparkSession)
-    one = df.select("doc_id", "text", "source", number.alias("n_chars")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id")
-    delimited.write_csv(one, path)
-    return delimited.read_export(df.sparkSession, path, "doc_id BIGINT, text STRING, source STRING, n_chars BIGINT", split_bytes=0)
+    path = _write_parts(df.select("doc_id", "text", "source", number.alias("n_chars")))
+    return delimited.read_export(df.sparkSession, path, "doc_id BIGINT, text STRING, source STRING, n_chars BIGINT", split_bytes=0, by_name=True)
 
 
 @query("""SELECT row_number() OVER (ORDER BY doc_id) - 1 AS seq, 'n_chars' AS "column", 'no. ' || n_chars AS text

@@ -1,6 +1,8 @@
 """Files in and out."""
 
+import csv
 import datetime as dt
+import io
 import math
 import os
 
@@ -193,3 +195,36 @@ def test_parallel_read_checks_the_header(spark, tmp_path):
     assert [tuple(r) for r in delimited.read_csv(spark, path, "a INT, b INT", split_bytes=0).collect()] == [(1, 2)]
     empty = write(tmp_path / "e.csv", "a,b\n")
     assert delimited.read_csv(spark, empty, "a INT, b INT", split_bytes=0).isEmpty()
+
+
+def test_parts_follow_each_other_by_name(spark, tmp_path, small_splits):
+    text = awkward(4, 90, "\n")
+    path = str(tmp_path / "parts")
+    one = write(tmp_path / "one.csv", text)
+    ddl = "id INT, x STRING, y STRING, k INT"
+    want = [tuple(r)[:4] for r in delimited.read_export(spark, one, ddl).orderBy("seq").collect()]
+    head, *rows_ = list(csv.reader(io.StringIO(text, newline="")))
+    for name, some in {"part-2": rows_[70:], "part-0": rows_[:7], "part-1": [], "part-11": rows_[7:70]}.items():
+        out = io.StringIO()
+        csv.writer(out, lineterminator="\n").writerows([head, *some])
+        write(tmp_path / "parts" / f"{name}.csv", out.getvalue())
+    write(tmp_path / "parts" / "part-12.csv", "")
+    got = delimited.read_export(spark, path, ddl, by_name=True).orderBy("seq").collect()
+    assert [r["seq"] for r in got] == list(range(90)) and [tuple(r)[:4] for r in got] == want
+    checked = delimited.read_checked(spark, path, ddl, by_name=True)
+    bad = [r["seq"] for r in checked.rejects.where("column = 'k'").orderBy("seq").collect()]
+    assert bad == [i for i, r in enumerate(rows_) if r[3] in ("xx", "NA", "2.5")]
+    with pytest.raises(ValueError, match="order"):
+        delimited.read_export(spark, path, ddl)
+
+
+def test_an_export_is_as_many_parts_as_its_texts_need(spark, tmp_path, monkeypatch):
+    from queries import from_documents
+    texts = [(i, f"a\n\"{i}\"" + "x" * 1000, "s", i) for i in range(400)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string, source string, n_chars long").repartition(3)
+    monkeypatch.setattr(from_documents, "PART_BYTES", 50_000)
+    monkeypatch.setattr(from_documents, "fresh_path", lambda _: str(tmp_path / "out"))
+    got = [tuple(r) for r in from_documents.scan_csv_split(lambda _: docs).orderBy("seq").collect()]
+    assert got == [(i, t, s, n if n % 3 else None, i) for i, t, s, n in texts]
+    sizes = [f.stat().st_size for f in (tmp_path / "out").glob("part-*")]
+    assert len(sizes) > 5 and max(sizes) < 150_000
