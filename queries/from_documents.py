@@ -205,10 +205,8 @@ def csv_rejects(load):
     """The fields that did not parse, from the scan that gives the table."""
     df = load("documents")
     number = F.when(F.col("n_chars") % 3 > 0, F.col("n_chars").cast("string")).otherwise(F.concat(F.lit("no. "), "n_chars"))
-    path = fresh_path(df.sparkSession)
-    one = df.select("doc_id", "text", number.alias("n_chars")).repartitionByRange(1, "doc_id").sortWithinPartitions("doc_id")
-    delimited.write_csv(one, path)
-    return delimited.read_checked(df.sparkSession, path, "doc_id BIGINT, text STRING, n_chars BIGINT", split_bytes=0).rejects
+    path = _write_parts(df.select("doc_id", "text", number.alias("n_chars")))
+    return delimited.read_checked(df.sparkSession, path, "doc_id BIGINT, text STRING, n_chars BIGINT", split_bytes=0, by_name=True).rejects
 
 
 # -- labels ----------------------------------------------------------------

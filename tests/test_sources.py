@@ -228,3 +228,13 @@ def test_an_export_is_as_many_parts_as_its_texts_need(spark, tmp_path, monkeypat
     assert got == [(i, t, s, n if n % 3 else None, i) for i, t, s, n in texts]
     sizes = [f.stat().st_size for f in (tmp_path / "out").glob("part-*")]
     assert len(sizes) > 5 and max(sizes) < 150_000
+
+
+def test_rejects_come_from_all_parts(spark, tmp_path, monkeypatch):
+    from queries import from_documents
+    docs = spark.createDataFrame([(i, "x" * 1000, i) for i in range(200)], "doc_id long, text string, n_chars long")
+    monkeypatch.setattr(from_documents, "PART_BYTES", 50_000)
+    monkeypatch.setattr(from_documents, "fresh_path", lambda _: str(tmp_path / "out"))
+    got = [tuple(r) for r in from_documents.csv_rejects(lambda _: docs).orderBy("seq").collect()]
+    assert got == [(i, "n_chars", f"no. {i}") for i in range(0, 200, 3)]
+    assert len(list((tmp_path / "out").glob("part-*"))) == 5
