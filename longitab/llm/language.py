@@ -180,6 +180,8 @@ def identify(
     def score(texts: pa.Array) -> pa.Array:
         return held.value.score(texts)
 
+    # a filter on the scores would else be pushed below them with a scoring of its own, in a second worker a task
+    score = score.asNondeterministic()
     host = col(host_col)
     domain = F.when(host.contains("."), F.substring_index(host, ".", -2))
     scored = rows.select(

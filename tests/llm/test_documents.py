@@ -13,6 +13,8 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from longitab.llm import jaccard, language, mixing, records, spans, templates
+from longitab.session import stage
+from plans import plan
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -178,6 +180,14 @@ def test_language_finds_and_keeps(spark, odd, none):
     assert language.identify(none).count() == 0
 
 
+def test_language_scores_a_text_once_a_pass(odd, monkeypatch):
+    plans = []
+    monkeypatch.setattr(language, "stage", lambda df: plans.append(plan(df)) or stage(df))
+    plans.append(plan(language.accepted(odd)))
+    scored = [p.count("ArrowEvalPython") for p in plans if "score(" in p]
+    assert scored == [1, 1]  # for the grouped counts, and for the result
+
+
 def test_language_keeps_rare_languages(spark):
     en, ga = "the river runs past the old mill and into the quiet sea", "bhi an abhainn ag rith thar an sean mhuileann go dti an fharraige"
     rows = spark.range(30_000).selectExpr("id as doc_id", f"if(id % 10000 = 7, '{ga}', '{en}') as text",
