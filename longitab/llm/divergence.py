@@ -8,6 +8,8 @@ level, until only complete terms are left.  All arithmetic is in integers.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,13 +19,19 @@ from pyspark.sql import functions as F
 
 from longitab.session import stage, unstage
 
-from .records import blocks
+from .common import BATCH_ROWS, batches_of, released
 
 #: Bytes of the first level's prefixes; each level doubles them.
 FIRST = 4
 #: Bits of the table that tells blocks which prefixes or terms are still in: 4 MB, whatever their number.  A prefix
 #: that is in by chance is counted once more and then dropped by its own count.
 MARKS = 1 << 25
+#: Bytes of text of a block, a longer text alone.
+BLOCK = 4 << 20
+#: Rows, and bytes of names, whose counts a worker sums before they leave it, and rows that leave it at a time.
+MERGED, MERGED_BYTES, SENT = 500_000, 1 << 25, 1 << 15
+#: Counts below it may be multiplied by UNIT in 64 bits.
+SMALL = 9_000_000_000
 #: Rows of a language or group table that a join may send to every executor; above, it is shuffled.
 FEW = 50_000
 #: Fixed value: the unit of the smoothed shares.
@@ -37,6 +45,35 @@ def _distinct(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return coded.indices.to_numpy(), coded.dictionary
 
 
+def numbered(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, all below ``size``, ascending, and each key's place among them; without a sort where they lie close."""
+    if size > 16 * len(keys):
+        return np.unique(keys, return_inverse=True)
+    there = np.zeros(size, bool)
+    there[keys] = True
+    found = np.flatnonzero(there)
+    place = np.zeros(size, np.int32)
+    place[found] = np.arange(len(found))
+    return found, place[keys]
+
+
+def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, ascending, and the sum of each one's positive numbers."""
+    if not len(keys):
+        return keys, n
+    width = int(n.max()) + 1
+    if int(keys.max()) >= (1 << 62) // width:
+        found, at = np.unique(keys, return_inverse=True)
+        sums = np.zeros(len(found), np.int64)
+        np.add.at(sums, at, n)
+        return found, sums
+    both = keys * width + n  # sorted as one number
+    both.sort()
+    key = both // width
+    first = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+    return key[first], np.add.reduceat(both - key * width, first)
+
+
 def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
     """``(document, term, count)`` of each distinct term of each text, and the terms."""
     texts = pa.concat_arrays([texts]) if texts.offset == 0 else pa.array(texts.to_pylist(), pa.string())
@@ -51,6 +88,42 @@ def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]
     return key // max(1, len(terms)), key % max(1, len(terms)), n, terms.cast(pa.binary())
 
 
+def blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """``(start, length)`` of runs of rows that hold about ``BLOCK`` bytes of text, a longer text alone."""
+    ends = np.cumsum(pc.binary_length(texts).to_numpy().astype(np.int64))
+    for rows in np.split(np.arange(len(texts)), np.flatnonzero(np.diff(ends // BLOCK)) + 1):
+        if len(rows):
+            yield int(rows[0]), len(rows)
+
+
+def merged(counted: Iterator[tuple[list[tuple], np.ndarray, pa.Array, np.ndarray]]) -> Iterator[tuple[list[pa.Array], pa.Array, pa.Array]]:
+    """Counts of several blocks with those of one (group, name) summed, so that fewer rows leave the worker.
+
+    A block gives its groups as tuples, and of each row the group's number, the
+    name and the count; rows come out as the groups' columns, names and sums.
+    """
+    known, held, rows, size = {}, [], 0, 0
+
+    def sums():
+        table = pa.Table.from_batches(held).group_by(["group", "name"], use_threads=False).aggregate([("n", "sum")])
+        held.clear()
+        columns = [pa.array(x) for x in zip(*known)]
+        for part in table.to_batches(max_chunksize=SENT):
+            yield [x.take(part.column("group")) for x in columns], part.column("name"), part.column("n_sum")
+
+    for groups, at, names, n in counted:
+        if not len(n):
+            continue
+        code = np.array([known.setdefault(g, len(known)) for g in groups], np.int32)
+        held.append(pa.RecordBatch.from_arrays([pa.array(code[at]), names, pa.array(n)], ["group", "name", "n"]))
+        rows, size = rows + len(n), size + names.nbytes
+        if rows >= MERGED or size >= MERGED_BYTES:
+            yield from sums()
+            known, held, rows, size = {}, [], 0, 0
+    if held:
+        yield from sums()
+
+
 def _bags(docs: DataFrame) -> DataFrame:
     """One row per block of documents: its ``bag`` of terms, packed.
 
@@ -75,7 +148,7 @@ def _bags(docs: DataFrame) -> DataFrame:
                      *[pa.array([x.astype("<i4").tobytes()], pa.binary()) for x in numbers]],
                     ["langs", "sources", "term_bytes", "term_sizes", "group_of", "doc", "term", "n"])
 
-    return docs.mapInArrow(run, schema)
+    return docs.mapInArrow(released(run), schema)
 
 
 def marks(rows: DataFrame, lang: str, name: str) -> bytes:
@@ -118,9 +191,9 @@ class Bag:
 
 
 def _nodes(stored: DataFrame, length: int, kept) -> DataFrame:
-    """``(lang, node, complete, docs)``, a block's share: in how many of its documents each open prefix of
+    """``(lang, node, complete, docs)``, some blocks' share: in how many of its documents each open prefix of
     ``length`` bytes stands, and each term that ends on this level, if the prefix of half the length is marked."""
-    def run(batches):
+    def counted(batches):
         table = kept and np.frombuffer(kept.value, np.uint8)
         for batch in batches:
             for k in range(batch.num_rows):
@@ -145,14 +218,18 @@ def _nodes(stored: DataFrame, length: int, kept) -> DataFrame:
                 lang_, name = key // nodes, key % nodes // 2
                 if table is not None:
                     halves, names_ = _distinct(pc.binary_slice(names, 0, length // 2))
-                    pairs, back = np.unique(lang_ * len(names_) + halves[name], return_inverse=True)
+                    pairs, back = numbered(lang_ * len(names_) + halves[name], len(langs) * len(names_))
                     on = marked(table, seeds_of(langs), names_, pairs // len(names_), pairs % len(names_))[back]
                     key, docs, lang_, name = key[on], docs[on], lang_[on], name[on]
-                yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(lang_)), names.take(pa.array(name)), pa.array(key % 2 == 1), pa.array(docs)],
-                    ["lang", "node", "complete", "docs"])
+                groups = [(x, complete) for x in langs.to_pylist() for complete in (False, True)]
+                yield groups, lang_ * 2 + key % 2, names.take(pa.array(name)), docs
+
+    def run(batches):
+        for (lang, complete), node, docs in merged(counted(batches)):
+            yield pa.RecordBatch.from_arrays([lang, node, complete, docs], ["lang", "node", "complete", "docs"])
 
-    return stored.mapInArrow(run, "lang string, node binary, complete boolean, docs long")
+    # dealt first, then summed: a worker's rows are sums already
+    return stored.mapInArrow(released(run), "lang string, node binary, complete boolean, docs long").repartition("lang", "node")
 
 
 def _kept(stored: DataFrame, least: int) -> DataFrame:
@@ -178,8 +255,8 @@ def _kept(stored: DataFrame, least: int) -> DataFrame:
 
 
 def _cells(stored: DataFrame, kept) -> DataFrame:
-    """``(lang, source, term, n)``, a block's share of how often each group has each marked term."""
-    def run(batches):
+    """``(lang, source, term, n)``, some blocks' share of how often each group has each marked term."""
+    def counted(batches):
         table = np.frombuffer(kept.value, np.uint8)
         for batch in batches:
             for k in range(batch.num_rows):
@@ -189,22 +266,24 @@ def _cells(stored: DataFrame, kept) -> DataFrame:
                 terms = len(bag.terms)
                 lang, langs = _distinct(bag.langs)
                 group = bag.group_of[bag.doc]
-                pairs, back = np.unique(lang[group] * terms + bag.term, return_inverse=True)
+                pairs, back = numbered(lang[group] * np.int64(terms) + bag.term, len(langs) * terms)
                 on = marked(table, seeds_of(langs), bag.terms, pairs // terms, pairs % terms)[back]
-                key, at = np.unique(group[on] * terms + bag.term[on], return_inverse=True)
-                n = np.bincount(at, bag.n[on], len(key)).astype(np.int64)
-                group = pa.array(key // terms)
-                yield pa.RecordBatch.from_arrays(
-                    [bag.langs.take(group), bag.sources.take(group), bag.terms.take(pa.array(key % terms)), pa.array(n)],
-                    ["lang", "source", "term", "n"])
+                key, n = summed(group[on] * terms + bag.term[on], bag.n[on])
+                yield list(zip(bag.langs.to_pylist(), bag.sources.to_pylist())), key // terms, bag.terms.take(pa.array(key % terms)), n
+
+    def run(batches):
+        for (lang, source), term, n in merged(counted(batches)):
+            yield pa.RecordBatch.from_arrays([lang, source, term, n], ["lang", "source", "term", "n"])
 
-    return stored.mapInArrow(run, "lang string, source string, term binary, n long")
+    # dealt as the kept terms are
+    return stored.mapInArrow(released(run), "lang string, source string, term binary, n long").repartition("lang", "term")
 
 
 def _share(count: Column, denominator: Column) -> Column:
     """The smoothed share in units: 1 + floor(UNIT * (count + 2) / denominator), exactly."""
     whole = F.lit(UNIT).cast("decimal(10,0)") * (count + 2).cast("decimal(20,0)")
-    return F.lit(1) + F.call_function("div", whole, denominator.cast("decimal(20,0)")).cast("long")
+    wide = F.call_function("div", whole, denominator.cast("decimal(20,0)")).cast("long")
+    return F.lit(1) + F.when(count < SMALL, F.call_function("div", F.lit(UNIT) * (count + 2), denominator)).otherwise(wide)
 
 
 def _gap(p: Column, q: Column) -> Column:
@@ -236,10 +315,13 @@ def audit(docs: DataFrame, least: int = 10, best: int = 10, lang_col: str = "lan
     def plain(name):
         return F.coalesce(docs[name].cast("string"), F.lit(""))
     texts = docs.select(plain(lang_col).alias("lang"), plain(source_col).alias("source"), plain(text_col).alias("text"))
-    stored = stage(_bags(texts))
-    kept = _kept(stored, least)
-    table = docs.sparkSession.sparkContext.broadcast(marks(kept, "lang", "term"))
-    cells = stage(_cells(stored, table).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi"))
+    spark = docs.sparkSession
+    with batches_of(spark, BATCH_ROWS):
+        stored = stage(_bags(texts))
+    with batches_of(spark, 1):  # a row is a block
+        kept = _kept(stored, least)
+        table = spark.sparkContext.broadcast(marks(kept, "lang", "term"))
+        cells = stage(_cells(stored, table).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi"))
     unstage(stored)
     sizes = _few(stage(kept.groupBy("lang").agg(F.count("*").alias("v"))))
     groups = texts.select("lang", "source").distinct().join(

@@ -7,14 +7,18 @@ import zlib
 import numpy as np
 import oracle
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from plans import plan
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from longitab.llm import bytebpe, divergence, negatives, packing
 from longitab.llm import queries as q
+from longitab.llm.common import batches_of
+from longitab.session import stage, unstage
 
 VOCABULARY = public_tokenizers.path("byte_bpe_50k.json")
 SF_DIR = "/root/testdata/sf0.001"
@@ -269,6 +273,58 @@ def test_audit_of_odd_documents(odd, none):
     assert divergence.audit(none).isEmpty()
 
 
+def test_audit_sums_counts_before_they_leave_a_worker(spark):
+    docs = spark.range(0, 100, 1, 1).selectExpr("if(id % 2 = 0, 'en', 'de') lang", "'a' source", "concat('same words w', char(97 + id % 3)) text")
+    with batches_of(spark, 10):
+        stored = stage(divergence._bags(docs))
+        table = spark.sparkContext.broadcast(b"\xff" * (divergence.MARKS // 8))
+        for rows, key, n in ((divergence._nodes(stored, divergence.FIRST, None), ["lang", "node", "complete"], "docs"),
+                             (divergence._cells(stored, table), ["lang", "source", "term"], "n")):
+            got = rows.collect()
+            assert stored.count() == 10 and len(got) == len({tuple(r[k] for k in key) for r in got}) == 10
+            assert sum(r[n] for r in got) == 300
+            # no second shuffle sums them
+            assert plan(rows.groupBy(*key).agg(F.sum(n))).count("Exchange hashpartitioning") == 1
+        unstage(stored)
+
+
+def test_merged_counts(monkeypatch):
+    blocks = [([("en", "a"), ("", "b")], np.array([0, 1, 1]), pa.array([b"x", b"x", b"y"]), np.array([1, 2, 3])),
+              ([], np.zeros(0, int), pa.array([], pa.binary()), np.zeros(0, int)),
+              ([("", "b"), ("en", "a")], np.array([0, 0, 1]), pa.array([b"y", b"", b"x"]), np.array([10, 20, 2**40]))]
+    want = {("en", "a", b"x"): 1 + 2**40, ("", "b", b"x"): 2, ("", "b", b"y"): 13, ("", "b", b""): 20}
+    for rows, size, parts in ((1_000_000, 1 << 26, 4), (3, 1 << 26, 6), (1_000_000, 1, 6)):
+        monkeypatch.setattr(divergence, "MERGED", rows)
+        monkeypatch.setattr(divergence, "MERGED_BYTES", size)
+        monkeypatch.setattr(divergence, "SENT", 1)
+        out, seen = collections.Counter(), 0
+        for (a, b), name, n in divergence.merged(iter(blocks)):
+            assert len(n) == 1
+            seen += 1
+            out[a[0].as_py(), b[0].as_py(), name[0].as_py()] += n[0].as_py()
+        assert dict(out) == want and seen == parts
+    assert list(divergence.merged(iter([]))) == []
+
+
+@pytest.mark.parametrize("size, top", [(0, 5), (1000, 50), (1000, 10**6), (1000, 2**61)])
+def test_numbered_and_summed_keys(size, top):
+    r = np.random.default_rng(1)
+    keys, n = r.integers(0, top, size), r.integers(1, 9, size)
+    want = collections.Counter()
+    for k, x in zip(keys.tolist(), n.tolist()):
+        want[k] += x
+    found, place = divergence.numbered(keys, top)
+    assert found.tolist() == sorted(want) and found[place].tolist() == keys.tolist()
+    key, total = divergence.summed(keys, n)
+    assert list(zip(key.tolist(), total.tolist())) == sorted(want.items())
+
+
+def test_shares_at_the_edge_of_64_bits(spark):
+    rows = [(divergence.SMALL + k, divergence.SMALL * 2 + 7) for k in (-1, 0, 1)] + [(0, 3), (5, None)]
+    got = spark.createDataFrame(rows, "n long, den long").select(divergence._share(F.col("n"), F.col("den"))).collect()
+    assert [r[0] for r in got] == [1 + 10**9 * (n + 2) // den if den else None for n, den in rows]
+
+
 def test_shares_are_exact_for_large_counts(spark):
     n, den = 9_123_456_789_012_345, 9_999_999_999_999_999
     df = spark.createDataFrame([(n, den)], "n long, den long")
