@@ -13,28 +13,34 @@ from functools import wraps
 from pyspark.sql import DataFrame, SparkSession
 
 from longitab.llm import jaccard, language, mixing, records, templates
-from longitab.llm.common import BATCH_ROWS
+from longitab.llm.common import BATCH_BYTES, small_batches
 from longitab.llm.queries import vocabulary
 from longitab.session import stage
 
 
-def _in_python(apply: Callable[[SparkSession, DataFrame, str], DataFrame]) -> Callable[[SparkSession, DataFrame, str], DataFrame]:
-    """A stage that runs with batches of ``BATCH_ROWS``; the session keeps the setting, as its result is computed later."""
-    @wraps(apply)
-    def small(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
-        return apply(spark, docs, sf_dir)
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def _in_python(size: int = BATCH_BYTES) -> Callable[[Stage], Stage]:
+    """A stage that runs with batches of about ``size`` bytes; the session keeps the setting, as its result is computed later."""
+    def small(apply: Stage) -> Stage:
+        @wraps(apply)
+        def run_small(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+            small_batches(spark, size)
+            return apply(spark, docs, sf_dir)
+
+        return run_small
 
     return small
 
 
-@_in_python
+@_in_python(8 * BATCH_BYTES)  # a worker gives memory back after each batch, which takes time
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised."""
     return language.accepted(docs)
 
 
-@_in_python
+@_in_python()
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that of least id, of each group linked at 0.8 on five-word shingles."""
     return jaccard.one_per_group(docs, words=5, threshold="0.8")
@@ -50,7 +56,7 @@ def source_mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return mixing.mixed_documents(docs)
 
 
-@_in_python
+@_in_python()
 def token_records(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token records written, and per record what reading them back gives."""
     return records.tokenized(docs, vocabulary("word_bpe_49k.json")).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -23,6 +23,7 @@ import string
 import struct
 import zlib
 from collections.abc import Iterator
+from functools import lru_cache
 from itertools import chain, compress
 
 import numpy as np
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 
 from longitab.session import fresh_path
 
-from .common import BATCH_ROWS, batches_of, release
+from .common import BATCH_ROWS, batch_bytes, batches_of, release, released
 
 #: Fixed value: added to a rotated checksum.
 MASK_DELTA = 0xA282EAD8
@@ -42,7 +43,7 @@ END = b"\n"
 #: The vocabulary's special strings, which are matched before anything else.
 SPECIAL = "<|"
 #: Words kept by a task; a full table is emptied and filled anew.
-CACHED_WORDS = 450_000
+CACHED_WORDS = 150_000
 #: Bytes of text that are encoded at a time.
 BLOCK = 1 << 20
 #: Words given to the tokenizer at a time.
@@ -60,7 +61,7 @@ SIGNS = {b: chr(b if 0xA1 <= b <= 0xAC or b >= 0xAE else 0x100 + 33 + (b - 0x7F
 AS_BYTES = {c: "".join(SIGNS[b] for b in chr(c).encode()) for c in range(0x80, ord(LATIN_LAST) + 1)}
 
 
-def masked(data: bytes) -> int:
+def masked(data: bytes | memoryview) -> int:
     crc = zlib.crc32(data)
     return (((crc >> 15) | (crc << 17)) + MASK_DELTA) & 0xFFFFFFFF
 
@@ -73,7 +74,7 @@ def frame(doc_id: int | None, ids: np.ndarray) -> bytes:
     return b"".join((length, struct.pack("<I", masked(length)), payload, struct.pack("<I", masked(payload)), END))
 
 
-def frames(data: bytes) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
+def frames(data: bytes | memoryview) -> Iterator[tuple[int, int, int | None, np.ndarray]]:
     """``(offset, bytes, document id, ids)`` of each record; a wrong checksum raises."""
     at = 0
     while at < len(data):
@@ -98,6 +99,14 @@ def _gather(flat: np.ndarray, at: np.ndarray, entries: np.ndarray) -> tuple[np.n
     return flat[np.repeat(at[entries] - places[:-1], sizes) + np.arange(places[-1])], places
 
 
+@lru_cache(maxsize=2)
+def _tokenizer(path: str):
+    """Loaded once a worker: its model remembers words, and what it remembers is not freed with it."""
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
+    from tokenizers import Tokenizer
+    return Tokenizer.from_file(path)
+
+
 def _strings(array: pa.Array) -> list[str]:
     return array.to_numpy(zero_copy_only=False).tolist()
 
@@ -113,9 +122,7 @@ class Encoder:
     """
 
     def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-        self.whole = Tokenizer.from_file(path)
+        self.whole = _tokenizer(path)
         self.model = self.whole.model
         self.plain = self._as_written()
         self._clear()
@@ -232,13 +239,13 @@ def write_records(docs: DataFrame, path: str, vocabulary: str, end_id: int = 2,
                     ids, texts = (batch.column(k).slice(start, n) for k in (0, 1))
                     data = [frame(i, np.append(x, np.uint32(end_id)))[:-1] for i, x in zip(ids.to_pylist(), of.encode(texts))]
                     yield pa.RecordBatch.from_arrays([pa.array(data, pa.binary())], ["value"])
-        finally:  # the worker lives on: neither its words nor its tokenizer should
+        finally:  # the worker lives on and keeps its tokenizer, but not its words
             del of
             release()
 
     rows = docs.select(docs[id_col].cast("long").alias("id"), F.coalesce(docs[text_col], F.lit("")).alias("text"))
     dealt = rows.repartitionByRange(F.col("id").asc_nulls_first()).sortWithinPartitions(F.col("id").asc_nulls_first(), "text")
-    with batches_of(docs.sparkSession, BATCH_ROWS):
+    with batches_of(docs.sparkSession, BATCH_ROWS), batch_bytes(docs.sparkSession):
         (dealt.mapInArrow(encode, "value binary").select(F.col("value").cast("string").alias("value"))
          .write.option("lineSep", END.decode()).text(path))
 
@@ -254,14 +261,14 @@ def read_records(spark: SparkSession, path: str) -> DataFrame:
         for batch in batches:
             for name, content in zip(batch.column(0).to_pylist(), batch.column(1)):
                 rows = [(name, k, i, at, size, len(x), zlib.crc32(x.tobytes()))
-                        for k, (at, size, i, x) in enumerate(frames(content.as_py()))]
+                        for k, (at, size, i, x) in enumerate(frames(memoryview(content.as_buffer())))]
                 cols = list(zip(*rows)) if rows else [()] * 7
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(cols[0], pa.string()), *[pa.array(c, pa.int64()) for c in cols[1:]]],
                     ["shard", "position", "doc_id", "offset", "bytes", "n_tokens", "ids_crc32"])
 
     files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path)
-    return files.select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content").mapInArrow(parse, schema)
+    return files.select(F.element_at(F.split("path", "/"), -1).alias("shard"), "content").mapInArrow(released(parse), schema)
 
 
 def tokenized(docs: DataFrame, vocabulary: str, end_id: int = 2, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:

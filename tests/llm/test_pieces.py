@@ -67,3 +67,56 @@ def test_marks_that_are_a_word_and_follow_one_are_learnt_once():
     want = [of.whole.encode(t, add_special_tokens=False).ids for t in texts]
     assert [x.tolist() for t in texts for x in of.encode(pa.array([t]))] == want
     assert [x.tolist() for x in of.encode(pa.array(texts))] == want
+
+
+def test_a_worker_loads_the_tokenizer_once_for_all_its_tasks():
+    path = vocabulary("word_bpe_49k.json")
+    first, second = records.Encoder(path), records.Encoder(path)
+    assert first.whole is second.whole
+    first.encode(pa.array(["some words"]))
+    assert list(second.known) == [""]  # the words are the task's own
+
+
+def test_known_words_stay_few(monkeypatch):
+    monkeypatch.setattr(records, "CACHED_WORDS", 50)
+    of = records.Encoder(vocabulary("word_bpe_49k.json"))
+    texts = [" ".join(f"w{k}x{i}." for i in range(40)) for k in range(20)]
+    assert [x.tolist() for t in texts for x in of.encode(pa.array([t]))] == [of.whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert len(of.known) <= 50 + 2 * 40
+
+
+def sizes_of_batches(spark):
+    rows = spark.range(0, 1500, 1, 1).selectExpr("id", "repeat('x', if(id = 700, 3000000, 3000)) as text")
+    count = rows.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.num_rows]), pa.array([b.get_total_buffer_size()])], ["n", "size"]) for b in batches), "n long, size long")
+    return [(r.n, r["size"]) for r in count.collect()]
+
+
+def test_workers_get_a_megabyte_at_a_time_and_the_session_is_as_before(spark):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    with common.batch_bytes(spark):
+        sizes = sizes_of_batches(spark)
+    assert spark.conf.get(key) == before
+    assert sum(n for n, _ in sizes) == 1500
+    assert sorted(s for _, s in sizes)[-2] <= common.BATCH_BYTES + 100_000
+
+
+def test_the_pipelines_python_stages_get_a_megabyte_at_a_time(spark):
+    import corpus_pipeline
+    keys = [f"spark.sql.execution.arrow.max{x}PerBatch" for x in ("Records", "Bytes")]
+    before = [spark.conf.get(k) for k in keys]
+    try:
+        corpus_pipeline._in_python()(lambda spark, docs, sf_dir: docs)(spark, None, "")
+        assert len(sizes_of_batches(spark)) >= 4
+    finally:
+        for k, v in zip(keys, before):
+            spark.conf.set(k, v)
+
+
+def test_texts_go_to_the_encoder_a_megabyte_at_a_time(spark, monkeypatch):
+    asked = []
+    real = records.batch_bytes
+    monkeypatch.setattr(records, "batch_bytes", lambda s: asked.append(s) or real(s))
+    docs = spark.createDataFrame([(1, "one"), (2, None)], "doc_id long, text string")
+    assert records.tokenized(docs, vocabulary("word_bpe_49k.json")).count() == 2
+    assert asked == [spark]
