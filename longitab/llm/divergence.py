@@ -57,11 +57,24 @@ def numbered(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
     return found, place[keys]
 
 
+def tallied(keys: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct keys, all below ``size``, ascending, and how often each stands; without a sort where they lie close."""
+    if size > 4 * len(keys):
+        return np.unique(keys, return_counts=True)
+    often = np.bincount(keys, minlength=size)
+    found = np.flatnonzero(often)
+    return found, often[found]
+
+
 def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """The distinct keys, ascending, and the sum of each one's positive numbers."""
+    """The distinct keys, ascending, and the sum of each one's positive numbers; without a sort where they lie close."""
     if not len(keys):
         return keys, n
     width = int(n.max()) + 1
+    if int(keys.max()) < 4 * len(keys) and width * len(keys) < 1 << 53:  # sums are exact in doubles
+        sums = np.bincount(keys, n)
+        found = np.flatnonzero(sums)
+        return found, sums[found].astype(np.int64)
     if int(keys.max()) >= (1 << 62) // width:
         found, at = np.unique(keys, return_inverse=True)
         sums = np.zeros(len(found), np.int64)
@@ -74,18 +87,36 @@ def summed(keys: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key[first], np.add.reduceat(both - key * width, first)
 
 
+def prefixes(terms: pa.Array, length: int) -> tuple[np.ndarray, pa.Array]:
+    """The number of each term's prefix of ``length`` bytes, and the prefixes; the terms ascend, so equal prefixes stand together."""
+    cut = pc.binary_slice(terms, 0, length)
+    if not len(cut):
+        return np.zeros(0, np.int64), cut
+    first = np.append(True, pc.not_equal(cut.slice(1), cut.slice(0, len(cut) - 1)).to_numpy(zero_copy_only=False))
+    return np.cumsum(first) - 1, cut.filter(pa.array(first))
+
+
 def bags(texts: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
-    """``(document, term, count)`` of each distinct term of each text, and the terms."""
-    texts = pa.concat_arrays([texts]) if texts.offset == 0 else pa.array(texts.to_pylist(), pa.string())
+    """``(document, term, count)`` of each distinct term of each text, and the terms, both ascending."""
     _, offsets, data = texts.buffers()
-    plain = pa.py_buffer(data.to_pybytes().translate(BYTES)) if data is not None else None
+    offsets = np.frombuffer(offsets, np.int32)[texts.offset:texts.offset + len(texts) + 1]
+    start, end = int(offsets[0]), int(offsets[-1])
+    plain = pa.py_buffer(data[start:end].to_pybytes().translate(BYTES)) if data is not None else None
     # as bytes: a text is cut between its characters only, so terms stay UTF-8
-    words = pc.ascii_split_whitespace(pa.StringArray.from_buffers(len(texts), offsets, plain))
+    words = pc.ascii_split_whitespace(pa.StringArray.from_buffers(len(texts), pa.py_buffer(offsets - start), plain))
     code, terms = _distinct(words.flatten())
-    doc = np.repeat(np.arange(len(texts)), pc.list_value_length(words).to_numpy())
-    full = pc.binary_length(terms).to_numpy()[code] > 0 if len(terms) else np.zeros(0, bool)
-    key, n = np.unique(doc[full] * max(1, len(terms)) + code[full], return_counts=True)
-    return key // max(1, len(terms)), key % max(1, len(terms)), n, terms.cast(pa.binary())
+    terms = terms.cast(pa.binary())
+    order = pc.array_sort_indices(terms).to_numpy()
+    order = order[pc.binary_length(terms).to_numpy()[order] > 0]
+    size = max(1, len(order))
+    kind = np.int32 if len(texts) * size < 1 << 31 else np.int64  # half as wide, sorted twice as fast
+    place = np.full(len(terms), -1, kind)
+    place[order] = np.arange(len(order), dtype=kind)
+    term = place[code]
+    doc = np.repeat(np.arange(len(texts), dtype=kind), pc.list_value_length(words).to_numpy())
+    key, n = np.unique((doc * kind(size) + term)[term >= 0], return_counts=True)
+    doc = key // kind(size)
+    return doc, key - doc * kind(size), n, terms.take(pa.array(order))
 
 
 def blocks(texts: pa.Array) -> Iterator[tuple[int, int]]:
@@ -124,12 +155,18 @@ def merged(counted: Iterator[tuple[list[tuple], np.ndarray, pa.Array, np.ndarray
         yield from sums()
 
 
+def _joined(names: pa.Array) -> bytes:
+    offsets, data = np.frombuffer(names.buffers()[1] or b"", np.int32), names.buffers()[2]
+    return data[int(offsets[names.offset]):int(offsets[names.offset + len(names)])].to_pybytes() if len(names) else b""
+
+
 def _bags(docs: DataFrame) -> DataFrame:
     """One row per block of documents: its ``bag`` of terms, packed.
 
     ``group_of`` has each document's (lang, source); ``doc``, ``term`` and
-    ``n`` have how often a term stands in a document.  All are 32-bit integers,
-    little-endian; the terms are stored one after another.
+    ``n`` have how often a term stands in a document, by document and term.
+    All are 32-bit integers, little-endian; the terms are stored one after
+    another, ascending.
     """
     schema = ("langs array<string>, sources array<string>, term_bytes binary, "
               "term_sizes binary, group_of binary, doc binary, term binary, n binary")
@@ -144,7 +181,7 @@ def _bags(docs: DataFrame) -> DataFrame:
                 rows = [langs.take(pa.array(groups // len(sources))), sources.take(pa.array(groups % len(sources)))]
                 numbers = (pc.binary_length(terms).to_numpy(), group_of, doc, term, n)
                 yield pa.RecordBatch.from_arrays(
-                    [*[pa.array([x.to_pylist()], pa.list_(pa.string())) for x in rows], pa.array([b"".join(terms.to_pylist())], pa.binary()),
+                    [*[pa.array([x.to_pylist()], pa.list_(pa.string())) for x in rows], pa.array([_joined(terms)], pa.binary()),
                      *[pa.array([x.astype("<i4").tobytes()], pa.binary()) for x in numbers]],
                     ["langs", "sources", "term_bytes", "term_sizes", "group_of", "doc", "term", "n"])
 
@@ -180,14 +217,14 @@ class Bag:
 
     def __init__(self, batch: pa.RecordBatch, k: int):
         def numbers(name):
-            return np.frombuffer(batch.column(name)[k].as_buffer(), "<i4").astype(np.int64)
+            return np.frombuffer(batch.column(name)[k].as_buffer(), "<i4")
         self.langs, self.sources = batch.column("langs")[k].values, batch.column("sources")[k].values
         sizes = numbers("term_sizes")
-        offsets = pa.array(np.append(0, np.cumsum(sizes)).astype(np.int32))
+        offsets = pa.array(np.append(0, np.cumsum(sizes, dtype=np.int64)).astype(np.int32))
         data = batch.column("term_bytes")[k].as_buffer()
         self.terms = pa.Array.from_buffers(pa.binary(), len(sizes), [None, offsets.buffers()[1], data])
         self.sizes, self.doc, self.term, self.n = sizes, numbers("doc"), numbers("term"), numbers("n")
-        self.group_of = numbers("group_of")
+        self.group_of = numbers("group_of").astype(np.int64)
 
 
 def _nodes(stored: DataFrame, length: int, kept) -> DataFrame:
@@ -199,29 +236,27 @@ def _nodes(stored: DataFrame, length: int, kept) -> DataFrame:
             for k in range(batch.num_rows):
                 bag = Bag(batch, k)
                 here = np.flatnonzero(bag.sizes > (length // 2 if length > FIRST else 0))
-                some = bag.terms.take(pa.array(here))
-                prefix, names = _distinct(pc.binary_slice(some, 0, length))
-                ends = bag.sizes[here] <= length
+                prefix, names = prefixes(bag.terms.take(pa.array(here)), length)
                 node = np.full(len(bag.sizes), -1)
-                node[here] = prefix * 2 + ends
+                node[here] = prefix * 2 + (bag.sizes[here] > length)  # ascending as the terms are, for what ends here comes first
                 lang, langs = _distinct(bag.langs)
                 row = node[bag.term]
                 on = row >= 0
                 nodes = 2 * max(1, len(names))
-                # one of each document, then how many of each language
-                of_doc = np.unique(bag.doc[on] * nodes + row[on])
-                lang_of = lang[bag.group_of].astype(np.int64)
-                doc, row = of_doc // nodes, of_doc % nodes
+                # one of each document, where equal ones stand together, then how many of each language
+                doc, row = bag.doc[on], row[on]
                 if not len(doc):
                     continue
-                key, docs = np.unique(lang_of[doc] * nodes + row, return_counts=True)
+                first = np.append(True, (doc[1:] != doc[:-1]) | (row[1:] != row[:-1]))
+                lang_of = lang[bag.group_of].astype(np.int64)
+                key, docs = tallied(lang_of[doc[first]] * nodes + row[first], len(langs) * nodes)
                 lang_, name = key // nodes, key % nodes // 2
                 if table is not None:
-                    halves, names_ = _distinct(pc.binary_slice(names, 0, length // 2))
-                    pairs, back = numbered(lang_ * len(names_) + halves[name], len(langs) * len(names_))
-                    on = marked(table, seeds_of(langs), names_, pairs // len(names_), pairs % len(names_))[back]
+                    half, halves = prefixes(names, length // 2)
+                    pairs, back = numbered(lang_ * len(halves) + half[name], len(langs) * len(halves))
+                    on = marked(table, seeds_of(langs), halves, pairs // len(halves), pairs % len(halves))[back]
                     key, docs, lang_, name = key[on], docs[on], lang_[on], name[on]
-                groups = [(x, complete) for x in langs.to_pylist() for complete in (False, True)]
+                groups = [(x, complete) for x in langs.to_pylist() for complete in (True, False)]
                 yield groups, lang_ * 2 + key % 2, names.take(pa.array(name)), docs
 
     def run(batches):
@@ -317,11 +352,14 @@ def audit(docs: DataFrame, least: int = 10, best: int = 10, lang_col: str = "lan
     texts = docs.select(plain(lang_col).alias("lang"), plain(source_col).alias("source"), plain(text_col).alias("text"))
     spark = docs.sparkSession
     with batches_of(spark, BATCH_ROWS):
-        stored = stage(_bags(texts))
+        # a task gets few groups, so its counts have few rows; AQE cuts a large group among several
+        stored = stage(_bags(texts.hint("rebalance", "lang", "source")))
     with batches_of(spark, 1):  # a row is a block
         kept = _kept(stored, least)
         table = spark.sparkContext.broadcast(marks(kept, "lang", "term"))
-        cells = stage(_cells(stored, table).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi"))
+        cells = _cells(stored, table).groupBy("lang", "source", "term").agg(F.sum("n").alias("n")).join(kept, ["lang", "term"], "left_semi")
+        # the rows lie by language and term here
+        cells = stage(cells.withColumn("whole", F.sum("n").over(Window.partitionBy("lang", "term"))))
     unstage(stored)
     sizes = _few(stage(kept.groupBy("lang").agg(F.count("*").alias("v"))))
     groups = texts.select("lang", "source").distinct().join(
@@ -331,7 +369,7 @@ def audit(docs: DataFrame, least: int = 10, best: int = 10, lang_col: str = "lan
                    .withColumn("none", _share(F.lit(0).cast("long"), F.col("den"))))
     groups = _few(groups)
     shares = stage(cells.join(groups, ["lang", "source"]).withColumn("p", _share(F.col("n"), F.col("den"))).select(
-        "lang", "source", "term", "n", "p", "none"))
+        "lang", "source", "term", "whole", "p", "none"))
     out = _pairs(groups, shares).unionByName(_terms(cells, shares, sizes, best))
     return out
 
@@ -353,12 +391,11 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
     marks = shares.groupBy("lang", "source", "p", "none").agg(F.count("*").alias("terms"))
     alone = marks.join(other, "lang").where("source <> item").groupBy("lang", "source", "item").agg(
         F.sum(F.col("terms") * (_gap(F.col("p"), F.col("none_b")) - _gap(F.col("none"), F.col("none_b")))).alias("alone"))
-    a = shares.select("lang", "term", "source", "p", "none")
-    b = shares.select("lang", "term", F.col("source").alias("item"), F.col("p").alias("q"), F.col("none").alias("none_b"))
-    # each pair once, from the smaller name
-    right = (_gap(F.col("p"), F.col("q")) - _gap(F.col("p"), F.col("none_b")) - _gap(F.col("none"), F.col("q"))
-             + _gap(F.col("none"), F.col("none_b")))
-    shared = a.join(b, ["lang", "term"]).where("source < item").groupBy("lang", "source", "item").agg(F.sum(right).alias("shared"))
+    p, none, q, none_b = (F.col(x) for x in ("a.p", "a.none", "b.p", "b.none"))
+    right = _gap(p, q) - _gap(p, none_b) - _gap(none, q) + _gap(none, none_b)
+    # each pair once, from the smaller name; both sides are one shuffle
+    shared = shares.alias("a").join(shares.alias("b"), F.expr("a.lang = b.lang and a.term = b.term and a.source < b.source")).groupBy(
+        "a.lang", "a.source", F.col("b.source").alias("item")).agg(F.sum(right).alias("shared"))
     turned = [F.col("lang"), F.col("item").alias("source"), F.col("source").alias("item")]
     parts = alone.select("lang", "source", "item", F.col("alone").alias("part")).unionByName(
         alone.select(*turned, F.col("alone").alias("part"))).unionByName(
@@ -371,11 +408,9 @@ def _pairs(groups: DataFrame, shares: DataFrame) -> DataFrame:
 
 
 def _terms(cells: DataFrame, shares: DataFrame, sizes: DataFrame, best: int) -> DataFrame:
-    whole = cells.groupBy("lang", "term").agg(F.sum("n").alias("n"))
     dens = _few(stage(cells.groupBy("lang").agg(F.sum("n").alias("total")).join(sizes, "lang").select(
         "lang", (F.col("total") + 2 * F.col("v")).alias("den"))))
-    of_lang = whole.join(dens, "lang").select("lang", "term", _share(F.col("n"), F.col("den")).alias("q"))
-    found = shares.join(of_lang, ["lang", "term"]).where("p > q").select(
+    found = shares.join(dens, "lang").withColumn("q", _share(F.col("whole"), F.col("den"))).where("p > q").select(
         "lang", "source", F.col("term").cast("string").alias("item"), _gap(F.col("p"), F.col("q")).alias("value"))
     rank = F.row_number().over(Window.partitionBy("lang", "source").orderBy(F.desc("value"), "item"))
     return found.withColumn("rank", rank).where(F.col("rank") <= best).select("lang", "source", F.lit("term").alias("part"), "item", "value", "rank")

@@ -288,6 +288,48 @@ def test_audit_sums_counts_before_they_leave_a_worker(spark):
         unstage(stored)
 
 
+def test_audit_deals_documents_by_group(spark, monkeypatch):
+    seen, make = [], divergence._bags
+    monkeypatch.setattr(divergence, "_bags", lambda docs: seen.append(docs) or make(docs))
+    docs = spark.range(0, 4000, 1, 8).selectExpr("'en' lang", "concat('s', id % 8) source", "concat('same words ', repeat(uuid(), 3)) text")
+    size, merge = "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.enabled"
+    before = {k: spark.conf.get(k) for k in (size, merge)}
+    for source, pairs, conf in (("source", 56, {merge: "false"}), ("'one' source", 0, {size: "4k"})):
+        try:
+            for k, v in conf.items():
+                spark.conf.set(k, v)
+            assert divergence.audit(docs.selectExpr("lang", source, "text")).where("part = 'pair'").count() == pairs
+            at = {}
+            for name, k, _ in seen.pop().select("source", F.spark_partition_id(), "text").collect():
+                at.setdefault(name, set()).add(k)
+        finally:
+            for k, v in before.items():
+                spark.conf.set(k, v)
+        # a group is in one task, a large one in several
+        assert len(set().union(*at.values())) > 1
+        assert pairs == 0 or all(len(x) == 1 for x in at.values())
+
+
+@pytest.mark.parametrize("texts", [["b a  b", "", "É a9A", " "], ["", " "], [f"w{k} w" for k in range(50_000)], ["same " * 3] * 3])
+def test_bags_ascend(texts):
+    texts = ["left out"] + texts + ["as is this"]
+    doc, term, n, terms = divergence.bags(pa.array(texts, pa.string()).slice(1, len(texts) - 2))
+    terms = terms.to_pylist()
+    assert terms == sorted(set(terms))
+    rows = list(zip(doc.tolist(), [terms[k] for k in term], n.tolist()))
+    want = [collections.Counter(t.encode().translate(divergence.BYTES).split()) for t in texts[1:-1]]
+    assert rows == [(i, t, c[t]) for i, c in enumerate(want) for t in sorted(c)]
+
+
+@pytest.mark.parametrize("length", [1, 4, 8])
+def test_prefixes_of_ascending_terms(length):
+    terms = sorted([b"", b"a", b"abcd", b"abcde", b"abcdefgh", b"abcdefghi", b"abd", "é".encode(), "éa".encode(), b"\xff" * 9])
+    for some in (terms, terms[:1], []):
+        at, names = divergence.prefixes(pa.array(some, pa.binary()), length)
+        assert [names[int(k)].as_py() for k in at] == [x[:length] for x in some]
+        assert names.to_pylist() == sorted({x[:length] for x in some})
+
+
 def test_merged_counts(monkeypatch):
     blocks = [([("en", "a"), ("", "b")], np.array([0, 1, 1]), pa.array([b"x", b"x", b"y"]), np.array([1, 2, 3])),
               ([], np.zeros(0, int), pa.array([], pa.binary()), np.zeros(0, int)),
@@ -319,6 +361,19 @@ def test_numbered_and_summed_keys(size, top):
     assert list(zip(key.tolist(), total.tolist())) == sorted(want.items())
 
 
+@pytest.mark.parametrize("size, top", [(0, 5), (1000, 50), (1000, 10**6)])
+def test_tallied_keys(size, top):
+    keys = np.random.default_rng(1).integers(0, top, size)
+    key, n = divergence.tallied(keys, top)
+    assert list(zip(key.tolist(), n.tolist())) == sorted(collections.Counter(keys.tolist()).items())
+
+
+def test_sums_beyond_doubles_are_exact():
+    n = np.array([2**53, 1, 1, 2**53 - 1])
+    key, total = divergence.summed(np.array([0, 0, 1, 1]), n)
+    assert key.tolist() == [0, 1] and total.tolist() == [2**53 + 1, 2**53]
+
+
 def test_shares_at_the_edge_of_64_bits(spark):
     rows = [(divergence.SMALL + k, divergence.SMALL * 2 + 7) for k in (-1, 0, 1)] + [(0, 3), (5, None)]
     got = spark.createDataFrame(rows, "n long, den long").select(divergence._share(F.col("n"), F.col("den"))).collect()
