@@ -194,7 +194,7 @@ def marks(rows: DataFrame, lang: str, name: str) -> bytes:
     words = rows.select(F.pmod(F.xxhash64(lang, name), F.lit(MARKS)).alias("spot")).groupBy(
         F.floor(spot / 32768).alias("at")).agg(F.bitmap_construct_agg((spot % 32768)).alias("bits"))
     table = bytearray(MARKS // 8)
-    for r in words.toLocalIterator():  # at most MARKS / 32768 rows of 4 KB
+    for r in words.collect():  # at most MARKS / 32768 rows of 4 KB, in one job, not one a partition
         table[r["at"] * 4096:(r["at"] + 1) * 4096] = r["bits"]
     return bytes(table)
 
