@@ -310,6 +310,21 @@ def test_audit_deals_documents_by_group(spark, monkeypatch):
         assert pairs == 0 or all(len(x) == 1 for x in at.values())
 
 
+def test_marks_come_in_one_job(spark):
+    rows = spark.range(500).selectExpr("'en' lang", "encode(concat('w', id), 'utf-8') name").coalesce(1)
+    key = "spark.sql.adaptive.enabled"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "false")  # so that no partitions are merged
+        spark.sparkContext.setJobGroup("marks", "marks")
+        table = divergence.marks(rows, "lang", "name")
+        assert len(spark.sparkContext.statusTracker().getJobIdsForGroup("marks")) == 1
+    finally:
+        spark.conf.set(key, before)
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert 490 <= sum(x.bit_count() for x in table) <= 500
+
+
 @pytest.mark.parametrize("texts", [["b a  b", "", "É a9A", " "], ["", " "], [f"w{k} w" for k in range(50_000)], ["same " * 3] * 3])
 def test_bags_ascend(texts):
     texts = ["left out"] + texts + ["as is this"]
