@@ -15,7 +15,9 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from longitab.session import stage
+from longitab.session import stage, unstage
+
+from .common import every_pair
 
 #: Vectors of a shard, of a leaf, and queries of a block.
 SHARD, LEAF, QUERIES = 8192, 512, 1024
@@ -29,6 +31,14 @@ def products(q: np.ndarray, x: np.ndarray) -> np.ndarray:
     return out
 
 
+def product(q: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """The same of each row with its own."""
+    out = np.zeros(len(q))
+    for j in range(q.shape[1]):
+        out += q[:, j] * x[:, j]
+    return out
+
+
 def build(ids: np.ndarray, x: np.ndarray) -> dict:
     """A tree over the rows of ``x``: nodes split at the median distance to a vantage point."""
     norms = (x.astype(np.float64) ** 2).sum(axis=1)
@@ -59,24 +69,36 @@ def build(ids: np.ndarray, x: np.ndarray) -> dict:
 
 
 class Search:
-    """The best ``k`` of one tree for a block of queries."""
+    """The best ``k`` of one tree, or of several in turn, for a block of queries."""
 
     def __init__(self, tree: dict, qids: np.ndarray, q: np.ndarray, k: int, factor: float):
-        self.tree, self.qids, self.q, self.k, self.factor = tree, qids, q.astype(np.float64), k, factor
-        self.base = (self.q ** 2).sum(axis=1) + tree["top"]
+        self.qids, self.q, self.k, self.factor = qids, q.astype(np.float64), k, factor
+        self.turn(tree)
         self.best = np.full((len(q), k), -np.inf)
         self.found = np.full((len(q), k), np.iinfo(np.int64).max)
 
+    def turn(self, tree: dict) -> Search:
+        """From now on search this tree, for what is better than the best so far."""
+        size = (self.q ** 2).sum(axis=1)
+        self.tree, self.base = tree, size + tree["top"]
+        # twice what two orders of adding up a product can differ by
+        self.slack = 4 * self.q.shape[1] * np.finfo(np.float64).eps * np.sqrt(size * tree["top"]) + 1e-300
+        return self
+
     def offer(self, act: np.ndarray, rows: np.ndarray) -> None:
-        ids = self.tree["ids"][rows]
-        scores = products(self.q[act], self.tree["x"][rows].astype(np.float64))
-        open_ = (scores >= self.best[act, -1][:, None]) & (ids[None, :] != self.qids[act][:, None])
-        r, c = np.nonzero(open_)
+        ids, x = self.tree["ids"][rows], self.tree["x"][rows].astype(np.float64)
+        q, least = self.q[act], self.best[act, -1]
+        # a matrix product is fast but rounds in its own order: it only tells which pairs to add up
+        near = ~(q @ x.T < (least - self.slack[act])[:, None])
+        r, c = np.nonzero(near)
+        score = products(q, x)[r, c] if len(r) > near.size // 8 else product(q[r], x[c])
+        open_ = (score >= least[r]) & (ids[c] != self.qids[act][r])
+        r, c, score = r[open_], c[open_], score[open_]
         if not len(r):
             return
         touched = np.unique(r)
         row = np.concatenate([r, np.repeat(touched, self.k)])
-        score = np.concatenate([scores[r, c], self.best[act[touched]].ravel()])
+        score = np.concatenate([score, self.best[act[touched]].ravel()])
         cand = np.concatenate([ids[c], self.found[act[touched]].ravel()])
         by = np.lexsort((cand, -score, row))
         row, score, cand = row[by], score[by], cand[by]
@@ -157,8 +179,8 @@ def nearest(
     Every vector is indexed: dealt evenly to shards of about ``SHARD`` rows, of
     which each builds a tree.  Blocks of queries meet every shard; a subtree is
     skipped where ``factor`` times its distance by the triangle inequality
-    exceeds the k-th best found in the shard.  1 gives the exact result, more
-    skips more.  Ties go to the smaller id.  A row is not found by a query of
+    exceeds the k-th best that the task has found.  1 gives the exact result,
+    more skips more.  Ties go to the smaller id.  A row is not found by a query of
     its own id.
 
     Vectors that are null, zero, or hold a null or non-finite component take no
@@ -167,19 +189,26 @@ def nearest(
     each.  Fewer than k candidates are all returned; none give no rows.
     """
     index = stage(_packed(usable(vectors, id_col, vector_col), SHARD, build))
-    asked = usable(queries, id_col, vector_col).dropDuplicates(["id", "v"])
-    blocks = _packed(stage(asked), QUERIES, lambda ids, q: (ids, q))
+    asked = stage(usable(queries, id_col, vector_col).dropDuplicates(["id", "v"]))
+    blocks = stage(_packed(asked, QUERIES, lambda ids, q: (ids, q)))
+    unstage(asked)
     shards = index.select(F.col("block").alias("shard"), "dim", F.col("data").alias("tree"))
-    last = shards.agg(F.max("shard")).first()[0] or 0
-    pairs = blocks.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(last)))).join(shards, ["shard", "dim"])
+    pairs = every_pair(shards, blocks, blocks.count(), "dim").select("shard", "dim", "tree", "block", "data")
 
     def search(batches):
+        at, tree, searches, found = None, None, {}, {}
         for batch in batches:
-            for data, tree in zip(batch.column(0), batch.column(1)):
-                ids, q = pickle.loads(data.as_py())
-                found = Search(pickle.loads(tree.as_py()), ids, q, k, factor).run()
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in found], ["query_id", "vec_id", "score"])
-
-    found = pairs.select("data", "tree").mapInArrow(search, "query_id long, vec_id long, score double")
+            for shard, dim, packed, block, data in zip(*(c if c.type == pa.binary() else c.to_pylist() for c in batch.columns)):
+                if at != (shard, dim):
+                    at, tree = (shard, dim), pickle.loads(packed.as_py())
+                if (block, dim) in searches:
+                    searches[block, dim].turn(tree)
+                else:
+                    searches[block, dim] = Search(tree, *pickle.loads(data.as_py()), k, factor)
+                found[block, dim] = searches[block, dim].run()
+        for columns in found.values():
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["query_id", "vec_id", "score"])
+
+    found = pairs.mapInArrow(search, "query_id long, vec_id long, score double")
     best = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", best).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

@@ -11,6 +11,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from plans import plan
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
@@ -240,6 +241,48 @@ def test_nearest_equals_brute_force(spark):
     assert [r.rank for r in sorted(few, key=lambda r: r.rank)] == [1, 2]
 
 
+def test_nearest_sends_nothing_through_the_driver(spark, monkeypatch):
+    """However small the packed blocks look to Spark, they are not broadcast, and several shards give one ranking."""
+    monkeypatch.setattr(vptree, "SHARD", 100)
+    monkeypatch.setattr(vptree, "QUERIES", 16)
+    r = np.random.default_rng(8)
+    x = r.normal(size=(800, 4)).astype(np.float32)
+    x[300:500] = x[20]
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x)], "vec_id long, embedding array<float>")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        found = vptree.nearest(df, df.where("vec_id % 10 = 0"))
+        assert "Broadcast" not in plan(found)
+        got = {(h.query_id, h.rank): (h.vec_id, h.score) for h in found.collect()}
+        assert "Broadcast" not in plan(found)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    scores = vptree.products(x[::10].astype(float), x.astype(float))
+    want = {}
+    for q, s in zip(range(0, 800, 10), scores):
+        best = sorted((i for i in range(800) if i != q), key=lambda i: (-s[i], i))[:20]
+        want |= {(q, rank): (i, s[i]) for rank, i in enumerate(best, 1)}
+    assert got == want
+
+
+def test_trees_in_turn_equal_one_tree():
+    r = np.random.default_rng(9)
+    x = r.normal(size=(3000, 16)) * 10.0 ** r.integers(-3, 4, size=(3000, 1))
+    x[::7] = x[5]
+    ids = r.permutation(3000)
+    turns = [vptree.build(ids[k::3], x[k::3]) for k in range(3)]
+    search = vptree.Search(turns[0], ids[:90], x[:90], 10, 1.0)
+    search.run()
+    for tree in turns[1:]:
+        last = search.turn(tree).run()
+    scores = vptree.products(x[:90], x)
+    for q in range(90):
+        by = [i for i in np.lexsort((ids, -scores[q])) if i != q][:10]
+        assert last[1][10 * q:10 * q + 10].tolist() == ids[by].tolist()
+        assert last[2][10 * q:10 * q + 10].tolist() == scores[q, by].tolist()
+
+
 def test_pruning_factor_and_recall():
     r = np.random.default_rng(6)
     centers = r.normal(size=(40, 16))
