@@ -19,6 +19,8 @@ from pyspark.sql import functions as F
 
 from longitab.session import stage, unstage
 
+from .common import every_pair
+
 #: Candidates of a shard and anchors of a block: bounds of a block over a shard are two matrices of these sizes.
 SHARD, BLOCK = 4096, 256
 #: Whole numbers of doubles below are exact.
@@ -143,6 +145,40 @@ def negatives(shard: Shard, block: tuple, asked: dict, k: int, low: int, high: i
                 yield row, at, shard.ids[some[best]], scores[best]
 
 
+class Best:
+    """Of what is added, the ``k`` highest scores of each key, ties by smaller id."""
+
+    def __init__(self, k: int):
+        self.k, self.parts, self.new, self.old = k, [], 0, 0
+
+    def add(self, keys: np.ndarray, ids: np.ndarray, scores: np.ndarray) -> None:
+        self.parts.append((keys, ids, scores))
+        self.new += len(ids)
+        if self.new > 10_000 + self.old:
+            self.kept()
+
+    def kept(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        if not self.parts:
+            return (np.empty(0, np.int64),) * 3
+        keys, ids, scores = (np.concatenate(c) for c in zip(*self.parts))
+        by = np.lexsort((ids, -scores, keys))
+        by = by[np.arange(len(by)) - np.searchsorted(keys[by], keys[by]) < self.k]
+        self.parts, self.new, self.old = [(keys[by], ids[by], scores[by])], 0, len(by)
+        return self.parts[0]
+
+
+def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[int, int], Shard, pa.Scalar, pa.Scalar | None]]:
+    """``(block and dim, shard, anchors, windows)`` of each pair; a shard is unpacked once for the blocks that follow each other."""
+    at, shard = None, None
+    for batch in batches:
+        ids = zip(*(batch.column(c).to_pylist() for c in ("shard", "block", "dim")))
+        windows = batch.column("windows") if "windows" in batch.schema.names else [None] * batch.num_rows
+        for (n, block, dim), rows, anchors, asked in zip(ids, batch.column("rows"), batch.column("anchors"), windows):
+            if at != (n, dim):
+                at, shard = (n, dim), Shard(pickle.loads(rows.as_py()))
+            yield (block, dim), shard, anchors, asked
+
+
 def whole(vector: Column, scale: int) -> Column:
     """Each component times ``scale``, rounded down, as a long."""
     return F.transform(vector, lambda x: F.floor(x.cast("double") * F.lit(float(scale))))
@@ -228,57 +264,53 @@ def mine(
     parts = (id_col, label_col, vector_col, scale)
     shards = stage(_packed(usable(rows, *parts), SHARD, "shard", False))
     asked = stage(usable(anchors, *parts).dropDuplicates(["id", "label", "v"]))
-    blocks = stage(_packed(asked, BLOCK, "block", True))
-    n_shards, n_blocks = (1 + (f.agg(F.max(c)).first()[0] or 0) for f, c in ((shards, "shard"), (blocks, "block")))
-
-    # every block meets every shard
-    def every(name, n):
-        return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
-    left = blocks.select("block", "dim", F.col("data").alias("anchors"), every("shard", n_shards))
-    right = shards.select("shard", "dim", F.col("data").alias("rows"), every("block", n_blocks))
-    met = left.join(right, ["block", "shard", "dim"])
+    blocks = stage(_packed(asked, BLOCK, "block", True).withColumnRenamed("data", "anchors"))
+    unstage(asked)
+    candidates, n_blocks = shards.withColumnRenamed("data", "rows"), blocks.count()
 
     def find_positives(batches):
-        for batch in batches:
-            for block, dim, anchors_, rows_ in zip(*(batch.column(k) for k in range(4))):
-                packed = pickle.loads(anchors_.as_py())
-                found = list(positives(Shard(pickle.loads(rows_.as_py())), packed, n_positives))
-                n = [len(i) for _, i, _ in found]
-                at = np.repeat([row for row, _, _ in found], n).astype(np.int32)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.repeat(block, len(at)), pa.repeat(dim, len(at)), pa.array(at), pa.array(packed[0][at]),
-                     *[pa.array(np.concatenate([f[k] for f in found])) for k in (1, 2)]],
-                    ["block", "dim", "anchor", "anchor_id", "id", "score"])
+        packed, best = {}, {}
+        for at, shard, anchors_, _ in _pairs(batches):
+            if at not in packed:
+                packed[at], best[at] = pickle.loads(anchors_.as_py()), Best(n_positives)
+            for row, ids, scores in positives(shard, packed[at], n_positives):
+                best[at].add(np.full(len(ids), row), ids, scores)
+        for (block, dim), some in best.items():
+            rows_, ids, scores = some.kept()
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(block, pa.int32()), len(ids)), pa.repeat(pa.scalar(dim, pa.int32()), len(ids)), pa.array(rows_.astype(np.int32)),
+                 pa.array(packed[block, dim][0][rows_]), pa.array(ids), pa.array(scores)],
+                ["block", "dim", "anchor", "anchor_id", "id", "score"])
 
     best = stage(_ranked(
-        met.select("block", "dim", "anchors", "rows").mapInArrow(
+        every_pair(candidates, blocks, n_blocks, "dim").mapInArrow(
             find_positives, "block int, dim int, anchor int, anchor_id long, id long, score long"),
         ["block", "dim", "anchor"], n_positives))
     # of one block at most its anchors times n_positives
     windows = best.groupBy("block", "dim").agg(F.collect_list(F.struct("anchor", "rank", "score")).alias("windows"))
-    wanted = left.join(windows, ["block", "dim"]).join(right, ["block", "shard", "dim"])
+    wanted = stage(blocks.join(windows.hint("merge"), ["block", "dim"]).repartition(max(1, n_blocks), "block"))
 
     def find_negatives(batches):
-        for batch in batches:
-            for block, dim, anchors_, rows_, windows_ in zip(*(batch.column(k) for k in range(5))):
-                given: dict[int, list] = {}
+        packed, given, best = {}, {}, {}
+        for at, shard, anchors_, windows_ in _pairs(batches):
+            if at not in packed:
+                packed[at], given[at], best[at] = pickle.loads(anchors_.as_py()), {}, Best(n_negatives)
                 for w in windows_.as_py():
-                    given.setdefault(w["anchor"], []).append((w["rank"], w["score"]))
-                found = list(negatives(Shard(pickle.loads(rows_.as_py())), pickle.loads(anchors_.as_py()), given, n_negatives, low, high))
-                if found:
-                    n = [len(f[2]) for f in found]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.repeat(block, sum(n)), pa.repeat(dim, sum(n)),
-                         *[pa.array(np.repeat([f[k] for f in found], n).astype(np.int32)) for k in (0, 1)],
-                         *[pa.array(np.concatenate([f[k] for f in found])) for k in (2, 3)]],
-                        ["block", "dim", "anchor", "place", "id", "score"])
+                    given[at].setdefault(w["anchor"], []).append((w["rank"], w["score"]))
+            for row, place, ids, scores in negatives(shard, packed[at], given[at], n_negatives, low, high):
+                best[at].add(np.full(len(ids), row * (n_positives + 1) + place), ids, scores)
+        for (block, dim), some in best.items():
+            keys, ids, scores = some.kept()
+            yield pa.RecordBatch.from_arrays(
+                [pa.repeat(pa.scalar(block, pa.int32()), len(ids)), pa.repeat(pa.scalar(dim, pa.int32()), len(ids)),
+                 *[pa.array(c.astype(np.int32)) for c in np.divmod(keys, n_positives + 1)], pa.array(ids), pa.array(scores)],
+                ["block", "dim", "anchor", "place", "id", "score"])
 
     hard = _ranked(
-        wanted.select("block", "dim", "anchors", "rows", "windows").mapInArrow(
+        every_pair(candidates, wanted, n_blocks, "dim").mapInArrow(
             find_negatives, "block int, dim int, anchor int, place int, id long, score long"),
         ["block", "dim", "anchor", "place"], n_negatives)
-    unstage(asked)
     of = best.select("block", "dim", "anchor", F.col("rank").alias("place"), "anchor_id", F.col("id").alias("positive_id"),
                      F.col("score").alias("positive_score"))
-    return hard.join(of, ["block", "dim", "anchor", "place"]).select(
+    return hard.join(of.hint("merge"), ["block", "dim", "anchor", "place"]).select(
         "anchor_id", "positive_id", "rank", F.col("id").alias("negative_id"), "positive_score", F.col("score").alias("negative_score"))

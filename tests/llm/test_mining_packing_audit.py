@@ -68,6 +68,40 @@ def test_negatives_equal_brute_force(spark, monkeypatch):
     assert sorted(tuple(r) for r in got.collect()) == plain_negatives(rows, lambda i: i % 8 == 0, 3, 2, 99)
 
 
+def test_negatives_send_nothing_through_the_driver(spark, monkeypatch):
+    """However small the packed blocks look to Spark, no step broadcasts them."""
+    monkeypatch.setattr(negatives, "SHARD", 60)
+    monkeypatch.setattr(negatives, "BLOCK", 8)
+    plans = []
+    monkeypatch.setattr(negatives, "stage", lambda df: (plans.append(plan(df)), stage(df))[1])
+    rows = clustered()
+    df = spark.createDataFrame(rows, ROWS)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1g")
+    try:
+        got = negatives.mine(df, df.where("vec_id % 8 = 0"))
+        assert not [p for p in [*plans, plan(got)] if "Broadcast" in p]
+        assert sorted(tuple(r) for r in got.collect()) == plain_negatives(rows, lambda i: i % 8 == 0)
+        assert "Broadcast" not in plan(got)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_best_equals_sorting():
+    r = np.random.default_rng(2)
+    best, every = negatives.Best(3), []
+    for _ in range(40):
+        n = int(r.integers(0, 900))
+        part = (r.integers(0, 50, n), r.integers(0, 10 ** 6, n), r.integers(-5, 5, n))
+        best.add(*part)
+        every += zip(*(c.tolist() for c in part))
+    want = []
+    for key in range(50):
+        want += sorted((x for x in every if x[0] == key), key=lambda x: (-x[2], x[1]))[:3]
+    assert list(zip(*(c.tolist() for c in best.kept()))) == want
+    assert [len(c) for c in negatives.Best(3).kept()] == [0, 0, 0]
+
+
 def test_negatives_of_nothing(spark):
     df = spark.createDataFrame(clustered(n=20), ROWS)
     assert negatives.mine(df.limit(0), df.limit(0)).isEmpty()
